@@ -116,6 +116,13 @@ def word_shards(
     )
 
 
+def line_word_shards(lines: DataFrame, lines_per_shard: int, line: str = "line") -> DataFrame:
+    """shard_id, position, word of a table of numbered lines (``line_no``, ``line``)."""
+    return positioned_words(lines, ["line_no"], line).select(
+        line_shard(F.col("line_no"), lines_per_shard).alias("shard_id"), "position", "word"
+    )
+
+
 def sentence_shards(
     df: DataFrame,
     keys: list[str],
