@@ -18,7 +18,7 @@ BLOCK_BYTES = 32 << 20
 SMALLEST_BLOCK = 512
 # Ranking ignores differences below this many decimals, so that ties do not depend on
 # the order in which a product was summed.
-RANK_DECIMALS = 12
+RANK_DECIMALS = 10
 
 
 def last_per_word(df: DataFrame, word: str, order: str) -> DataFrame:
@@ -57,7 +57,7 @@ def top_neighbours(
     of blocks serves both directions. Best lists are then merged per row.
 
     ``id_column`` must be unique, all vectors equally long. Ranks order by similarity
-    (to 12 decimals, NaN last), then word, then id.
+    (to 10 decimals, NaN last), then word, then id.
     """
     if top_n <= 0:
         raise ValueError("top_n must be positive")

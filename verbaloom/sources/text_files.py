@@ -13,10 +13,9 @@ from verbaloom.functions.text import LINE_BREAK, trim_controls
 
 
 def _text(spark: SparkSession, path, recursive: bool, glob: str | None, whole: bool = False):
-    reader = spark.read.option("recursiveFileLookup", recursive).option("wholetext", whole)
-    if glob is not None:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.text(path)
+    return spark.read.text(
+        path, wholetext=whole, recursiveFileLookup=recursive, pathGlobFilter=glob
+    )
 
 
 def read_lines(
@@ -105,7 +104,7 @@ def write_lines(df: DataFrame, path: str, value: str, key: str | None = None) ->
 def write_shards(
     df: DataFrame, path: str, order: str, value: str | None = None, shard: str = "shard_id"
 ) -> None:
-    """Write ``path/shard_id=<n>/`` with each shard's rows in order, replacing old shards.
+    """Write ``path/shard_id=<00001>/`` with each shard's rows in order, replacing old shards.
 
     Parquet of all columns, or text lines of one column if ``value`` is named. A shard is
     bounded by its record count, so one task can write it; tasks hold many shards.
@@ -116,7 +115,9 @@ def write_shards(
     system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if system.exists(target) and not system.getFileStatus(target).isDirectory():
         raise ValueError(f"not a directory: {path}")
-    laid_out = df.repartition(shard).sortWithinPartitions(shard, order)
+    # Five digits, so that path order is shard order.
+    padded = df.withColumn(shard, F.format_string("%05d", shard))
+    laid_out = padded.repartition(shard).sortWithinPartitions(shard, order)
     if value is None:
         laid_out.write.mode("overwrite").partitionBy(shard).parquet(path)
     else:
