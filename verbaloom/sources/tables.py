@@ -26,11 +26,13 @@ def read_table(spark: SparkSession, path: str, columns: list[str], keys: list[st
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a session without one (a test on one machine) gets a new temporary folder.
+    Only a local session without one (a test) gets a new temporary folder.
     """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="verbaloom-")
         context.setCheckpointDir(folder)
         folder = context.getCheckpointDir()

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from verbaloom.functions import vectors as vx
 from verbaloom.functions.text import LINE_BREAK, trim_controls
+from verbaloom.sources.tables import stage
+
+# Beyond this many file blocks their table is shuffled, not broadcast.
+BROADCAST_BLOCKS = 1 << 20
 
 
 def _text(spark: SparkSession, path, recursive: bool, glob: str | None, whole: bool = False):
@@ -33,27 +37,35 @@ def read_numbered_lines(
 ) -> DataFrame:
     """file_path, line_no, line: lines numbered from 0 through all files in path order.
 
-    Spark numbers rows inside a file block as it reads them; the blocks before it are
-    added from a table with one row per block (about one per 128 MB of text), so no line
-    is sorted to be numbered.
+    Spark numbers rows inside a file block as it reads them; the lines of the blocks
+    before it are added, so no line is sorted to be numbered. How files are cut into
+    blocks may change from one scan to the next, so lines and their place are staged by
+    a single scan and both uses read that table.
     """
-    raw = _text(spark, path, recursive, glob).select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_seq"),
-        F.col("value").alias("line"),
+    placed = stage(
+        _text(spark, path, recursive, glob).select(
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_seq"),
+            F.col("value").alias("line"),
+        ),
+        "lines",
     )
+    # One row per block, about one per 128 MB of text: small enough for one ordered window.
     before = Window.orderBy("file_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
-        raw.groupBy("file_path", "_block")
+    blocks = stage(
+        placed.groupBy("file_path", "_block")
         .agg(F.min("_seq").alias("_start"), F.count("*").alias("_n"))
         .select(
             "file_path",
             "_block",
             (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_start")).alias("_shift"),
-        )
+        ),
+        "blocks",
     )
-    return raw.join(blocks, ["file_path", "_block"]).select(
+    if blocks.count() <= BROADCAST_BLOCKS:
+        blocks = F.broadcast(blocks)
+    return placed.join(blocks, ["file_path", "_block"]).select(
         "file_path", (F.col("_seq") + F.col("_shift")).alias("line_no"), "line"
     )
 
