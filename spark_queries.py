@@ -44,8 +44,12 @@ def encoded(spark: SparkSession, sf: str) -> DataFrame:
     return chains.encoded_corpus(documents(spark, sf), DOC, vocabulary(spark))
 
 
+def tokens(spark: SparkSession, sf: str) -> DataFrame:
+    return chains.corpus_tokens(documents(spark, sf), DOC, vocabulary(spark))
+
+
 def token_shards(spark: SparkSession, sf: str) -> DataFrame:
-    return encoding.token_shards(encoded(spark, sf), DOC, SETTINGS.tokens_per_shard)
+    return encoding.token_shards(tokens(spark, sf), DOC, SETTINGS.tokens_per_shard)
 
 
 def six(column) -> F.Column:
@@ -170,7 +174,7 @@ def q_format_tokenized(spark, sf):
 
 
 def q_token_stream(spark, sf):
-    return encoding.token_stream(encoded(spark, sf), DOC)
+    return encoding.token_stream(tokens(spark, sf), DOC)
 
 
 def q_token_shards(spark, sf):
@@ -180,7 +184,7 @@ def q_token_shards(spark, sf):
 
 def q_decode_tokens(spark, sf):
     """The distinct tokens of the corpus, decoded, with their counts."""
-    counted = encoding.token_stream(encoded(spark, sf), DOC).groupBy("token_id").agg(
+    counted = encoding.token_stream(tokens(spark, sf), DOC).groupBy("token_id").agg(
         F.count("*").alias("n")
     )
     return embeddings.with_words(counted, vocabulary(spark)).select("token_id", "word", "n")
@@ -217,7 +221,7 @@ def q_training_table(spark, sf):
 
 def q_trainable_shards(spark, sf):
     """Shards of nine tokens, so that a window of eight fits all but a short last one."""
-    cut = encoding.token_shards(encoded(spark, sf), DOC, 9)
+    cut = encoding.token_shards(tokens(spark, sf), DOC, 9)
     return shards.trainable_shards(cut, SETTINGS.window_size).select(
         "shard_id", F.size("tokens").alias("n_tokens")
     )
@@ -231,14 +235,13 @@ def q_pair_counts(spark, sf):
 
 
 def q_shard_embeddings(spark, sf):
-    components = embeddings.shard_components(token_shards(spark, sf))
-    return embeddings.shard_embeddings(components).select(
+    return embeddings.shard_embeddings(token_shards(spark, sf)).select(
         "shard_id", "token_id", millionths("embedding").alias("embedding")
     )
 
 
 def q_token_embeddings(spark, sf):
-    found = chains.token_vectors(encoded(spark, sf), DOC, vocabulary(spark), SETTINGS)
+    found = chains.token_vectors(tokens(spark, sf), DOC, vocabulary(spark), SETTINGS)
     return found.select("token_id", "word", millionths("embedding").alias("embedding"))
 
 

@@ -42,11 +42,8 @@ def brute_force(rows, dims, window, stride):
 def test_shard_vectors_and_their_mean(shards, dims, window, stride):
     rows, df = shards
     expected = brute_force(rows, dims, window, stride)
-    components = embeddings.shard_components(df, dims, window, stride)
-    found = {
-        (r.shard_id, r.token_id): r.embedding
-        for r in embeddings.shard_embeddings(components, dims).collect()
-    }
+    single = embeddings.shard_embeddings(df, dims, window, stride)
+    found = {(r.shard_id, r.token_id): r.embedding for r in single.collect()}
     assert found.keys() == expected.keys()
     for key, vector in expected.items():
         assert found[key] == pytest.approx(vector)
@@ -54,10 +51,9 @@ def test_shard_vectors_and_their_mean(shards, dims, window, stride):
     by_token = defaultdict(list)
     for (_, token), vector in expected.items():
         by_token[token].append(vector)
-    mean = {r.token_id: r.embedding for r in embeddings.average_components(components, dims).collect()}
-    general = embeddings.mean_embeddings(
-        embeddings.shard_embeddings(components, dims), ["token_id"]
-    )
+    averaged = embeddings.average_shard_embeddings(df, dims, window, stride)
+    mean = {r.token_id: r.embedding for r in averaged.collect()}
+    general = embeddings.mean_embeddings(single, ["token_id"])
     also = {r.token_id: r.embedding for r in general.collect()}
     assert mean.keys() == also.keys() == by_token.keys()
     for token, vectors in by_token.items():
@@ -88,7 +84,7 @@ def test_bad_vectors_are_errors(spark):
 def test_one_vector_per_token(spark):
     tokens = list(range(100)) * 3
     df = spark.createDataFrame([(1, tokens)], "shard_id int, tokens array<int>")
-    found = embeddings.shard_embeddings(embeddings.shard_components(df, 50), 50).collect()
+    found = embeddings.shard_embeddings(df, 50).collect()
     assert len(found) == 100
     assert {len(r.embedding) for r in found} == {50}
 

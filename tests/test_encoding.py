@@ -49,12 +49,14 @@ def test_null_and_empty_texts_encode(spark, vocabulary):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "a")], "doc_id long, text string")
     encoded = encoding.encode_texts(df, ["doc_id"], vocabulary).orderBy("doc_id").collect()
     assert [len(r.word_ids or []) for r in encoded] == [0, 0, 1]
+    flat = encoding.encode_tokens(df, ["doc_id"], vocabulary).orderBy("doc_id").collect()
+    assert [len(r.tokens or []) for r in flat] == [0, 0, 1]
 
 
 @pytest.mark.parametrize("size", [1, 7, 100, 100_000])
 def test_shards_cut_the_stream(corpus, vocabulary, codec, size):
     rows, df = corpus
-    encoded = encoding.encode_texts(df, ["doc_id"], vocabulary)
+    encoded = encoding.encode_tokens(df, ["doc_id"], vocabulary)
     stream = [
         t for _, text in sorted(rows) for w in text.split() for t in codec.encode_ordinary(w)
     ]

@@ -14,30 +14,30 @@ from verbaloom.operators.shards import STRIDE, WINDOW_SIZE, pair_weights, traina
 DIMENSIONS = 100
 
 
-def shard_components(
-    shards: DataFrame,
-    dimensions: int = DIMENSIONS,
-    window_size: int = WINDOW_SIZE,
-    stride: int = STRIDE,
-) -> DataFrame:
-    """shard_id, token_id, entries: sparse vector of every token of every trainable shard.
+def _pair_values(shards: DataFrame, dimensions: int, window_size: int, stride: int) -> DataFrame:
+    """shard_id, token_id, dim, x, is_first: the value each pair adds to a token's vector.
 
     The value of a (token, next token) pair is its positive pointwise mutual information
-    within the shard, ``max(0, ln(n * N / (n_token * n_next)))``; it is added to the
-    vector at ``next_id mod dimensions``, with a sign from the next higher digit of the
-    id. All shards are one job. Clustered by shard_id (as ``token_shards`` leaves it)
-    the whole chain needs no shuffle of its own.
+    within the shard, ``max(0, ln(n * total / (n_token * n_next)))``; it is added at
+    ``next_id mod dimensions``, with a sign from the next higher digit of the id. Tokens
+    without a pair keep a row that adds 0. ``is_first`` is 1 on one row per (shard,
+    token). Clustered by shard_id (as ``token_shards`` leaves it) this needs no shuffle.
     """
-    def within(*columns):
-        return F.sum("n").over(Window.partitionBy("shard_id", *columns))
-
-    information = F.log(F.col("n") * F.col("_all") / (F.col("_token") * F.col("_next")))
+    # Both windows over a token have the same order, so they share one sort.
+    of_token = Window.partitionBy("shard_id", "token_id").orderBy("next_id")
+    whole = of_token.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    of_next = Window.partitionBy("shard_id", "next_id")
+    information = F.log(F.col("n") * F.col("total") / (F.col("_token") * F.col("_next")))
     sign = F.lit(1) - F.lit(2) * (F.floor(F.col("next_id") / dimensions) % 2)
-    pairs = (
+    return (
         pair_weights(shards, window_size, stride)
-        .withColumn("_all", within())
-        .withColumn("_token", within("token_id"))
-        .withColumn("_next", within("next_id"))
+        .withColumn("_next", F.sum("n").over(of_next))
+        .withColumns(
+            {
+                "_token": F.sum("n").over(whole),
+                "_place": F.row_number().over(of_token),
+            }
+        )
         .select(
             "shard_id",
             "token_id",
@@ -45,41 +45,54 @@ def shard_components(
             F.when(F.col("n") > 0, F.greatest(information, F.lit(0.0)) * sign)
             .otherwise(F.lit(0.0))
             .alias("x"),
+            (F.col("_place") == 1).cast("int").alias("is_first"),
         )
     )
-    summed = pairs.groupBy("shard_id", "token_id", "dim").agg(F.sum("x").alias("x"))
-    entries = F.array_sort(F.collect_list(F.struct("dim", "x")))
-    return summed.groupBy("shard_id", "token_id").agg(entries.alias("entries"))
 
 
-def shard_embeddings(components: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
-    """shard_id, token_id, embedding from sparse components."""
-    return components.select(
+def shard_embeddings(
+    shards: DataFrame,
+    dimensions: int = DIMENSIONS,
+    window_size: int = WINDOW_SIZE,
+    stride: int = STRIDE,
+) -> DataFrame:
+    """shard_id, token_id, embedding: one vector per distinct token per trainable shard."""
+    sums = (
+        _pair_values(shards, dimensions, window_size, stride)
+        .groupBy("shard_id", "token_id", "dim")
+        .agg(F.sum("x").alias("x"))
+    )
+    entries = F.array_sort(F.collect_list(F.struct("dim", "x")))
+    grouped = sums.groupBy("shard_id", "token_id").agg(entries.alias("entries"))
+    return grouped.select(
         "shard_id", "token_id", vx.dense(F.col("entries"), dimensions).alias("embedding")
     )
 
 
-def average_components(components: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
+def average_shard_embeddings(
+    shards: DataFrame,
+    dimensions: int = DIMENSIONS,
+    window_size: int = WINDOW_SIZE,
+    stride: int = STRIDE,
+) -> DataFrame:
     """token_id, embedding: each token's mean vector over the shards that hold it.
 
-    Equal to ``mean_embeddings`` of ``shard_embeddings``, but only non-zero entries are
-    summed. The entry ``dim = dimensions`` counts the shards. Sums are partial per task,
-    so a token that occurs in every shard costs one row per task in the shuffle.
+    Equal to ``mean_embeddings`` of ``shard_embeddings`` without making the vectors of a
+    single shard: pair values are summed straight to (token, dimension). The sums are
+    partial per task, so a token of every shard costs at most ``dimensions`` rows per
+    task in the one shuffle.
     """
-    counted = F.concat(
-        "entries", F.array(F.struct(F.lit(dimensions).alias("dim"), F.lit(1.0).alias("x")))
-    )
     sums = (
-        components.select("token_id", F.explode(counted).alias("e"))
-        .groupBy("token_id", F.col("e.dim").alias("dim"))
-        .agg(F.sum("e.x").alias("x"))
+        _pair_values(shards, dimensions, window_size, stride)
+        .groupBy("token_id", "dim")
+        .agg(F.sum("x").alias("x"), F.sum("is_first").alias("shards"))
     )
-    entries = F.array_sort(F.collect_list(F.struct("dim", "x")))
-    grouped = sums.groupBy("token_id").agg(entries.alias("entries"))
-    totals = grouped.select("token_id", vx.dense(F.col("entries"), dimensions + 1).alias("v"))
-    shards = F.col("v")[dimensions]
-    mean = F.transform(F.slice("v", 1, dimensions), lambda x: x / shards)
-    return totals.select("token_id", mean.alias("embedding"))
+    grouped = sums.groupBy("token_id").agg(
+        F.array_sort(F.collect_list(F.struct("dim", "x"))).alias("entries"),
+        F.sum("shards").alias("shards"),
+    )
+    mean = F.transform(vx.dense(F.col("entries"), dimensions), lambda x: x / F.col("shards"))
+    return grouped.select("token_id", mean.alias("embedding"))
 
 
 def mean_embeddings(

@@ -45,7 +45,12 @@ class Vocabulary:
         a word about once per worker.
         """
         shape = T.ArrayType(T.ArrayType(T.IntegerType(), False), False)
-        return F.arrow_udf(_batch_encoder(self._broadcast()), shape)(words)
+        return F.arrow_udf(_batch_encoder(self._broadcast(), flat=False), shape)(words)
+
+    def encode_flat(self, words: Column) -> Column:
+        """``array<string>`` to ``array<int>``: the ids of all words, one after another."""
+        shape = T.ArrayType(T.IntegerType(), False)
+        return F.arrow_udf(_batch_encoder(self._broadcast(), flat=True), shape)(words)
 
     def _broadcast(self):
         if self._shipped is None:
@@ -59,11 +64,12 @@ class Vocabulary:
         return self._shipped
 
 
-def _batch_encoder(shipped):
-    """The function run on executors; it needs nothing but pyarrow and tiktoken there."""
+def _batch_encoder(shipped, flat: bool):
+    """The function run on executors; it needs only numpy, pyarrow and tiktoken there."""
     memo_limit = 1 << 18
 
     def encode(batch):
+        import numpy as np
         import pyarrow as pa
         import tiktoken
 
@@ -79,19 +85,23 @@ def _batch_encoder(shipped):
             state["memo"] = {}
         codec, memo = state["codec"], state["memo"]
 
-        flat = batch.flatten().dictionary_encode()
+        words = batch.flatten().dictionary_encode()
         ids = []
-        for word in flat.dictionary.to_pylist():
+        for word in words.dictionary.to_pylist():
             found = memo.get(word)
             if found is None:
                 found = codec.encode_ordinary(word)
                 if len(memo) < memo_limit:
                     memo[word] = found
             ids.append(found)
-        encoded = pa.array(ids, pa.list_(pa.int32())).take(flat.indices)
+        encoded = pa.array(ids, pa.list_(pa.int32())).take(words.indices)
         lengths = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        offsets = pa.array([0, *lengths.cumsum().tolist()], pa.int32())
-        return pa.ListArray.from_arrays(offsets, encoded)
+        ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        if flat:
+            counts = encoded.value_lengths().to_numpy()
+            ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)[ends]
+            encoded = encoded.flatten()
+        return pa.ListArray.from_arrays(pa.array(ends), encoded)
 
     return encode
 
@@ -107,6 +117,17 @@ def encode_texts(
     return split.withColumn("word_ids", vocabulary.encode(F.col("words")))
 
 
+def encode_tokens(
+    df: DataFrame, keys: list[str], vocabulary: Vocabulary, text: str = "text"
+) -> DataFrame:
+    """keys, tokens: the token ids of each text in order, for the token stream.
+
+    Stage this table too before it is read more than once.
+    """
+    words = tx.whitespace_words(F.col(text))
+    return df.select(*keys, vocabulary.encode_flat(words).alias("tokens"))
+
+
 def encode_counts(counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """word, token_ids, n from word, n: ids depend on the word alone, so words are
     counted first and each is encoded once."""
@@ -131,15 +152,15 @@ def tokenized_words(encoded: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def token_stream(encoded: DataFrame, keys: list[str]) -> DataFrame:
-    """token_pos, token_id: all ids of the corpus in order, numbered from 0."""
-    placed = with_offsets(_flat(encoded, keys), keys, {"_first": F.size("tokens")})
+def token_stream(texts: DataFrame, keys: list[str]) -> DataFrame:
+    """token_pos, token_id from keys, tokens: all ids in order, numbered from 0."""
+    placed = with_offsets(texts, keys, {"_first": F.size("tokens")})
     return numbered(placed, ["_first"], F.col("tokens"), "_i", "token_id").select(
         (F.col("_first") + F.col("_i")).alias("token_pos"), "token_id"
     )
 
 
-def token_shards(encoded: DataFrame, keys: list[str], tokens_per_shard: int) -> DataFrame:
+def token_shards(texts: DataFrame, keys: list[str], tokens_per_shard: int) -> DataFrame:
     """shard_id (from 1), tokens: the stream cut into shards of a fixed token count.
 
     A shard is one row: its length is bounded by ``tokens_per_shard``. Texts are cut
@@ -149,7 +170,7 @@ def token_shards(encoded: DataFrame, keys: list[str], tokens_per_shard: int) ->
     if tokens_per_shard <= 0:
         raise ValueError("tokens_per_shard must be positive")
     size = F.lit(tokens_per_shard).cast("bigint")
-    placed = with_offsets(_flat(encoded, keys), keys, {"_first": F.size("tokens")})
+    placed = with_offsets(texts, keys, {"_first": F.size("tokens")})
     first, tokens = F.col("_first"), F.col("tokens")
     end = first + F.size(tokens)
 
@@ -174,7 +195,3 @@ def token_shards(encoded: DataFrame, keys: list[str], tokens_per_shard: int) ->
     return cut.groupBy("shard_id").agg(
         F.flatten(F.transform(in_order, lambda part: part["ids"])).alias("tokens")
     )
-
-
-def _flat(encoded: DataFrame, keys: list[str]) -> DataFrame:
-    return encoded.select(*keys, F.flatten("word_ids").alias("tokens"))

@@ -6,8 +6,9 @@ by ``shard_id`` (as ``token_shards`` leaves it) nothing here needs another shuff
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from verbaloom.operators.words import numbered
 
@@ -23,19 +24,44 @@ def shard_vocabulary(shards: DataFrame) -> DataFrame:
     )
 
 
-def indexed_tokens(shards: DataFrame) -> DataFrame:
-    """shard_id, token_pos, token_id, token_index: each token with its vocabulary index.
+def indexed_shards(shards: DataFrame) -> DataFrame:
+    """shard_id, tokens, indices: each token with its index in the shard's vocabulary.
 
-    The index is the rank of the token's first position in the shard. Both windows are
-    satisfied by rows clustered on ``shard_id``, so no vocabulary join is needed.
+    Numbers a whole shard array at once in Arrow. Windows or a vocabulary join say the
+    same, but sort or shuffle one row per token of the corpus.
     """
-    same_token = Window.partitionBy("shard_id", "token_id")
-    by_first = Window.partitionBy("shard_id").orderBy("_first")
-    return (
-        numbered(shards, ["shard_id"], F.col("tokens"), "token_pos", "token_id")
-        .withColumn("_first", F.min("token_pos").over(same_token))
-        .withColumn("token_index", F.dense_rank().over(by_first) - 1)
-        .drop("_first")
+    number = F.arrow_udf(_first_seen_numbers(), T.ArrayType(T.IntegerType(), False))
+    return shards.select("shard_id", "tokens", number("tokens").alias("indices"))
+
+
+def _first_seen_numbers():
+    """The function run on executors; it needs only numpy and pyarrow there."""
+
+    def number(batch):
+        import numpy as np
+        import pyarrow as pa
+
+        found = []
+        for tokens in batch:
+            _, first, place = np.unique(
+                tokens.values.to_numpy(), return_index=True, return_inverse=True
+            )
+            rank = np.empty(len(first), dtype=np.int32)
+            rank[np.argsort(first)] = np.arange(len(first), dtype=np.int32)
+            found.append(rank[place])
+        return pa.array(found, pa.list_(pa.int32()))
+
+    return number
+
+
+def indexed_tokens(shards: DataFrame) -> DataFrame:
+    """shard_id, token_pos, token_id, token_index: one row per token."""
+    pairs = F.arrays_zip("tokens", "indices")
+    return numbered(indexed_shards(shards), ["shard_id"], pairs, "token_pos", "_pair").select(
+        "shard_id",
+        "token_pos",
+        F.col("_pair.tokens").alias("token_id"),
+        F.col("_pair.indices").alias("token_index"),
     )
 
 
@@ -61,22 +87,12 @@ def window_pairs(
     )
 
 
-def indexed_shards(shards: DataFrame) -> DataFrame:
-    """shard_id, tokens: the shards with every token replaced by its vocabulary index."""
-    placed = F.struct("token_pos", "token_index")
-    return (
-        indexed_tokens(shards)
-        .groupBy("shard_id")
-        .agg(F.array_sort(F.collect_list(placed)).alias("_placed"))
-        .select("shard_id", F.col("_placed.token_index").alias("tokens"))
-    )
-
-
 def training_table(
     shards: DataFrame, window_size: int = WINDOW_SIZE, stride: int = STRIDE
 ) -> DataFrame:
     """shard_id, sample_idx, input, target over vocabulary indices, ready to write."""
-    return window_pairs(indexed_shards(shards), window_size, stride)
+    indexed = indexed_shards(shards).select("shard_id", F.col("indices").alias("tokens"))
+    return window_pairs(indexed, window_size, stride)
 
 
 def trainable_shards(shards: DataFrame, window_size: int = WINDOW_SIZE) -> DataFrame:
@@ -87,12 +103,13 @@ def trainable_shards(shards: DataFrame, window_size: int = WINDOW_SIZE) -> DataF
 def pair_weights(
     shards: DataFrame, window_size: int = WINDOW_SIZE, stride: int = STRIDE
 ) -> DataFrame:
-    """shard_id, token_id, next_id, n for every token of a trainable shard.
+    """shard_id, token_id, next_id, n, total for every token of a trainable shard.
 
     ``n`` is how often the window pairs hold ``token_id`` as input with ``next_id`` as
     its target. A position lies in as many windows as there are starts that cover it, so
     positions are weighted instead of laying the overlapping windows out. Tokens that no
     window covers keep a row with n = 0 (and a null ``next_id`` at the shard's end).
+    ``total`` is the number of pairs in the shard.
     """
     usable = trainable_shards(shards, window_size)
     following = F.slice("tokens", F.lit(2), F.size("tokens"))
@@ -111,9 +128,10 @@ def pair_weights(
             F.col("_step.a").alias("token_id"),
             F.col("_step.b").alias("next_id"),
             _covering_windows(F.col("_p"), last_start, window_size, stride).alias("_windows"),
+            ((last_start + 1) * window_size).alias("_total"),
         )
         .groupBy("shard_id", "token_id", "next_id")
-        .agg(F.sum("_windows").alias("n"))
+        .agg(F.sum("_windows").alias("n"), F.max("_total").alias("total"))
     )
 
 
@@ -121,7 +139,7 @@ def pair_counts(
     shards: DataFrame, window_size: int = WINDOW_SIZE, stride: int = STRIDE
 ) -> DataFrame:
     """shard_id, token_id, next_id, n: next-token pair counts over all window pairs."""
-    return pair_weights(shards, window_size, stride).where("n > 0")
+    return pair_weights(shards, window_size, stride).where("n > 0").drop("total")
 
 
 def _covering_windows(position: Column, last: Column, window_size: int, stride: int) -> Column:

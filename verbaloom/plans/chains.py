@@ -36,15 +36,22 @@ def encoded_corpus(
     return stage(encoding.encode_texts(df, keys, vocabulary, text), "encoded")
 
 
+def corpus_tokens(
+    df: DataFrame, keys: list[str], vocabulary: Vocabulary, text: str = "text"
+) -> DataFrame:
+    """keys, tokens as a staged table: the same without the words, for the token stream."""
+    return stage(encoding.encode_tokens(df, keys, vocabulary, text), "tokens")
+
+
 def token_vectors(
-    encoded: DataFrame, keys: list[str], vocabulary: Vocabulary, settings: Settings = Settings()
+    texts: DataFrame, keys: list[str], vocabulary: Vocabulary, settings: Settings = Settings()
 ) -> DataFrame:
-    """token_id, embedding, word: each token's vector averaged over the token shards."""
-    shards = encoding.token_shards(encoded, keys, settings.tokens_per_shard)
-    components = embeddings.shard_components(
+    """token_id, embedding, word from keys, tokens: each token's vector averaged over the
+    token shards."""
+    shards = encoding.token_shards(texts, keys, settings.tokens_per_shard)
+    mean = embeddings.average_shard_embeddings(
         shards, settings.dimensions, settings.window_size, settings.stride
     )
-    mean = embeddings.average_components(components, settings.dimensions)
     return embeddings.with_words(mean, vocabulary)
 
 
@@ -56,6 +63,6 @@ def nearest_words(
     text: str = "text",
 ) -> DataFrame:
     """token_id, word, rank, neighbour_id, neighbour, similarity, from raw text."""
-    encoded = encoded_corpus(df, keys, vocabulary, text)
-    vectors = stage(token_vectors(encoded, keys, vocabulary, settings), "vectors")
+    texts = corpus_tokens(df, keys, vocabulary, text)
+    vectors = stage(token_vectors(texts, keys, vocabulary, settings), "vectors")
     return similarity.top_neighbours(vectors, "token_id", "word", settings.top_n)
