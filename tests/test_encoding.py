@@ -96,6 +96,9 @@ def test_oversized_vocabulary_is_refused(spark, tmp_path, monkeypatch):
     small = encoding.Vocabulary(spark, f"file://{path}", r"\S+")
     with pytest.raises(ValueError, match="more than 1 tokens"):
         small.encode(F.array(F.lit("!")))
+    ids = spark.createDataFrame([(1,)], "token_id int")
+    with pytest.raises(ValueError, match="more than 1 tokens"):
+        embeddings.with_words(ids, small)
 
 
 def test_positioned_words_agree_with_tokenized(corpus, vocabulary):

@@ -116,10 +116,10 @@ def mean_embeddings(
 
 
 def with_words(vectors: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Add the decoded word of each token id. The rank file's size is bounded, so its
-    table is broadcast."""
-    tokens = vocabulary.tokens().limit(MAX_VOCABULARY)
-    return vectors.join(F.broadcast(tokens), "token_id")
+    """Add the decoded word of each token id. The rank file's table is broadcast once its
+    size has been checked."""
+    vocabulary.check_size()
+    return vectors.join(F.broadcast(vocabulary.tokens()), "token_id")
 
 
 def word2vec_vectors(

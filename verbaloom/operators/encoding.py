@@ -52,12 +52,19 @@ class Vocabulary:
         shape = T.ArrayType(T.IntegerType(), False)
         return F.arrow_udf(_batch_encoder(self._broadcast(), flat=True), shape)(words)
 
+    def check_size(self) -> None:
+        """Fail if the rank file is too large to broadcast."""
+        self._load()
+
+    def _load(self) -> list:
+        lines = self.spark.read.text(self.path).limit(MAX_VOCABULARY + 1).collect()
+        if len(lines) > MAX_VOCABULARY:
+            raise ValueError(f"{self.path}: more than {MAX_VOCABULARY} tokens")
+        return lines
+
     def _broadcast(self):
         if self._shipped is None:
-            lines = self.spark.read.text(self.path).limit(MAX_VOCABULARY + 1).collect()
-            if len(lines) > MAX_VOCABULARY:
-                raise ValueError(f"{self.path}: more than {MAX_VOCABULARY} tokens")
-            pairs = (line.value.split(" ") for line in lines)
+            pairs = (line.value.split(" ") for line in self._load())
             ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
             state = {"pattern": self.pattern, "ranks": ranks}
             self._shipped = self.spark.sparkContext.broadcast(state)
