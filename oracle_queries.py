@@ -396,4 +396,11 @@ named AS MATERIALIZED (
         ),
     }
     sql["text_shards"] = sql["word_shards"]
+    sql["imported_token_shards"] = sql["token_shards"]
+    sql["imported_neighbours"] = (
+        f"""{VECTORS}, named AS (
+  SELECT 'v' || vec_id || ' ' || label AS id, 'v' || vec_id AS word, v, norm
+  FROM lengths WHERE label > 3), {_top('named', 'word')}""",
+        f"SELECT id AS key, rank, neighbour, {_six('similarity')} AS similarity FROM ranked",
+    )
     return {name: f"WITH RECURSIVE {ctes.strip()}\n{body}" for name, (ctes, body) in sql.items()}

@@ -383,6 +383,24 @@ def q_rejected_embeddings(spark, sf):
     return found.select(F.split("line", "\t")[0].alias("key"))
 
 
+def q_imported_token_shards(spark, sf):
+    """Token shards written as text, one id per line, and read back a file at a time."""
+    path = new_path(spark, "token-shards")
+    stream = token_shards(spark, sf).select(
+        "shard_id", F.posexplode("tokens").alias("token_pos", "token_id")
+    )
+    text_files.write_shards(stream, path, "token_pos", "token_id")
+    found = text_files.read_token_shards(spark, path, glob="part-*")
+    return found.select("shard_id", F.posexplode("tokens").alias("token_pos", "token_id"))
+
+
+def q_imported_neighbours(spark, sf):
+    """Nearest words of embedding lines."""
+    found = text_files.read_embeddings(spark, _embedding_files(spark, sf), glob="part-*")
+    top = similarity.top_neighbours(found, "key", "word", SETTINGS.top_n)
+    return top.select("key", "rank", "neighbour", six("similarity").alias("similarity"))
+
+
 def queries():
     return {
         name.removeprefix("q_"): _plain(function)

@@ -122,3 +122,22 @@ def test_staged_tables_lie_in_the_shared_folder(spark):
     assert staged.count() == 5
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert all(f.startswith(shared) for f in staged.inputFiles())
+
+
+def test_staged_tables_can_be_dropped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "shared_folder", lambda spark: f"file://{tmp_path}")
+    assert tables.stage(spark.range(3), "try").count() == 3
+    assert len(list(tmp_path.glob("verbaloom-*/try-*"))) == 1
+    tables.drop_staged(spark)
+    assert list(tmp_path.glob("verbaloom-*")) == []
+
+
+def test_token_shards(spark, tmp_path):
+    (tmp_path / "shard_00001.txt").write_text("5\n\n 7 \n5\n")
+    (tmp_path / "shard_id=00002").mkdir()
+    (tmp_path / "shard_id=00002" / "part-0").write_text("9\n")
+    found = text_files.read_token_shards(spark, str(tmp_path)).collect()
+    assert {r.shard_id: r.tokens for r in found} == {1: [5, 7, 5], 2: [9]}
+    (tmp_path / "shard_00003.txt").write_text("x\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        text_files.read_token_shards(spark, str(tmp_path)).collect()

@@ -30,15 +30,15 @@ def running_offsets(totals: DataFrame, keys: list[str], weights: list[str]) -> D
         for i in reversed(range(len(keys)))
         for digit in range(DIGITS)
     ]
+    parents = levels[1:] + [[]]
     frame = totals.select(
-        *(_required(k).alias(k) for k in keys), *(F.col(w).cast("bigint") for w in weights)
+        *(_required(k).alias(k) for k in keys),
+        F.shiftright(_required(keys[-1]), DIGIT_BITS).alias(parents[0][-1]),
+        *(F.col(w).cast("bigint") for w in weights),
     )
     scans = []
-    for level, parent in zip(levels, levels[1:] + [[]]):
-        by = level[-1]
-        if parent and parent[-1] not in frame.columns:
-            frame = frame.withColumn(parent[-1], F.shiftright(F.col(by), DIGIT_BITS))
-        ordered = Window.partitionBy(*parent).orderBy(by)
+    for i, (level, parent) in enumerate(zip(levels, parents)):
+        ordered = Window.partitionBy(*parent).orderBy(level[-1])
         before = ordered.rowsBetween(Window.unboundedPreceding, -1)
         scan = frame.select(
             *dict.fromkeys(level + parent),
@@ -46,23 +46,24 @@ def running_offsets(totals: DataFrame, keys: list[str], weights: list[str]) -> D
             *(F.coalesce(F.sum(w).over(before), F.lit(0)).alias(f"_before_{w}") for w in weights),
             F.lead(F.lit(True)).over(ordered).isNull().alias("_last"),
         )
-        scans.append((scan, parent))
-        frame = scan.where("_last").select(
-            *parent, *((F.col(f"_before_{w}") + F.col(w)).alias(w) for w in weights)
-        )
+        scans.append(scan)
+        if parent:
+            # One row per group, with the digit that groups the groups.
+            coarser = [c for c in parents[i + 1][-1:] if c not in parent]
+            frame = scan.where("_last").select(
+                *parent,
+                *(F.shiftright(parent[-1], DIGIT_BITS).alias(c) for c in coarser),
+                *((F.col(f"_before_{w}") + F.col(w)).alias(w) for w in weights),
+            )
 
     result = None
-    for (scan, parent), level in zip(reversed(scans), reversed(levels)):
-        found = scan.select(
-            *dict.fromkeys(level + parent), *(F.col(f"_before_{w}").alias(w) for w in weights)
-        )
+    for scan, level, parent in reversed(list(zip(scans, levels, parents))):
+        sums = {w: F.col(f"_before_{w}") for w in weights}
         if result is not None:
-            base = result.select(*parent, *(F.col(w).alias(f"_base_{w}") for w in weights))
-            found = found.join(base, parent)
-            for w in weights:
-                found = found.withColumn(w, F.col(w) + F.col(f"_base_{w}"))
-        result = found
-    return result.select(*keys, *weights)
+            scan = scan.join(result, parent)
+            sums = {w: before + F.col(f"_base_{w}") for w, before in sums.items()}
+        result = scan.select(*level, *(x.alias(f"_base_{w}") for w, x in sums.items()))
+    return result.select(*keys, *(F.col(f"_base_{w}").alias(w) for w in weights))
 
 
 def with_offsets(df: DataFrame, keys: list[str], weights: dict[str, Column]) -> DataFrame:

@@ -39,9 +39,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def staging_folder(spark: SparkSession) -> str:
+    """Where this application keeps its staged tables, inside the shared folder."""
+    application = spark.sparkContext.applicationId
+    return os.path.join(shared_folder(spark), f"verbaloom-{application}")
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """An unused path in the shared folder."""
-    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    """An unused path in the staging folder."""
+    return os.path.join(staging_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -54,3 +60,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete this application's staged tables, once nothing reads them any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging_folder(spark))
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.delete(folder, True)

@@ -142,6 +142,21 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select("shard_id", F.col("value").alias("line"))
 
 
+def read_token_shards(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
+    """shard_id, tokens from text shards with one token id per line.
+
+    The number comes from a ``shard_00001.txt`` or ``shard_id=00001`` path. Empty lines
+    are skipped; a line that is no number, or a path without one, is an error.
+    """
+    files = read_whole_files(spark, path, glob=glob)
+    lines = F.split(trim_controls(F.col("content")), r"[\x00-\x20]*\n[\x00-\x20]*")
+    number = F.regexp_extract("file_path", r"shard_(?:id=)?([0-9]+)", 1)
+    return files.select(
+        number.cast("int").alias("shard_id"),
+        F.array_remove(lines, "").cast("array<int>").alias("tokens"),
+    )
+
+
 def parse_embedding_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """key, word, embedding, valid from ``key<TAB>x,x,x`` lines.
 
