@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import public_tokenizers
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,13 +13,23 @@ from verbaloom.operators import embeddings, encoding, ordinals, shards, similari
 from verbaloom.operators.encoding import Vocabulary
 from verbaloom.plans import chains
 from verbaloom.sources import text_files
-from verbaloom.sources.tables import new_path, read_table
+from verbaloom.sources.tables import new_path, read_table, small_side, stage
+
+try:
+    import public_tokenizers
+
+    FOLDER = os.path.dirname(public_tokenizers.__file__)
+except ImportError:
+    FOLDER = "/opt/tokenizers"
+
+# The vocabulary of the registered queries and its split pattern.
+RANK_FILE = f"{FOLDER}/byte_bpe_50k.tiktoken"
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 DOC = ["doc_id"]
 RECORDS_PER_SHARD = 1000
 LINES_PER_SHARD = 1000
 SETTINGS = chains.Settings()
-RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -37,7 +48,7 @@ def vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def vocabulary(spark: SparkSession) -> Vocabulary:
-    return Vocabulary(spark, f"file://{RANK_FILE}", public_tokenizers.PATTERN)
+    return Vocabulary(spark, f"file://{RANK_FILE}", PATTERN)
 
 
 def encoded(spark: SparkSession, sf: str) -> DataFrame:
@@ -272,7 +283,8 @@ def q_dot_products(spark, sf):
 def q_cosine_pairs(spark, sf):
     """Each vector with the mean vector of its label."""
     found = vectors(spark, sf)
-    mean = embeddings.mean_embeddings(found, ["label"]).withColumnRenamed("embedding", "b")
+    mean = stage(embeddings.mean_embeddings(found, ["label"]), "means")
+    mean = small_side(mean.withColumnRenamed("embedding", "b"), rows=1 << 14)
     pairs = found.withColumnRenamed("embedding", "a").join(mean, "label")
     return similarity.pair_cosines(pairs).select(
         "vec_id", "label", six("dot").alias("dot"), six("cosine").alias("cosine")

@@ -37,7 +37,6 @@ def codec():
     """The same vocabulary in tiktoken itself."""
     import base64
 
-    import public_tokenizers
     import tiktoken
 
     import spark_queries
@@ -45,5 +44,5 @@ def codec():
     with open(spark_queries.RANK_FILE, "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
     return tiktoken.Encoding(
-        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        "own", pat_str=spark_queries.PATTERN, mergeable_ranks=ranks, special_tokens={}
     )

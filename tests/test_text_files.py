@@ -37,7 +37,7 @@ def test_numbered_lines_follow_path_order(spark, folder):
 
 @pytest.mark.parametrize("broadcast", [1 << 20, 0])
 def test_numbered_lines_of_a_file_in_many_blocks(spark, tmp_path, monkeypatch, broadcast):
-    monkeypatch.setattr(text_files, "BROADCAST_BLOCKS", broadcast)
+    monkeypatch.setattr(tables, "BROADCAST_ROWS", broadcast)
     lines = [f"{i} " + "x" * (i % 50) for i in range(5000)]
     (tmp_path / "big.txt").write_text("\n".join(lines))
     (tmp_path / "small.txt").write_text("last\n")
@@ -105,8 +105,24 @@ def test_write_and_overwrite_shards(spark, tmp_path):
     text_files.write_shards(df, path, "o")
     assert spark.read.parquet(path).count() == 4
     (tmp_path / "file").write_text("x")
-    with pytest.raises(ValueError, match="not a directory"):
-        text_files.write_shards(df, str(tmp_path / "file"), "o", "v")
+    for write in (text_files.write_shards, text_files.write_shard_ranges):
+        with pytest.raises(ValueError, match="not a directory"):
+            write(df, str(tmp_path / "file"), "o")
+
+
+def test_shard_ranges(spark, tmp_path):
+    rows = [(i // 10 + 1, i, f"v{i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "shard_id int, o long, v string").repartition(7)
+    path = str(tmp_path / "ranges")
+    text_files.write_shard_ranges(df, path, "o")
+    written = spark.read.parquet(path)
+    assert sorted(map(tuple, written.collect())) == rows
+    for file in written.inputFiles():
+        found = [(r.shard_id, r.o) for r in spark.read.parquet(file).collect()]
+        assert found == sorted(found)
+    one = written.where("shard_id = 3")
+    assert [r.o for r in one.orderBy("o").collect()] == list(range(20, 30))
+    assert "EqualTo(shard_id,3)" in one._jdf.queryExecution().executedPlan().toString()
 
 
 def test_write_lines(spark, tmp_path):

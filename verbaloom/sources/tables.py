@@ -7,6 +7,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# A narrow table of at most this many rows may be broadcast.
+BROADCAST_ROWS = 1 << 20
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str], keys: list[str]) -> DataFrame:
@@ -62,6 +66,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """One side of a join, broadcast if it has at most ``rows`` rows (2**20 by default, for
+    narrow ones). Otherwise it is left to be shuffled, where adaptive execution splits
+    hot keys.
+
+    Rows are counted here, so pass a staged or cheap table.
+    """
+    rows = BROADCAST_ROWS if rows is None else rows
+    few = df.limit(rows + 1).count() <= rows
+    return F.broadcast(df) if few else df
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete this application's staged tables, once nothing reads them any more."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging_folder(spark))

@@ -10,10 +10,7 @@ from pyspark.sql import functions as F
 
 from verbaloom.functions import vectors as vx
 from verbaloom.functions.text import LINE_BREAK, trim_controls
-from verbaloom.sources.tables import stage
-
-# Beyond this many file blocks their table is shuffled, not broadcast.
-BROADCAST_BLOCKS = 1 << 20
+from verbaloom.sources.tables import small_side, stage
 
 
 def _text(spark: SparkSession, path, recursive: bool, glob: str | None, whole: bool = False):
@@ -63,9 +60,7 @@ def read_numbered_lines(
         ),
         "blocks",
     )
-    if blocks.count() <= BROADCAST_BLOCKS:
-        blocks = F.broadcast(blocks)
-    return placed.join(blocks, ["file_path", "_block"]).select(
+    return placed.join(small_side(blocks), ["file_path", "_block"]).select(
         "file_path", (F.col("_seq") + F.col("_shift")).alias("line_no"), "line"
     )
 
@@ -120,13 +115,9 @@ def write_shards(
 
     Parquet of all columns, or text lines of one column if ``value`` is named. A shard is
     bounded by its record count, so one task can write it; tasks hold many shards.
-    Fails if ``path`` is a file.
+    Fails if ``path`` is a file. For millions of shards use ``write_shard_ranges``.
     """
-    spark = df.sparkSession
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if system.exists(target) and not system.getFileStatus(target).isDirectory():
-        raise ValueError(f"not a directory: {path}")
+    _need_folder(df.sparkSession, path)
     # Five digits, so that path order is shard order.
     padded = df.withColumn(shard, F.format_string("%05d", shard))
     laid_out = padded.repartition(shard).sortWithinPartitions(shard, order)
@@ -137,6 +128,24 @@ def write_shards(
         lines.write.mode("overwrite").partitionBy(shard).text(path)
 
 
+def write_shard_ranges(df: DataFrame, path: str, order: str, shard: str = "shard_id") -> None:
+    """Write shards as Parquet files that each hold a run of consecutive shards, in order.
+
+    No folder per shard, so their number does not matter. Readers that filter on the
+    shard skip the other files and row groups by their statistics.
+    """
+    _need_folder(df.sparkSession, path)
+    laid_out = df.repartitionByRange(shard, order).sortWithinPartitions(shard, order)
+    laid_out.write.mode("overwrite").parquet(path)
+
+
+def _need_folder(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.exists(target) and not system.getFileStatus(target).isDirectory():
+        raise ValueError(f"not a directory: {path}")
+
+
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """shard_id, line of text shards; a filter on shard_id reads those shards only."""
     return spark.read.text(path).select("shard_id", F.col("value").alias("line"))
