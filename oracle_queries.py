@@ -250,9 +250,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "parse_positioned": (
             WORDS,
-            """SELECT doc_id, word_no AS position,
-  CASE word_no % 5 WHEN 0 THEN word ELSE word || '_' || word END AS word
-FROM placed WHERE word_no % 5 < 2""",
+            """SELECT doc_id, 0 AS form, word_no AS position, word FROM placed
+UNION ALL SELECT doc_id, 1, word_no, word || '_' || word FROM placed""",
         ),
         "positioned_words": (WORDS, "SELECT doc_id, position, word FROM placed"),
         "conversation_positions": (

@@ -110,18 +110,20 @@ def q_word_counts(spark, sf):
 
 
 def q_parse_positioned(spark, sf):
-    """Positioned text of every word; by word number three of five lines are malformed."""
+    """Every word in five positioned forms, of which the last three are malformed."""
     found = words.split_words(documents(spark, sf), DOC)
-    no, word = F.col("word_no").cast("string"), F.col("word")
-    value = (
-        F.when(F.col("word_no") % 5 == 0, F.concat(no, F.lit("_"), word))
-        .when(F.col("word_no") % 5 == 1, F.concat(no, F.lit("_"), word, F.lit("_"), word))
-        .when(F.col("word_no") % 5 == 2, F.concat(F.lit("_"), word))
-        .when(F.col("word_no") % 5 == 3, F.concat(no, F.lit("_")))
-        .otherwise(F.concat(F.lit("x"), no, F.lit("_"), word))
+    no, word, cut = F.col("word_no").cast("string"), F.col("word"), F.lit("_")
+    forms = F.array(
+        F.concat(no, cut, word),
+        F.concat(no, cut, word, cut, word),
+        F.concat(cut, word),
+        F.concat(no, cut),
+        F.concat(F.lit("x"), no, cut, word),
     )
-    parsed = found.select("doc_id", tx.positioned_word(value).alias("p"))
-    return parsed.where("p is not null").select("doc_id", "p.position", "p.word")
+    parsed = words.numbered(found, DOC, forms, "form", "value").select(
+        "doc_id", "form", tx.positioned_word(F.col("value")).alias("p")
+    )
+    return parsed.where("p is not null").select("doc_id", "form", "p.position", "p.word")
 
 
 # --- ordinals and shards -------------------------------------------------------------

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from verbaloom.functions import vectors as vx
 from verbaloom.operators.encoding import MAX_VOCABULARY, Vocabulary
 from verbaloom.operators.shards import STRIDE, WINDOW_SIZE, pair_weights, trainable_shards
+from verbaloom.operators.words import numbered
 
 # Fixed value: the default vector length.
 DIMENSIONS = 100
@@ -102,7 +103,7 @@ def mean_embeddings(
 
     No rows in, no rows out. Vectors of unequal length under one key are an error.
     """
-    elements = df.select(*keys, F.posexplode(embedding).alias("dim", "x"))
+    elements = numbered(df, keys, F.col(embedding), "dim", "x")
     means = elements.groupBy(*keys, "dim").agg(
         F.avg(F.col("x").cast("double")).alias("x"), F.count("*").alias("n")
     )

@@ -34,10 +34,15 @@ def with_norms(vectors: DataFrame, embedding: str = "embedding") -> DataFrame:
 
 def pair_cosines(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Add ``dot`` and ``cosine`` to rows that hold two vectors."""
-    product = pairs.withColumn("dot", vx.dot(F.col(a), F.col(b)))
-    return product.withColumn(
-        "cosine", vx.cosine(F.col("dot"), vx.norm(F.col(a)), vx.norm(F.col(b)))
+    measured = pairs.withColumns(
+        {
+            "dot": vx.dot(F.col(a), F.col(b)),
+            "_norm_a": vx.norm(F.col(a)),
+            "_norm_b": vx.norm(F.col(b)),
+        }
     )
+    cosine = vx.cosine(F.col("dot"), F.col("_norm_a"), F.col("_norm_b"))
+    return measured.withColumn("cosine", cosine).drop("_norm_a", "_norm_b")
 
 
 def top_neighbours(
@@ -67,7 +72,8 @@ def top_neighbours(
         F.col(embedding).cast("array<double>").alias("v"),
     )
     blocks = _block_count(source, block_rows)
-    length = vx.norm(F.col("v"))
+    # The norm is a column of its own: inside the lambda it would be taken per element.
+    length = F.col("norm")
     unit = F.when(length != 0, F.transform("v", lambda x: x / length)).otherwise(F.col("v"))
     own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     cells = F.transform(
@@ -77,7 +83,8 @@ def top_neighbours(
         ),
     )
     dealt = (
-        source.select("id", "word", unit.alias("unit"), own.alias("block"))
+        with_norms(source, "v")
+        .select("id", "word", unit.alias("unit"), own.alias("block"))
         .withColumn("cell", F.explode(cells))
         .select("cell.i", "cell.j", "block", "id", "word", "unit")
     )
