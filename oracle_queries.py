@@ -220,8 +220,11 @@ ranked AS (
   QUALIFY rank <= {TOP})"""
 
 
-LABELLED = f"{VECTORS}, named AS (SELECT vec_id AS id, CAST(label AS VARCHAR) AS word, v, norm FROM lengths)"
-BY_ID = f"{VECTORS}, named AS (SELECT vec_id AS id, CAST(vec_id AS VARCHAR) AS word, v, norm FROM lengths)"
+
+def _named(word):
+    return f"""{VECTORS},
+named AS (SELECT vec_id AS id, CAST({word} AS VARCHAR) AS word, v, norm FROM lengths)"""
+
 
 FILE_LINES = f"""
 {CLEAN},
@@ -343,11 +346,11 @@ counted AS (SELECT word, count(*) AS n FROM found GROUP BY word),
             f"THEN {_six('dot / (norm * mean_norm)')} ELSE 0.0 END AS cosine FROM both_sides",
         ),
         "cosine_topn": (
-            f"{BY_ID}, {_top('named', 'word')}",
+            f"{_named('vec_id')}, {_top('named', 'word')}",
             f"SELECT id AS vec_id, rank, neighbour_id, {_six('similarity')} AS similarity FROM ranked",
         ),
         "neighbours": (
-            f"{LABELLED}, {_top('named', 'word')}",
+            f"{_named('label')}, {_top('named', 'word')}",
             """SELECT n.id AS vec_id, n.word, coalesce(string_agg(
   CAST(neighbour_id AS VARCHAR), ' ' ORDER BY rank), '') AS ids
 FROM named n LEFT JOIN ranked r ON r.id = n.id GROUP BY ALL""",

@@ -76,7 +76,8 @@ def test_bad_vectors_are_errors(spark):
     parsed = bad.withColumn("embedding", vx.parse_vector(F.col("csv"), strict=True))
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         embeddings.mean_embeddings(parsed, ["key"]).collect()
-    uneven = spark.createDataFrame([("a", [1.0]), ("a", [1.0, 2.0])], "key string, embedding array<double>")
+    rows = [("a", [1.0]), ("a", [1.0, 2.0])]
+    uneven = spark.createDataFrame(rows, "key string, embedding array<double>")
     with pytest.raises(Exception, match="unequal length"):
         embeddings.mean_embeddings(uneven, ["key"]).collect()
 

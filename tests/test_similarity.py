@@ -110,7 +110,8 @@ def test_unequal_lengths(spark):
 
 
 def test_last_vector_of_a_word(spark):
-    df = spark.createDataFrame([("a", 1, 1.0), ("a", 3, 3.0), ("b", 2, 2.0)], "word string, no int, x double")
+    rows = [("a", 1, 1.0), ("a", 3, 3.0), ("b", 2, 2.0)]
+    df = spark.createDataFrame(rows, "word string, no int, x double")
     found = similarity.last_per_word(df, "word", "no").collect()
     assert {(r.word, r.no, r.x) for r in found} == {("a", 3, 3.0), ("b", 2, 2.0)}
 

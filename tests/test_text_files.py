@@ -93,7 +93,8 @@ def test_embedding_lines(spark, tmp_path):
 
 
 def test_write_and_overwrite_shards(spark, tmp_path):
-    df = spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (2, 2, "c"), (3, 3, "d")], "shard_id int, o long, v string")
+    rows = [(1, 0, "a"), (1, 1, "b"), (2, 2, "c"), (3, 3, "d")]
+    df = spark.createDataFrame(rows, "shard_id int, o long, v string")
     path = str(tmp_path / "shards")
     text_files.write_shards(df, path, "o", "v")
     text_files.write_shards(df.where("shard_id < 3"), path, "o", "v")
