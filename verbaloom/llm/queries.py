@@ -5,12 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verbaloom.llm import id_files, sentencepieces, token_counts
+from verbaloom.llm import (
+    chat,
+    hilbert_shards,
+    id_files,
+    quality_rules,
+    sentencepieces,
+    token_counts,
+    url_filters,
+)
 from verbaloom.llm.common import read_table, vocabulary_path
-from verbaloom.sources.tables import new_path
+from verbaloom.sources.tables import new_path, stage
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
+SHARDS = 24
+# The url rules, and the first labels of listed hosts.
+URL_RULES = [
+    url_filters.Rule("block", "net", "/"),
+    url_filters.Rule("allow", "example.net", "/en/"),
+    url_filters.Rule("block", "example.com", "/de/"),
+    url_filters.Rule("allow", "org", "/fr/"),
+]
+LISTED_NAMES = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +41,27 @@ def q_op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def q_op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts look like a template."""
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    mark = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", mark), (-7, 1, "assistant", mark)], turns.schema)
+    events = chat.as_events(turns.unionByName(more))
+    made = chat.render(chat.fold_events(events))
+    told = made.withColumns(
+        {"turns": chat.parse(F.col("formatted")), "learned": chat.learned_text(F.col("segments"))}
+    )
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return told.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("learned").cast("bigint").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
 def q_op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = sentencepieces.encode_texts(
         _documents(spark, sf_dir), vocabulary_path(PIECE_MODEL), decode=True
@@ -54,6 +92,53 @@ def q_op5_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_verdicts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``docs`` with statistics and the verdict of rules fitted on the labelled documents."""
+    labels = read_table(spark, sf_dir, "labels")
+    rules = quality_rules.fit_rules(quality_rules.labelled_statistics(docs, labels))
+    return quality_rules.with_verdict(quality_rules.with_statistics(docs), rules)
+
+
+def q_op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_verdicts(spark, _documents(spark, sf_dir), sf_dir)
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "rule")
+
+
+def q_op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    facts = read_table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + 8).cast("bigint").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        "source",
+        "lang",
+    )
+    placed = hilbert_shards.assign_shards(
+        stage(facts, "document-facts"), ["source", "lang", "size"], SHARDS
+    )
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "cell",
+    )
+
+
+def q_op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages by the rules; other hosts are blocked if the list has them. The list is the
+    hosts, with or without a service name before them, that begin with a listed name."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    hosts = stage(pages.select(url_filters.host(F.col("url")).alias("key")).distinct(), "hosts")
+    name = F.regexp_extract("key", r"^(?:www\.|m\.|blog\.)?([^.]+)\.", 1)
+    cascade = url_filters.build_cascade(hosts.where(name.isin(LISTED_NAMES)), hosts)
+    judged = url_filters.judge(pages, URL_RULES, cascade)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def queries() -> dict:
     return {
         name.removeprefix("q_"): function
@@ -63,4 +148,61 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_chat_format": OP2_SQL,
+        "op10_url_filters": OP10_SQL,
+    }
+
+
+OP2_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations
+    UNION ALL VALUES
+        (-7, 0, 'user', '</s>[INST] ok [/INST]'),
+        (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+)
+SELECT conv_id,
+    count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+        AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(
+        string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    sum(13 + length(role || text)
+        + length(regexp_replace(role || text, '[^\\<\[|]', '', 'g')))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+OP10_SQL = r"""
+WITH parts AS (
+    SELECT page_id,
+        CASE WHEN contains(url, '://')
+            THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+    FROM pages
+), cut AS (
+    SELECT page_id,
+        translate(regexp_extract(rest, '^[^/?#]*'),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM parts
+), ruled AS (
+    SELECT *, '.' || host AS h,
+        regexp_extract(host, '^(?:www\.|m\.|blog\.)?([^.]+)\.', 1) AS name
+    FROM cut
+), judged AS (
+    SELECT page_id, host, path, name,
+        CASE WHEN ends_with(h, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+            WHEN ends_with(h, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+            WHEN ends_with(h, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+            WHEN ends_with(h, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+    FROM ruled
+)
+SELECT page_id, host, path, rule,
+    CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+        WHEN rule IS NOT NULL THEN 'allow'
+        WHEN name IN ('ads-track', 'adult-x', 'casino-win', 'cheap-pills', 'free-bets',
+            'spam-farm') THEN 'block'
+        ELSE 'allow' END AS verdict
+FROM judged
+"""
