@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 MAX_FILE_BYTES = 64 << 20
 # Texts are worked on in slices of about this many bytes, or one text if that is longer.
 SLICE_BYTES = 4 << 20
-# Entries a worker remembers before it forgets them all.
-MEMO_ENTRIES = 400_000
+# Strings a worker remembers that it met once, and in all.
+ONCE_ENTRIES, MEMO_ENTRIES = 300_000, 800_000
 
 # Objects of this worker process, by name; they outlive a task.
 _state: dict = {}
@@ -104,20 +104,28 @@ def with_text_columns(df: DataFrame, text: str, fields: T.StructType, make) -> D
 
 
 class Memo:
-    """Values by string, computed for many strings at once and forgotten when too many.
+    """Values by string, computed for many strings at once. Strings that were wanted once
+    are forgotten first, so that a long tail does not push out the frequent ones.
 
     Only speed depends on what is remembered.
     """
 
-    def __init__(self, compute, entries: int = MEMO_ENTRIES):
-        self.compute, self.entries, self.known = compute, entries, {}
+    def __init__(self, compute, once: int = ONCE_ENTRIES, entries: int = MEMO_ENTRIES):
+        self.compute, self.most_once, self.entries = compute, once, entries
+        self.known, self.once = {}, set()
 
     def fill(self, wanted: set) -> dict:
         """Know at least ``wanted``."""
         missing = wanted - self.known.keys()
+        self.once -= wanted
+        if len(self.once) + len(missing) > self.most_once:
+            for key in self.once:
+                del self.known[key]
+            self.once = set()
         if len(self.known) + len(missing) > self.entries:
-            self.known, missing = {}, wanted
+            self.known, self.once = {k: self.known[k] for k in wanted - missing}, set()
         if missing:
-            missing = list(missing)
-            self.known.update(zip(missing, self.compute(missing)))
+            listed = list(missing)
+            self.known.update(zip(listed, self.compute(listed)))
+            self.once |= missing
         return self.known
