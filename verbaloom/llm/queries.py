@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from verbaloom.llm import (
     chat,
+    decontamination,
     hilbert_shards,
     id_files,
     quality_rules,
@@ -75,6 +76,19 @@ def q_op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaked benchmark items of every document that has some."""
+    benchmark = read_table(spark, sf_dir, "benchmark")
+    found = decontamination.leaking_pairs(_documents(spark, sf_dir), benchmark)
+    return found.select(
+        "doc_id",
+        "item_id",
+        F.round("coverage", 6).alias("coverage"),
+        F.col("matched").cast("bigint").alias("matched"),
+        F.col("tiles").cast("bigint").alias("tiles"),
+    )
+
+
 def q_op5_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     path = new_path(spark, "id-files")
