@@ -10,6 +10,7 @@ from verbaloom.llm import (
     decontamination,
     hilbert_shards,
     id_files,
+    jaccard_join,
     quality_rules,
     sentencepieces,
     token_counts,
@@ -106,6 +107,11 @@ def q_op5_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class and number of links at a similarity of 0.8."""
+    return jaccard_join.similar_documents(_documents(spark, sf_dir), threshold=0.8)
+
+
 def quality_verdicts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``docs`` with statistics and the verdict of rules fitted on the labelled documents."""
     labels = read_table(spark, sf_dir, "labels")
@@ -164,6 +170,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_chat_format": OP2_SQL,
+        "op7_jaccard_join": OP7_SQL,
         "op10_url_filters": OP10_SQL,
     }
 
@@ -188,6 +195,42 @@ SELECT conv_id,
 FROM turns GROUP BY conv_id
 """
 
+# Words are joined by a space in a shingle; a text of fewer than five words is one shingle.
+OP7_SQL = r"""
+WITH RECURSIVE cut AS MATERIALIZED (
+    SELECT doc_id,
+        list_filter(regexp_split_to_array(coalesce(text, ''), '[\t-\r ]+'), lambda x: x <> '') AS w
+    FROM documents
+), kinds AS MATERIALIZED (
+    SELECT w, min(doc_id) AS k, count(*) AS copies FROM cut GROUP BY w
+), sets AS MATERIALIZED (
+    SELECT DISTINCT k, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
+        lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+    FROM kinds WHERE len(w) > 0
+), sizes AS MATERIALIZED (
+    SELECT k, count(*) AS n FROM sets GROUP BY k
+), common AS MATERIALIZED (
+    SELECT a.k AS x, b.k AS y, count(*) AS m
+    FROM sets a JOIN sets b ON a.s = b.s AND a.k <> b.k GROUP BY ALL
+), links AS MATERIALIZED (
+    SELECT x, y FROM common JOIN sizes p ON p.k = x JOIN sizes q ON q.k = y
+    WHERE 10 * m >= 8 * (p.n + q.n - m)
+), reached(k, r) AS (
+    SELECT k, k FROM kinds
+    UNION
+    SELECT links.y, reached.r FROM reached JOIN links ON links.x = reached.k
+), roots AS MATERIALIZED (
+    SELECT k, min(r) AS class_id FROM reached GROUP BY k
+), degrees AS MATERIALIZED (
+    SELECT x AS k, count(*) AS n_texts, sum(copies) AS n_docs
+    FROM links JOIN kinds ON kinds.k = links.y GROUP BY x
+)
+SELECT doc_id, class_id,
+    (copies - 1 + coalesce(n_docs, 0))::BIGINT AS n_links,
+    coalesce(n_texts, 0)::BIGINT AS n_text_links
+FROM cut JOIN kinds USING (w) JOIN roots USING (k) LEFT JOIN degrees USING (k)
+"""
+
 OP10_SQL = r"""
 WITH parts AS (
     SELECT page_id,
