@@ -11,6 +11,7 @@ from verbaloom.llm import (
     hilbert_shards,
     id_files,
     jaccard_join,
+    pii,
     quality_rules,
     sentencepieces,
     token_counts,
@@ -107,6 +108,27 @@ def q_op5_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.with_pii(_documents(spark, sf_dir))
+
+    def listed(spans):
+        one = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(one, ",")
+
+    base = F.filter("pii", lambda s: s["base"])
+
+    def number(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select(
+        "doc_id",
+        *(number(kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("pii")).alias("spans"),
+        (F.size("pii") - F.size(base)).cast("bigint").alias("n_added"),
+    )
+
+
 def q_op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class and number of links at a similarity of 0.8."""
     return jaccard_join.similar_documents(_documents(spark, sf_dir), threshold=0.8)
