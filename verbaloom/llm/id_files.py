@@ -34,6 +34,7 @@ ENTRY = np.dtype(
 )
 FOOT = "<QQI8s"
 FOOT_BYTES = struct.calcsize(FOOT)
+NO_KEYS = np.zeros(0, np.int64)
 CATALOG = "key bigint, shard int, row bigint, first bigint, n_ids bigint"
 
 
@@ -328,8 +329,11 @@ def _bucket(key: str, buckets: int):
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("bigint").alias("bucket")
 
 
-def _read(path: str, name: str) -> bytes:
+def _read(path: str, name: str) -> bytes | None:
+    """The whole of a small file, or None if there is none."""
     system, folder = _files(path)
+    if not system.get_file_info(f"{folder}/{name}").is_file:
+        return None
     with system.open_input_file(f"{folder}/{name}") as file:
         return file.read()
 
@@ -348,7 +352,8 @@ def look_up(spark: SparkSession, path: str, keys: DataFrame, key: str = "doc_id"
     def find(group, table):
         import pyarrow as pa
 
-        raw = _read(path, f"index-{group[0].as_py()}.mph")
+        # A bucket that no written key fell in has no file.
+        raw = _read(path, f"index-{group[0].as_py()}.mph") or PerfectHash([], NO_KEYS).dump()
         hashed, at = PerfectHash.load(raw)
         entries = np.frombuffer(raw, ENTRY, offset=at)
         asked = table.column("key").to_numpy()
@@ -429,10 +434,9 @@ def get(path: str, buckets: int, key: int) -> list:
     digest = xxhash.xxh64(struct.pack("<q", key), seed=42).intdigest()
     signed = digest - (1 << 64) if digest >> 63 else digest
     system, folder = _files(path)
-    name = f"{folder}/index-{signed % buckets}.mph"
-    if not system.get_file_info(name).is_file:
-        return []
     raw = _read(path, f"index-{signed % buckets}.mph")
+    if raw is None:
+        return []
     hashed, at = PerfectHash.load(raw)
     entries = np.frombuffer(raw, ENTRY, offset=at)
     asked = np.array([key], np.int64)
