@@ -136,7 +136,7 @@ def fit_rules(
     max_rules: int = 6,
     max_tests: int = 3,
     min_precision: float = 0.9,
-    min_covered: int = 10,
+    min_covered: int = 3,
     cuts: int = 24,
 ) -> list[Rule]:
     """An ordered list of rules for rows whose ``label`` is true, by sequential covering.
@@ -145,14 +145,15 @@ def fit_rules(
     gain is added until no wrong row is covered, ``max_tests`` are there or nothing is
     gained. It is then pruned to the leading tests that do best, by (right - wrong) /
     (right + wrong), on the other third. A rule with less precision there than
-    ``min_precision``, or that covers fewer than ``min_covered`` rows, ends the list;
+    ``min_precision``, or that covers fewer than ``min_covered`` rows there, ends the list;
     otherwise the rows it covers leave and the next is sought. Thresholds are quantiles.
 
     ``labelled`` has the statistics' columns; it is written once as bins of the features.
-    Rows with a null label are left out. Without rows of both labels there are no rules.
+    Rows with a null label are left out, and rows that fail the fixed limits, which need no
+    rule. Without rows of both labels there are no rules.
     Equal gains are settled by feature order and threshold.
     """
-    rows = labelled.where(F.col(label).isNotNull())
+    rows = labelled.where(F.col(label).isNotNull() & ~base_failed())
     values = rows.select(
         F.col(label).cast("int").alias("y"),
         (F.pmod(F.xxhash64(key), F.lit(3)) < 2).alias("grow"),
@@ -246,7 +247,7 @@ def _prune(rows: DataFrame, tests: list, min_precision: float, min_covered: int)
     length = -length
     covered = found[f"n{length}"]
     right = found[f"p{length}"] or 0
-    good = covered >= max(1, min_covered // 2) and right >= min_precision * covered
+    good = covered >= min_covered and right >= min_precision * covered
     return tests[:length] if good else []
 
 
