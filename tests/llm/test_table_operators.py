@@ -1,0 +1,457 @@
+"""Chats, joins, quality rules, shards, urls and the pipeline against brute force."""
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from verbaloom.llm import (
+    chat,
+    decontamination,
+    hilbert_shards,
+    jaccard_join,
+    pii,
+    quality_rules,
+    url_filters,
+)
+from verbaloom.llm import queries as llm
+from verbaloom.llm.common import vocabulary_path
+from verbaloom.llm.components import components
+
+SF = "/root/testdata/sf0.001"
+
+
+def table(spark, name):
+    return spark.read.parquet(f"{SF}/{name}.parquet")
+
+
+# --- chats ---------------------------------------------------------------------------
+
+
+ODD = ["", None, "</s>[INST] ok [/INST]", "<|end|>\n", "\\<|user|>\n\\", "a\\", "[", "|>\n", "é🙂" * 900]
+
+
+def test_chats_read_back(spark):
+    rng = random.Random(2)
+    rows = [
+        (c, t, rng.choice(["user", "assistant", "system", "a|>\n<b", None]), rng.choice(ODD))
+        for c in range(30)
+        for t in range(rng.randint(1, 6))
+    ]
+    rows += rows[:5] + [(None, 0, "user", "no id")]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    turns = turns.withColumn("message", F.lit("clash"))
+    made = chat.render(chat.fold_events(chat.as_events(turns)))
+    read = made.select(
+        "conv_id",
+        chat.parse(F.col("formatted")).alias("turns"),
+        chat.learned_text(F.col("segments")).alias("learned"),
+        "formatted",
+    ).collect()
+    want = defaultdict(list)
+    for c, t, role, text in rows:
+        want[c].append((t, role or "", text or ""))
+    assert len(read) == len(want)
+    for r in read:
+        told = [(role, text) for _, role, text in sorted(want[r.conv_id])]
+        assert [tuple(t) for t in r.turns] == told
+        assert r.learned == "".join(text for role, text in told if role == "assistant")
+        assert not re.search(r"</?s>|\[/?INST\]", r.formatted)
+    assert chat.render(chat.fold_events(chat.as_events(turns.limit(0)))).count() == 0
+
+
+def test_events_fold_by_sequence(spark):
+    log = [
+        (1, 0, 3, "delta", "user", "c"),
+        (1, 0, 1, "delta", "user", "a"),
+        (1, 0, 1, "delta", "user", "a"),
+        (1, 0, 2, "edit", "user", "b"),
+        (1, 1, 9, "delta", "assistant", "new"),
+        (1, 1, 8, "regenerate", "assistant", "ignored"),
+        (1, 1, 7, "delta", "assistant", "old"),
+        (1, 2, 10, "delta", None, None),
+    ]
+    schema = "conv_id bigint, message bigint, seq bigint, event string, role string, text string"
+    found = chat.fold_events(spark.createDataFrame(log, schema)).collect()
+    assert sorted(tuple(r) for r in found) == [
+        (1, 0, "user", "bc"),
+        (1, 1, "assistant", "new"),
+        (1, 2, "", ""),
+    ]
+    with pytest.raises(Exception, match="unknown event"):
+        chat.fold_events(spark.createDataFrame([(1, 0, 1, "undo", "user", "x")], schema)).collect()
+
+
+# --- similar documents ----------------------------------------------------------------
+
+
+def shingle_set(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    if not words:
+        return None, frozenset()
+    runs = [tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))]
+    return tuple(words), frozenset(runs)
+
+
+def brute_similar(rows, threshold=0.8):
+    """(key, class, links, links of other words) by comparing all pairs of rows."""
+    sets = [shingle_set(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    links, others = [0] * len(rows), [set() for _ in rows]
+    for i, (words_i, a) in enumerate(sets):
+        for j, (words_j, b) in enumerate(sets[:i]):
+            same = words_i == words_j
+            if same or (a and b and len(a & b) >= threshold * len(a | b) - 1e-9):
+                links[i] += 1
+                links[j] += 1
+                if not same:
+                    others[i].add(words_j)
+                    others[j].add(words_i)
+                root[find(i)] = find(j)
+    least = defaultdict(list)
+    for i, (key, _) in enumerate(rows):
+        if key is not None:
+            least[find(i)].append(key)
+    return [
+        (key, min(least[find(i)], default=None), links[i], len(others[i]))
+        for i, (key, _) in enumerate(rows)
+    ]
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for _ in range(n):
+        words[rng.randrange(len(words))] = f"e{rng.randrange(10**6)}"
+    return words
+
+
+def similar_rows(seed=1, group=150):
+    """Copies, a large group of near copies in a chain of edits, short and empty texts."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(4000)}"
+    texts = [None, "", " \n", "one", "one two", "one two", "one  two", "a b c d", "a b c d e"]
+    base = [word() for _ in range(120)]
+    for _ in range(group):
+        texts.append(" ".join(edited(rng, base, rng.randint(0, 3))))
+    for _ in range(15):
+        other = [word() for _ in range(rng.randint(6, 200))]
+        texts += [" ".join(edited(rng, other, k)) for k in range(4)] + [" ".join(other) + " x"]
+    texts += [" ".join(base)] * 40 + ["long " * 3000]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    return [*rows, *rows[:5], (None, "one two"), (None, None), (None, "alone here by itself now")]
+
+
+def order(x):
+    return tuple((v is not None, v or 0) for v in x)
+
+
+@pytest.mark.parametrize("cell", [256, 16])
+def test_similar_documents_are_those_of_all_pairs(spark, monkeypatch, cell):
+    monkeypatch.setattr(jaccard_join, "CELL", cell)
+    rows = similar_rows()
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("kind", F.lit("x"))
+    found = [tuple(r) for r in jaccard_join.similar_documents(df).collect()]
+    assert sorted(found, key=order) == sorted(brute_similar(rows), key=order)
+
+
+def test_similar_documents_of_nothing(spark):
+    df = spark.createDataFrame([], "doc_id bigint, text string")
+    assert jaccard_join.similar_documents(df).count() == 0
+    assert jaccard_join.one_of_each(df).count() == 0
+
+
+def test_one_of_each_keeps_one_row_per_class(spark):
+    rows = similar_rows(seed=6, group=30)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("kind", F.lit("x"))
+    kept = jaccard_join.one_of_each(df)
+    assert kept.columns == df.columns
+    found = sorted((r.doc_id for r in kept.collect()), key=lambda k: (k is not None, k or 0))
+    want = {c for _, c, _, _ in brute_similar(rows) if c is not None}
+    assert found == [None, *sorted(want)]
+
+
+def test_least_matches_lose_almost_no_pair_at_the_threshold():
+    import math
+
+    for n, m in jaccard_join.least_matches(0.8).items():
+        lost = sum(math.comb(n, k) * 0.8**k * 0.2 ** (n - k) for k in range(m))
+        assert lost < 1e-7
+        assert m > 0.2 * n - 4
+
+
+def test_components_of_paths_and_stars(spark):
+    rng = random.Random(3)
+    edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 200)]
+    edges += [(rng.randrange(2000, 2060), rng.randrange(2000, 2060)) for _ in range(40)]
+    edges += [(5, 5), (7, 8), (None, 4)]
+    rng.shuffle(edges)
+    found = {r.node: r.root for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for u, v in edges:
+        if u is not None and u != v:
+            a, b = sorted((find(u), find(v)))
+            root[b] = a
+    assert found == {x: find(x) for x in list(root)}
+
+
+# --- quality -------------------------------------------------------------------------
+
+
+def brute_statistics(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    grams = Counter(zip(words, words[1:], words[2:]))
+    repeated = {
+        i + k
+        for i in range(len(words) - 2)
+        if grams[tuple(words[i : i + 3])] > 1
+        for k in range(3)
+    }
+    symbols = len(re.findall(r"[#*$%&|<>]", text))
+    return len(words), sum(map(len, words)), symbols, dup, len(repeated)
+
+
+def test_statistics_of_odd_texts(spark):
+    rng = random.Random(9)
+    texts = ["".join(rng.choices("ab  \n\t#|é\x0b\xa0", k=rng.randint(0, 60))) for _ in range(300)]
+    texts += ["", None, " \n ", "a b c a b c", "a a a a a", "x y\n\nx y\nx y", "w " * 4000]
+    rows = list(enumerate(texts)) + [(0, texts[0])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("n_words", F.lit("x"))
+    found = quality_rules.with_statistics(df)
+    assert found.columns[:2] == ["doc_id", "text"]
+    for r in found.collect():
+        assert tuple(r[c] for c in quality_rules.COUNTS) == brute_statistics(r.text), r.text
+    assert found.limit(0).count() == 0
+
+
+def brute_rule(rules, row):
+    values = {}
+    for name, formula in quality_rules.FEATURES.items():
+        parts = [row[p] for p in formula.split(" / ")]
+        values[name] = parts[0] if len(parts) == 1 else parts[0] / parts[1] if parts[1] else 0.0
+    for number, rule in enumerate(rules, 1):
+        if all((values[f] >= t) if up else (values[f] < t) for f, up, t in rule.tests):
+            return number
+    return None
+
+
+def test_rules_learn_and_hold_out(spark):
+    """Junk of one kind among clean rows: the rules find it on rows they have not seen."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    train = labels.where("doc_id % 2 = 0")
+    rules = quality_rules.fit_rules(quality_rules.labelled_statistics(docs, train))
+    assert rules
+    judged = quality_rules.with_verdict(
+        quality_rules.with_statistics(docs.select("doc_id", "text")), rules
+    )
+    rows = judged.join(labels.where("doc_id % 2 = 1"), "doc_id").collect()
+    for r in rows:
+        assert r.rule == brute_rule(rules, r.asDict())
+        failed = r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words
+        assert (r.base_failed, r.kept) == (failed, not failed and r.rule is None)
+    good = [r for r in rows if r.quality == 1 and not r.base_failed]
+    bad = [r for r in rows if r.quality == 0 and not r.base_failed]
+    assert sum(r.kept for r in good) >= 0.98 * len(good)
+    assert sum(not r.kept for r in bad) >= 0.7 * len(bad)
+
+
+def test_no_rules_without_both_labels(spark):
+    docs = table(spark, "documents")
+    for labels in (table(spark, "labels").limit(0), table(spark, "labels").where("quality = 1")):
+        assert quality_rules.fit_rules(quality_rules.labelled_statistics(docs, labels)) == []
+
+
+def test_op8_over_the_whole_table(spark):
+    texts = {r.doc_id: r.text for r in table(spark, "documents").collect()}
+    rows = llm.q_op8_quality_rules(spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert tuple(r[c] for c in quality_rules.COUNTS) == brute_statistics(texts[r.doc_id])
+
+
+# --- shards --------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize(("axes", "bits"), [(2, 4), (3, 3), (4, 2)])
+def test_hilbert_curve_steps_to_neighbours(spark, axes, bits):
+    side, names = 1 << bits, [f"x{i}" for i in range(axes)]
+    cells = spark.range(side**axes).select(
+        *(F.floor(F.col("id") / side**i % side).alias(x) for i, x in enumerate(names))
+    )
+    rows = hilbert_shards.hilbert_index(cells, names, bits, "at").orderBy("at").collect()
+    assert [r["at"] for r in rows] == list(range(side**axes))
+    for a, b in zip(rows, rows[1:]):
+        assert sum(abs(a[x] - b[x]) for x in names) == 1
+
+
+@pytest.mark.parametrize("group", [256, 7])
+def test_shards_are_even_runs_of_the_curve(spark, monkeypatch, group):
+    monkeypatch.setattr(hilbert_shards, "GROUP_ROWS", group)
+    rng = random.Random(4)
+    rows = [(i, rng.choice(["hot"] * 5 + ["b", None, "c"]), rng.choice([None, 1, 2, 3, i])) for i in range(997)]
+    rows += rows[:20] + [(None, None, None)] * 3
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, size bigint")
+    df = df.withColumn("cell", F.lit("clash"))
+    found = hilbert_shards.assign_shards(df, ["source", "size"], 24).collect()
+    assert len(found) == len(rows)
+    by = defaultdict(list)
+    for r in found:
+        by[r.shard].append(r)
+    sizes = [len(v) for v in by.values()]
+    assert len(by) == 24
+    assert max(sizes) - min(sizes) <= 1
+    last = -1
+    for shard in range(24):
+        assert sorted(r.slot for r in by[shard]) == list(range(len(by[shard])))
+        cells = [r.cell for r in sorted(by[shard], key=lambda r: r.slot)]
+        assert cells == sorted(cells)
+        assert cells[0] >= last
+        last = cells[-1]
+
+
+def test_shards_of_few_rows_and_none(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "doc_id bigint, source string")
+    found = hilbert_shards.assign_shards(df, ["source"], 24).collect()
+    assert sorted((r.shard, r.slot) for r in found) == [(0, 0), (1, 0)]
+    assert hilbert_shards.assign_shards(df.limit(0), ["source"], 24).count() == 0
+
+
+def test_op9_over_the_whole_table(spark):
+    import zlib
+
+    texts = {r.doc_id: r.text or "" for r in table(spark, "documents").collect()}
+    rows = llm.q_op9_hilbert_shards(spark, SF).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        raw = texts[r.doc_id].encode()
+        assert (r["size"], r.text_crc32, r.law) == (len(raw) + 8, zlib.crc32(raw), "rows")
+    counts = Counter(r.shard for r in rows)
+    assert set(counts) == set(range(24))
+    assert max(counts.values()) - min(counts.values()) <= 1
+
+
+# --- urls ----------------------------------------------------------------------------
+
+
+def test_cascade_is_exact_over_its_universe(spark):
+    rng = random.Random(7)
+    keys = [f"k{i}.example" for i in range(3000)] + [""]
+    for share, limits in ((0.0, [1 << 20]), (0.05, [1 << 20, 1]), (1.0, [1 << 20])):
+        listed = [k for k in keys if rng.random() < share]
+        universe = spark.createDataFrame([(k,) for k in [*keys, *keys[:9], None]], "key string")
+        one = spark.createDataFrame([(k,) for k in [*listed, *listed[:3], None, "elsewhere"]], "key string")
+        for limit in limits:
+            cascade = url_filters.build_cascade(one, universe, max_bytes=limit)
+            found = cascade.mark(universe, "key", "listed").collect()
+            assert len(found) == len(keys) + 10
+            assert all(r.listed == (r.key in set(listed)) for r in found)
+
+
+def test_urls_by_rule(spark):
+    urls = {
+        "http://a.example.net/en/x": ("example.net/en/", "allow"),
+        "http://A.EXAMPLE.NET/de/x?q#f": ("net/", "block"),
+        "http://notexample.com/de/": (None, "allow"),
+        "ftp://example.com/de/": ("example.com/de/", "block"),
+        "http://x.org/fr/a://b": ("org/fr/", "allow"),
+        "http://x.net": (None, "allow"),
+        "http://x.net?/": (None, "allow"),
+        "http://bad.host/": (None, "block"),
+        "x/y": (None, "allow"),
+        "": (None, "allow"),
+        None: (None, "allow"),
+    }
+    pages = spark.createDataFrame([(u, "x") for u in urls], "url string, host string")
+    hosts = pages.select(url_filters.host(F.col("url")).alias("key"))
+    cascade = url_filters.build_cascade(hosts.where("key = 'bad.host'"), hosts)
+    rows = url_filters.judge(pages, llm.URL_RULES, cascade).collect()
+    assert len(rows) == len(urls)
+    for r in rows:
+        assert (r.rule, r.verdict) == urls[r.url], r.url
+        rest = (r.url or "").partition("://")[2] if "://" in (r.url or "") else ""
+        host = re.match(r"[^/?#]*", rest)[0]
+        assert r.host == host.lower()
+        assert r.path == re.match(r"[^?#]*", rest[len(host) :])[0]
+
+
+# --- the pipeline ---------------------------------------------------------------------
+
+
+def test_pipeline_is_its_stages_by_brute_force(spark):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=vocabulary_path(llm.PIECE_MODEL))
+    docs = {r.doc_id: r for r in table(spark, "documents").collect()}
+    judged = llm.q_op8_quality_rules(spark, SF).collect()
+    kept = {r.doc_id for r in judged if r.kept}
+    classes = brute_similar([(d, docs[d].text) for d in sorted(kept)])
+    kept = {c for _, c, _, _ in classes}
+    items = [decontamination_words(r.text) for r in table(spark, "benchmark").collect()]
+    kept = {d for d in kept if not any(leaks(i, decontamination_words(docs[d].text)) for i in items)}
+    rows = corpus_pipeline.run(spark, SF).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(kept)
+    for r in rows:
+        text = pii.redacted(docs[r.doc_id].text)
+        ids = library.encode(text)
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+
+
+def decontamination_words(text):
+    return re.findall(r"[a-z0-9\u0080-\U0010ffff]+", text.lower())
+
+
+def leaks(item, text):
+    from difflib import SequenceMatcher
+
+    grams = {tuple(text[i : i + 5]) for i in range(len(text) - 4)}
+    if not any(tuple(item[i : i + 5]) in grams for i in range(len(item) - 4)):
+        return False
+    blocks = SequenceMatcher(None, item, text, autojunk=False).get_matching_blocks()
+    return 2 * sum(b.size for b in blocks if b.size >= 5) >= len(item)
+
+
+def test_stages_survive_an_empty_table_and_odd_rows(spark):
+    docs = table(spark, "documents")
+    odd = docs.limit(3).select(
+        F.lit(None).cast("bigint").alias("doc_id"),
+        F.lit(None).cast("string").alias("text"),
+        F.lit(None).cast("string").alias("lang"),
+        F.lit(None).cast("string").alias("source"),
+        F.lit(None).cast("bigint").alias("n_chars"),
+    )
+    more = docs.unionByName(odd).unionByName(docs.limit(4))
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
+        found = stage(spark, more, SF)
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert found.columns == docs.columns
+        assert 0 < found.count() <= more.count()
+
+
+def test_leaks_use_the_operators_threshold():
+    assert decontamination.COVERAGE == 0.5
+    assert decontamination.TILE_WORDS == 5

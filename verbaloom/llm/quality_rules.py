@@ -153,13 +153,13 @@ def fit_rules(
     rule. Without rows of both labels there are no rules.
     Equal gains are settled by feature order and threshold.
     """
-    rows = labelled.where(F.col(label).isNotNull() & ~base_failed())
-    values = rows.select(
-        F.col(label).cast("int").alias("y"),
+    values = labelled.select(
+        F.when(~base_failed(), F.col(label).cast("int")).alias("y"),
         (F.pmod(F.xxhash64(key), F.lit(3)) < 2).alias("grow"),
         *(_feature(f).alias(f) for f in FEATURES),
     )
-    values = stage(values, "labelled-statistics")
+    # Filtered only once written: Spark would evaluate the statistics anew in a filter.
+    values = stage(values, "labelled-statistics").where("y is not null")
     share = [i / cuts for i in range(1, cuts)]
     of_bad = [F.when(F.col("y") == 1, F.col(f)) for f in FEATURES]
     found = values.agg(
@@ -261,6 +261,17 @@ def with_verdict(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return marked.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
 
 
+def only_kept(judged: DataFrame) -> DataFrame:
+    """The rows of ``with_verdict`` that are kept.
+
+    A plain filter would be pushed below the statistics with their expressions written
+    out in it, each evaluated many times over. It stays above a column that must not be
+    evaluated twice.
+    """
+    numbered = judged.withColumn("_row", F.monotonically_increasing_id())
+    return numbered.where(F.col("kept") & (F.col("_row") >= 0)).drop("_row")
+
+
 def labelled_statistics(
     docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, key: str = "doc_id"
 ) -> DataFrame:

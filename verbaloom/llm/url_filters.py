@@ -95,9 +95,9 @@ class Cascade:
         """Whether a key of the universe is listed; null is not."""
         found = F.lit(len(self.levels) % 2 == 1)
         for level in reversed(self.levels):
-            passes = F.coalesce(level.might_contain(key), F.lit(False))
+            passes = level.might_contain(key)
             found = F.when(passes, found).otherwise(F.lit(level.number % 2 == 0))
-        return found
+        return F.when(key.isNull(), F.lit(False)).otherwise(found)
 
     def mark(self, df: DataFrame, key: str, name: str) -> DataFrame:
         """``df`` with a boolean column ``name``: the row's key is listed."""
