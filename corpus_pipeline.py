@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verbaloom.llm import decontamination, jaccard_join, pii, sentencepieces
+from verbaloom.llm import decontamination, jaccard_join, pii, quality_rules, sentencepieces
 from verbaloom.llm.common import read_table, vocabulary_path
 from verbaloom.llm.queries import PIECE_MODEL, quality_verdicts
 from verbaloom.sources.tables import new_path
@@ -18,7 +18,7 @@ from verbaloom.sources.tables import new_path
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that neither the fixed limits nor the learned rules reject."""
     judged = quality_verdicts(spark, docs, sf_dir)
-    return judged.where("kept").select(*docs.columns)
+    return quality_rules.only_kept(judged).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
