@@ -278,10 +278,6 @@ UNION ALL SELECT doc_id, 1, word_no, word || '_' || word FROM placed""",
             "SELECT position, least(position // size, 3) AS bucket FROM placed, width",
         ),
         "max_position": (WORDS, "SELECT max(position) AS max_position FROM placed"),
-        "encode_words": (
-            ENCODED,
-            "SELECT word, array_to_string(token_ids, ' ') AS token_ids FROM word_ids",
-        ),
         "word_token_counts": (
             f"""{CLEAN}, found AS (
   SELECT unnest(regexp_extract_all(sentence, '[a-zA-Z0-9'']+')) AS word FROM clean),
@@ -356,8 +352,21 @@ counted AS (SELECT word, count(*) AS n FROM found GROUP BY word),
 FROM named n LEFT JOIN ranked r ON r.id = n.id GROUP BY ALL""",
         ),
         "dedupe_last": (
-            "last AS (SELECT label, max(vec_id) AS vec_id FROM embeddings GROUP BY label)",
-            "SELECT label, vec_id FROM last",
+            f"{VECTORS}, last AS (SELECT label, max(vec_id) AS vec_id FROM vecs GROUP BY label)",
+            f"SELECT label, vec_id, {_millionths('v')} AS embedding "
+            "FROM last JOIN vecs USING (label, vec_id)",
+        ),
+        "word2vec_vectors": (
+            _shards(),
+            "SELECT DISTINCT token_id, 16 AS length, true AS is_finite "
+            f"FROM shards JOIN sizes USING (shard_id) WHERE n >= {W + 1}",
+        ),
+        "neighbour_lines": (
+            f"""{VECTORS}, named AS (
+  SELECT vec_id AS id, 'v' || vec_id AS word, v, norm FROM lengths), {_top('named', 'word')},
+lists AS (SELECT id, string_agg(neighbour, ' ' ORDER BY rank) AS found FROM ranked GROUP BY id)""",
+            f"SELECT word, {_millionths('v')} AS embedding, coalesce(found, '') AS neighbours "
+            "FROM named LEFT JOIN lists USING (id)",
         ),
         "nearest_words": (
             f"""{MEANS},
@@ -402,7 +411,16 @@ named AS MATERIALIZED (
     sql["imported_neighbours"] = (
         f"""{VECTORS}, named AS (
   SELECT 'v' || vec_id || ' ' || label AS id, 'v' || vec_id AS word, v, norm
-  FROM lengths WHERE label > 3), {_top('named', 'word')}""",
+  FROM lengths), {_top('named', 'word')}""",
         f"SELECT id AS key, rank, neighbour, {_six('similarity')} AS similarity FROM ranked",
     )
+    sql["imported_neighbours_by_word"] = (
+        f"""{VECTORS}, named AS (
+  SELECT vec_id AS id, CAST(label AS VARCHAR) AS word, v, norm FROM lengths
+  QUALIFY vec_id = max(vec_id) OVER (PARTITION BY label)), {_top('named', 'word')}""",
+        f"SELECT word, rank, neighbour, {_six('similarity')} AS similarity FROM ranked",
+    )
+    sql["parse_tokenized"] = sql["tokenized_words"]
+    ctes, body = sql["line_shards"]
+    sql["overwritten_shards"] = (ctes, f"SELECT shard_id, line FROM ({body})")
     return {name: f"WITH RECURSIVE {ctes.strip()}\n{body}" for name, (ctes, body) in sql.items()}

@@ -13,7 +13,7 @@ from verbaloom.operators import embeddings, encoding, ordinals, shards, similari
 from verbaloom.operators.encoding import Vocabulary
 from verbaloom.plans import chains
 from verbaloom.sources import text_files
-from verbaloom.sources.tables import new_path, read_table, small_side, stage
+from verbaloom.sources.tables import new_path, read_table, stage
 
 try:
     import public_tokenizers
@@ -33,17 +33,17 @@ SETTINGS = chains.Settings()
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return read_table(spark, f"{sf}/documents.parquet", ["doc_id", "text"], DOC)
+    return read_table(spark, f"{sf}/documents.parquet", ["doc_id", "text"], deal=DOC)
 
 
 def conversations(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["conv_id", "turn", "text"]
-    return read_table(spark, f"{sf}/conversations.parquet", columns, ["conv_id", "turn"])
+    return read_table(spark, f"{sf}/conversations.parquet", columns, deal=["conv_id", "turn"])
 
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["vec_id", "label", "embedding"]
-    df = read_table(spark, f"{sf}/embeddings.parquet", columns, ["vec_id"])
+    df = read_table(spark, f"{sf}/embeddings.parquet", columns, deal=["vec_id"])
     return df.withColumn("embedding", F.col("embedding").cast("array<double>"))
 
 
@@ -150,25 +150,19 @@ def q_word_shards(spark, sf):
 
 
 def q_position_buckets(spark, sf):
-    placed = words.positioned_words(documents(spark, sf), DOC)
-    return ordinals.position_buckets(placed, 4).select("position", "bucket")
+    docs = documents(spark, sf)
+    last = words.last_position(docs).scalar()
+    placed = words.positioned_words(docs, DOC)
+    return ordinals.position_buckets(placed, 4, largest=last).select("position", "bucket")
 
 
 def q_max_position(spark, sf):
-    return ordinals.max_position(words.positioned_words(documents(spark, sf), DOC))
+    return words.last_position(documents(spark, sf))
 
 
 # --- tokens --------------------------------------------------------------------------
 
 
-def q_encode_words(spark, sf):
-    """Every distinct white-space word with its ids."""
-    found = words.split_words(documents(spark, sf), DOC).select("word").distinct()
-    return encoding.encode_words(found, vocabulary(spark)).select(
-        "word", ids("token_ids").alias("token_ids")
-    )
-
-
 def q_word_token_counts(spark, sf):
     counts = chains.word_token_counts(documents(spark, sf), vocabulary(spark))
     return counts.select("word", ids("token_ids").alias("token_ids"), "n")
@@ -259,7 +253,10 @@ def q_token_embeddings(spark, sf):
 
 
 def q_word2vec_vectors(spark, sf):
-    return embeddings.word2vec_vectors(token_shards(spark, sf), dimensions=16)
+    """Every token of a trainable shard has a vector of the asked length, all finite."""
+    found = embeddings.word2vec_vectors(token_shards(spark, sf), dimensions=16)
+    finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return found.select("token_id", F.size("embedding").alias("length"), finite.alias("is_finite"))
 
 
 def q_mean_embeddings(spark, sf):
@@ -286,7 +283,7 @@ def q_cosine_pairs(spark, sf):
     """Each vector with the mean vector of its label."""
     found = vectors(spark, sf)
     mean = stage(embeddings.mean_embeddings(found, ["label"]), "means")
-    mean = small_side(mean.withColumnRenamed("embedding", "b"), rows=1 << 14)
+    mean = mean.withColumnRenamed("embedding", "b")
     pairs = found.withColumnRenamed("embedding", "a").join(mean, "label")
     return similarity.pair_cosines(pairs).select(
         "vec_id", "label", six("dot").alias("dot"), six("cosine").alias("cosine")
@@ -310,7 +307,7 @@ def q_neighbours(spark, sf):
 
 def q_dedupe_last(spark, sf):
     return similarity.last_per_word(vectors(spark, sf), "label", "vec_id").select(
-        "label", "vec_id"
+        "label", "vec_id", millionths("embedding").alias("embedding")
     )
 
 
@@ -408,13 +405,72 @@ def q_imported_token_shards(spark, sf):
     return found.select("shard_id", F.posexplode("tokens").alias("token_pos", "token_id"))
 
 
+def _vector_files(spark, sf) -> str:
+    """``v<id> <label><TAB>vector`` lines of all vectors."""
+    key = F.concat_ws(" ", F.concat(F.lit("v"), "vec_id"), "label")
+    lines = vectors(spark, sf).select(
+        key.alias("key"), vx.format_vector(F.col("embedding")).alias("value")
+    )
+    path = new_path(spark, "vector-lines")
+    text_files.write_lines(lines, path, "value", "key")
+    return path
+
+
 def q_imported_neighbours(spark, sf):
     """Nearest words of embedding lines."""
-    found = text_files.read_embeddings(spark, _embedding_files(spark, sf), glob="part-*")
+    found = text_files.read_embeddings(spark, _vector_files(spark, sf), glob="part-*")
     top = similarity.top_neighbours(found, "key", "word", SETTINGS.top_n)
     return top.select("key", "rank", "neighbour", six("similarity").alias("similarity"))
 
 
+def q_imported_neighbours_by_word(spark, sf):
+    """The same where words repeat: the last vector of each label stands for it."""
+    found = text_files.read_embeddings(spark, _vector_files(spark, sf), glob="part-*")
+    label = F.split("key", " ")[1]
+    number = F.substring("word", 2, 20).cast("bigint")
+    named = found.select(label.alias("word"), number.alias("vec_id"), "embedding")
+    last = similarity.last_per_word(named, "word", "vec_id")
+    top = similarity.top_neighbours(last, "vec_id", "word", SETTINGS.top_n)
+    return top.select("word", "rank", "neighbour", six("similarity").alias("similarity"))
+
+
+def q_neighbour_lines(spark, sf):
+    """Neighbour lists written as text lines, read back and cut."""
+    found = vectors(spark, sf).withColumn("word", F.concat(F.lit("v"), "vec_id"))
+    rows = similarity.neighbour_rows(found, "vec_id", "word", SETTINGS.top_n)
+    path = new_path(spark, "neighbour-lines")
+    text_files.write_neighbours(rows, path, "word")
+    lines = text_files.read_lines(spark, path, glob="part-*")
+    parts = F.split(F.split("line", "\t")[1], " ")
+    named = F.transform(F.slice(parts, 2, SETTINGS.top_n), lambda p: F.split(p, ":")[0])
+    return lines.select(
+        F.split("line", "\t")[0].alias("word"),
+        millionths(vx.parse_vector(parts[0])).alias("embedding"),
+        F.array_join(named, " ").alias("neighbours"),
+    )
+
+
+def q_parse_tokenized(spark, sf):
+    """Tokenized text written, read back and parsed."""
+    lines = q_format_tokenized(spark, sf)
+    path = new_path(spark, "tokenized-lines")
+    text_files.write_lines(lines, path, "line")
+    parsed = text_files.read_lines(spark, path, glob="part-*").select(
+        tx.tokenized_word(F.col("line")).alias("p")
+    )
+    return parsed.where("p is not null").select(
+        "p.position", "p.word", ids("p.token_ids").alias("token_ids")
+    )
+
+
+def q_overwritten_shards(spark, sf):
+    """Shards of all sentences, replaced by those of all lines."""
+    path = _sentence_files(spark, sf)
+    cut = words.line_shards(documents(spark, sf), DOC, RECORDS_PER_SHARD)
+    text_files.write_shards(cut, path, "ordinal", "line")
+    return text_files.read_shards(spark, path)
+
+
 def queries():
     return {
         name.removeprefix("q_"): _plain(function)

@@ -100,3 +100,23 @@ def format_ids(token_ids: Column) -> Column:
 
 def format_tokenized(position: Column, word: Column, token_ids: Column) -> Column:
     return F.concat_ws("\t", format_positioned(position, word), format_ids(token_ids))
+
+
+def tokenized_word(value: Column) -> Column:
+    """``pos_word<TAB>[id id]`` text to ``struct<position, word, token_ids>``.
+
+    The ids are taken after the last tab, so a word may look like a list of ids. Null
+    where the text is malformed: no tab, no brackets, an id that is no number, or a
+    position and word as in ``positioned_word``.
+    """
+    line = trim_controls(value)
+    shape = r"(?s)^(.*)\t\[([0-9]+(?: [0-9]+)*|)\]$"
+    head = positioned_word(F.regexp_extract(line, shape, 1))
+    listed = F.regexp_extract(line, shape, 2)
+    ids = F.when(listed == "", F.array().cast("array<int>")).otherwise(
+        F.transform(F.split(listed, " "), lambda x: x.try_cast("int"))
+    )
+    good = F.regexp_like(line, F.lit(shape)) & head.isNotNull() & ~F.exists(ids, lambda x: x.isNull())
+    return F.when(
+        good, F.struct(head["position"].alias("position"), head["word"].alias("word"), ids.alias("token_ids"))
+    )

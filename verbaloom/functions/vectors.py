@@ -35,8 +35,9 @@ def cosine(dot_product: Column, norm_a: Column, norm_b: Column) -> Column:
 
 
 def parse_vector(csv: Column, strict: bool = False) -> Column:
-    """``"x, y, z"`` to doubles. A part that is no number becomes null, or an error."""
-    parts = F.split(csv, ",")
+    """``"x, y, z"`` to doubles. A part that is no number becomes null, or an error; empty
+    parts at the end do not count."""
+    parts = F.split(F.regexp_replace(csv, r",+\z", ""), ",")
     if strict:
         return F.transform(parts, lambda x: F.trim(x).cast("double"))
     return F.transform(parts, lambda x: F.trim(x).try_cast("double"))

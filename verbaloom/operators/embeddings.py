@@ -101,26 +101,30 @@ def mean_embeddings(
 ) -> DataFrame:
     """keys, embedding: elementwise mean of all vectors of a key.
 
-    No rows in, no rows out. Vectors of unequal length under one key are an error.
+    No rows in, no rows out. Vectors of unequal length under one key, and null elements,
+    are errors; a null vector counts as one without elements.
     """
     elements = numbered(df, keys, F.col(embedding), "dim", "x")
     means = elements.groupBy(*keys, "dim").agg(
-        F.avg(F.col("x").cast("double")).alias("x"), F.count("*").alias("n")
+        F.avg(F.col("x").cast("double")).alias("x"),
+        F.count("*").alias("n"),
+        F.count("x").alias("known"),
     )
     grouped = means.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("dim", "x"))).alias("entries"),
-        (F.min("n") == F.max("n")).alias("even"),
+        ((F.min("n") == F.max("n")) & (F.sum("n") == F.sum("known"))).alias("even"),
     )
-    uneven = F.raise_error(F.lit("vectors of unequal length under one key"))
+    uneven = F.raise_error(F.lit("vectors of unequal length, or null elements, under one key"))
     vector = F.when(F.col("even"), F.col("entries.x")).otherwise(uneven.cast("array<double>"))
     return grouped.select(*keys, vector.alias("embedding"))
 
 
 def with_words(vectors: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Add the decoded word of each token id. The rank file's table is broadcast once its
-    size has been checked."""
-    vocabulary.check_size()
-    return vectors.join(F.broadcast(vocabulary.tokens()), "token_id")
+    """Add the decoded word of each token id. An id that the rank file lacks is an error.
+    Spark broadcasts the rank file if it is small enough, and shuffles it otherwise."""
+    found = vectors.join(vocabulary.tokens(), "token_id", "left")
+    unknown = F.concat(F.lit("no such token: "), F.col("token_id").cast("string"))
+    return found.withColumn("word", F.coalesce("word", F.raise_error(unknown).cast("string")))
 
 
 def word2vec_vectors(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verbaloom.functions import text as tx
-from verbaloom.operators.ordinals import with_offsets
+from verbaloom.operators.ordinals import whole_div, with_offsets
 from verbaloom.operators.words import numbered
 
 # A vocabulary is broadcast, so its size is checked against this bound.
@@ -192,10 +192,10 @@ def token_shards(texts: DataFrame, keys: list[str], tokens_per_shard: int) -> Da
             ).alias("ids"),
         )
 
-    shards = F.sequence(F.floor(first / size), F.floor((end - 1) / size))
+    shards = F.sequence(whole_div(first, size), whole_div(end - 1, size))
     pieces = F.when(F.size(tokens) > 0, F.transform(shards, piece))
     cut = numbered(placed, [], pieces, "_i", "_piece").select(
-        (F.col("_piece.shard") + 1).cast("int").alias("shard_id"),
+        (F.col("_piece.shard") + 1).alias("shard_id"),
         F.struct("_piece.start", "_piece.ids").alias("_part"),
     )
     in_order = F.array_sort(F.collect_list("_part"))

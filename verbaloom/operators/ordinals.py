@@ -14,7 +14,8 @@ def running_offsets(totals: DataFrame, keys: list[str], weights: list[str]) -> D
     """keys, weights: each weight replaced by its sum over all earlier rows.
 
     ``totals`` has one row per distinct key; keys are integer columns and give the
-    order. One window over all rows would run in a single task. Instead each key is read
+    order. A null weight counts as 0. Null or repeated keys fail when they are met, other
+    key types at once. One window over all rows would run in a single task. Instead each key is read
     as three 21-bit digits: rows are summed inside their digit group, the group totals
     inside the next coarser group, and so on, and the sums are joined back down. No
     window partition holds more than 2**22 rows whatever the key distribution, and
@@ -24,6 +25,10 @@ def running_offsets(totals: DataFrame, keys: list[str], weights: list[str]) -> D
     Each level reads its group totals off the last row of its own window, so both uses
     share one shuffle of the totals.
     """
+    kinds = dict(totals.dtypes)
+    for key in keys:
+        if kinds[key] not in ("tinyint", "smallint", "int", "bigint"):
+            raise TypeError(f"order key {key} must be an integer, not {kinds[key]}")
     # Finest to coarsest: the columns that identify a row at each level.
     levels = [
         keys[:i] + [_digit(keys[i], digit)]
@@ -34,16 +39,22 @@ def running_offsets(totals: DataFrame, keys: list[str], weights: list[str]) -> D
     frame = totals.select(
         *(_required(k).alias(k) for k in keys),
         F.shiftright(_required(keys[-1]), DIGIT_BITS).alias(parents[0][-1]),
-        *(F.col(w).cast("bigint") for w in weights),
+        *(F.coalesce(F.col(w).cast("bigint"), F.lit(0)).alias(w) for w in weights),
     )
     scans = []
     for i, (level, parent) in enumerate(zip(levels, parents)):
         ordered = Window.partitionBy(*parent).orderBy(level[-1])
         before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+        sums = {w: F.coalesce(F.sum(w).over(before), F.lit(0)) for w in weights}
+        if i == 0:
+            # The finest window has each key's rows next to each other.
+            again = F.lag(level[-1]).over(ordered) == F.col(level[-1])
+            twice = F.raise_error(F.lit(f"repeated order key: {', '.join(keys)}")).cast("bigint")
+            sums = {w: F.when(again, twice).otherwise(x) for w, x in sums.items()}
         scan = frame.select(
             *dict.fromkeys(level + parent),
             *weights,
-            *(F.coalesce(F.sum(w).over(before), F.lit(0)).alias(f"_before_{w}") for w in weights),
+            *(x.alias(f"_before_{w}") for w, x in sums.items()),
             F.lead(F.lit(True)).over(ordered).isNull().alias("_last"),
         )
         scans.append(scan)
@@ -72,7 +83,10 @@ def with_offsets(df: DataFrame, keys: list[str], weights: dict[str, Column]) ->
     The hint makes the narrow offsets the hashed side, never the wide rows, and spares
     those a sort; keys are unique, so the join cannot be skewed.
     """
-    totals = df.select(*keys, *(w.cast("bigint").alias(name) for name, w in weights.items()))
+    totals = df.select(
+        *keys,
+        *(F.coalesce(w.cast("bigint"), F.lit(0)).alias(name) for name, w in weights.items()),
+    )
     offsets = running_offsets(totals, keys, list(weights))
     return df.join(offsets.hint("shuffle_hash"), keys)
 
@@ -91,13 +105,13 @@ def _digit(key: str, digit: int) -> str:
 def record_shard(ordinal: Column, records_per_shard: int) -> Column:
     """1-based shard of a record; counts the records that were written."""
     _positive(records_per_shard, "records_per_shard")
-    return (F.floor(ordinal / F.lit(records_per_shard)) + 1).cast("int")
+    return whole_div(ordinal, F.lit(records_per_shard)) + 1
 
 
 def line_shard(line_ordinal: Column, lines_per_shard: int) -> Column:
     """0-based shard of an input line; empty lines count too."""
     _positive(lines_per_shard, "lines_per_shard")
-    return F.floor(line_ordinal / F.lit(lines_per_shard)).cast("int")
+    return whole_div(line_ordinal, F.lit(lines_per_shard))
 
 
 def max_position(positions: DataFrame, position: str = "position") -> DataFrame:
@@ -108,20 +122,24 @@ def max_position(positions: DataFrame, position: str = "position") -> DataFrame:
 
 
 def position_buckets(
-    positions: DataFrame, buckets: int, position: str = "position"
+    positions: DataFrame,
+    buckets: int,
+    position: str = "position",
+    largest: Column | None = None,
 ) -> DataFrame:
     """Add ``bucket``: ``buckets`` equal, order-keeping ranges of ``[0, max position]``.
 
-    The maximum is a scalar subquery over the position column only. A table whose
-    maximum is 0 lies in bucket 0, and so do negative positions.
+    ``largest`` is the maximum if it is known, such as ``words.last_position``; otherwise it
+    is a scalar subquery over the positions. A table whose maximum is 0 lies in bucket 0,
+    and so do negative positions.
     """
     _positive(buckets, "buckets")
-    largest = max_position(positions, position).scalar()
-    width = F.greatest(F.ceil(largest / F.lit(buckets)), F.lit(1))
-    bucket = F.floor(F.col(position) / width)
-    return positions.withColumn(
-        "bucket", F.greatest(F.least(bucket, F.lit(buckets - 1)), F.lit(0)).cast("int")
-    )
+    largest = max_position(positions, position).scalar() if largest is None else largest
+    # Rounded up in whole numbers: doubles are wrong above 2**53.
+    count = F.lit(buckets).cast("bigint")
+    up = whole_div(largest, count) + (largest % count > 0).cast("bigint")
+    bucket = whole_div(F.greatest(F.col(position).cast("bigint"), F.lit(0)), F.greatest(up, F.lit(1)))
+    return positions.withColumn("bucket", F.least(bucket, count - 1).cast("int"))
 
 
 def range_layout(positions: DataFrame, partitions: int, position: str = "position") -> DataFrame:
@@ -129,6 +147,11 @@ def range_layout(positions: DataFrame, partitions: int, position: str = "positio
     return positions.repartitionByRange(partitions, position).sortWithinPartitions(position)
 
 
+def whole_div(a: Column, b: Column) -> Column:
+    """Whole-number division of numbers that are not negative."""
+    return F.call_function("div", a, b)
+
+
 def _positive(value: int, name: str) -> None:
     if value <= 0:
         raise ValueError(f"{name} must be positive, got {value}")

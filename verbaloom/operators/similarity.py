@@ -13,8 +13,10 @@ from verbaloom.functions import vectors as vx
 # Fixed value: the default number of neighbours.
 TOP_N = 5
 
-# Two blocks of this many bytes, and the products of one slice, are a task's working set.
-BLOCK_BYTES = 32 << 20
+# Two blocks of this many bytes of vectors (and 64 bytes a row for word and id), and the
+# products of one slice, are a task's working set.
+BLOCK_BYTES, ROW_BYTES = 32 << 20, 64
+SLICE_BYTES = 32 << 20
 SMALLEST_BLOCK = 512
 # Ranking ignores differences below this many decimals, so that ties do not depend on
 # the order in which a product was summed.
@@ -22,9 +24,11 @@ RANK_DECIMALS = 10
 
 
 def last_per_word(df: DataFrame, word: str, order: str) -> DataFrame:
-    """One row per word: the one with the highest ``order``."""
-    others = F.struct(*[c for c in df.columns if c != word])
-    return df.groupBy(word).agg(F.max_by(others, order).alias("_row")).select(word, "_row.*")
+    """One row per word: the one with the highest ``order``; of equal ones, that with the
+    greatest other columns, in their order."""
+    others = [c for c in df.columns if c not in (word, order)]
+    row = F.max(F.struct(order, *others)).alias("_row")
+    return df.groupBy(word).agg(row).select(word, "_row.*").select(*df.columns)
 
 
 def with_norms(vectors: DataFrame, embedding: str = "embedding") -> DataFrame:
@@ -127,16 +131,23 @@ def top_neighbours(
 
 def _block_count(source: DataFrame, block_rows: int | None) -> int:
     """Blocks small enough for a task's memory, and enough of them to use the cluster."""
-    rows, shortest, longest, distinct = source.select(
-        F.count("*"), F.min(F.size("v")), F.max(F.size("v")), F.count_distinct("id")
+    known = F.col("word").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull())
+    rows, shortest, longest, distinct, whole = source.select(
+        F.count("*"),
+        F.min(F.size("v")),
+        F.max(F.size("v")),
+        F.count_distinct("id"),
+        F.count_if(known),
     ).first()
+    if rows != whole:
+        raise ValueError(f"{rows - whole} rows have a null word, vector or element")
     if rows != distinct:
         raise ValueError("ids are not unique")
     if shortest != longest:
         raise ValueError(f"vectors of unequal length: {shortest} to {longest}")
     if block_rows is not None:
         return max(math.ceil(rows / block_rows), 1)
-    needed = math.ceil(rows * max(longest or 1, 1) * 8 / BLOCK_BYTES)
+    needed = math.ceil(rows * (max(longest or 1, 1) * 8 + ROW_BYTES) / BLOCK_BYTES)
     cores = source.sparkSession.sparkContext.defaultParallelism
     useful = min(math.ceil(math.sqrt(2 * cores)), rows // SMALLEST_BLOCK)
     return max(needed, useful, 1)
@@ -144,7 +155,7 @@ def _block_count(source: DataFrame, block_rows: int | None) -> int:
 
 def _cell_neighbours(top_n: int, decimals: int):
     """The function run per block pair; it needs only pyarrow and numpy on executors."""
-    slice_rows = 256
+    slice_bytes = SLICE_BYTES
 
     def neighbours(key, table):
         import numpy as np
@@ -166,6 +177,8 @@ def _cell_neighbours(top_n: int, decimals: int):
             theirs = np.flatnonzero(block == other)
             if not len(theirs):
                 continue
+            # Products and ranks of a slice are doubles.
+            slice_rows = max(1, slice_bytes // (16 * len(theirs)))
             for start in range(0, len(mine), slice_rows):
                 some = mine[start : start + slice_rows]
                 product = units[some] @ units[theirs].T

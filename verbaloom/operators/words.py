@@ -90,6 +90,16 @@ def positioned_words(df: DataFrame, keys: list[str], text: str = "text") -> Data
     )
 
 
+def last_position(df: DataFrame, text: str = "text") -> DataFrame:
+    """max_position: the position of the corpus' last word, 0 if it has none.
+
+    Positions run without gaps, so this is the number of words less one: one pass of
+    partial sums, no shuffle of texts.
+    """
+    total = F.coalesce(F.sum(tx.whitespace_word_count(F.col(text))), F.lit(0)).cast("bigint")
+    return df.agg(F.greatest(total - 1, F.lit(0)).alias("max_position"))
+
+
 def word_shards(
     df: DataFrame, keys: list[str], lines_per_shard: int, text: str = "text"
 ) -> DataFrame:

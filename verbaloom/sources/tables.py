@@ -7,24 +7,18 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# A narrow table of at most this many rows may be broadcast.
-BROADCAST_ROWS = 1 << 20
 
+def read_table(
+    spark: SparkSession, path: str, columns: list[str], deal: list[str] | None = None
+) -> DataFrame:
+    """The named columns of a Parquet table, as its splits lie: no shuffle.
 
-def read_table(spark: SparkSession, path: str, columns: list[str], keys: list[str]) -> DataFrame:
-    """The named columns of a Parquet table, spread over the cores if it is tiny.
-
-    A table in fewer splits than there are cores (one small file) would be worked on by
-    a few tasks only, so its rows are dealt out by key. Larger tables are left as they
-    lie: no shuffle.
+    ``deal`` names keys by which rows are dealt over the cores first. It is for a table in
+    one small file, which a single task would work on; whoever reads it says so.
     """
     df = spark.read.parquet(path).select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, *keys)
-    return df
+    return df.repartition(spark.sparkContext.defaultParallelism, *deal) if deal else df
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -66,18 +60,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """One side of a join, broadcast if it has at most ``rows`` rows (2**20 by default, for
-    narrow ones). Otherwise it is left to be shuffled, where adaptive execution splits
-    hot keys.
-
-    Rows are counted here, so pass a staged or cheap table.
-    """
-    rows = BROADCAST_ROWS if rows is None else rows
-    few = df.limit(rows + 1).count() <= rows
-    return F.broadcast(df) if few else df
-
-
 def drop_staged(spark: SparkSession) -> None:
     """Delete this application's staged tables, once nothing reads them any more."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging_folder(spark))

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from verbaloom.functions import vectors as vx
 from verbaloom.functions.text import LINE_BREAK, trim_controls
-from verbaloom.sources.tables import small_side, stage
+from verbaloom.sources.tables import stage
 
 
 def _text(spark: SparkSession, path, recursive: bool, glob: str | None, whole: bool = False):
@@ -48,23 +47,52 @@ def read_numbered_lines(
         ),
         "lines",
     )
-    # One row per block, about one per 128 MB of text: small enough for one ordered window.
-    before = Window.orderBy("file_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = stage(
-        placed.groupBy("file_path", "_block")
-        .agg(F.min("_seq").alias("_start"), F.count("*").alias("_n"))
-        .select(
-            "file_path",
-            "_block",
-            (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_start")).alias("_shift"),
+        placed.groupBy("file_path", "_block").agg(
+            F.min("_seq").alias("_start"), F.count("*").alias("_n")
         ),
         "blocks",
     )
-    return placed.join(small_side(blocks), ["file_path", "_block"]).select(
+    # Files in the order of their paths, numbers in a path as numbers: shard 100000 follows
+    # 99999. Blocks are summed inside their file, files inside a range of paths, and only
+    # the ranges, one per shuffle partition, in one task.
+    files = blocks.groupBy("file_path").agg(F.sum("_n").alias("_n"))
+    files = files.withColumn("_key", natural_order(F.col("file_path")))
+    ranged = files.repartitionByRange("_key", "file_path")
+    ranged = stage(ranged.withColumn("_range", F.spark_partition_id()), "file-ranges")
+    ranges = ranged.groupBy("_range").agg(F.sum("_n").alias("_n"))
+    ranges = _before(ranges, [], ["_range"], "_in_all").drop("_n")
+    starts = _before(ranged, ["_range"], ["_key", "file_path"], "_in_range").join(ranges, "_range")
+    starts = starts.select("file_path", (F.col("_in_all") + F.col("_in_range")).alias("_file"))
+    shifts = _before(blocks, ["file_path"], ["_block"], "_in_file").join(starts, "file_path")
+    shift = F.col("_file") + F.col("_in_file") - F.col("_start")
+    shifts = stage(shifts.select("file_path", "_block", shift.alias("_shift")), "shifts")
+    return placed.join(shifts, ["file_path", "_block"]).select(
         "file_path", (F.col("_seq") + F.col("_shift")).alias("line_no"), "line"
     )
 
 
+def natural_order(path: Column) -> Column:
+    """A sort key in which runs of digits order as numbers: each is preceded by its length."""
+    plain = F.regexp_replace(path, "(?<![0-9])0+(?=[0-9])", "")
+    parts = F.regexp_extract_all(plain, F.lit("[0-9]+|[^0-9]+"), F.lit(0))
+    number = F.lit("^[0-9]")
+    keyed = F.transform(
+        parts,
+        lambda p: F.when(
+            F.regexp_like(p, number), F.concat(F.lpad(F.length(p).cast("string"), 5, "0"), p)
+        ).otherwise(p),
+    )
+    return F.array_join(keyed, "")
+
+
+def _before(df: DataFrame, groups: list[str], order: list[str], name: str) -> DataFrame:
+    """Add the sum of ``_n`` over the earlier rows of each group."""
+    window = Window.partitionBy(*groups).orderBy(*order)
+    total = F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1))
+    return df.withColumn(name, F.coalesce(total, F.lit(0)))
+
+
 def read_whole_files(
     spark: SparkSession, path, recursive: bool = True, glob: str | None = None
 ) -> DataFrame:
@@ -86,20 +114,18 @@ def read_whole_files(
 def find_file(spark: SparkSession, folder: str, name: str) -> str | None:
     """Path of the file called ``name`` anywhere below ``folder``, the first by path; None
     if there is none or ``folder`` is no directory. Reads the listing, not the files."""
-    exact = re.sub(r"([*?\[\]{}\\])", r"\\\1", name)
-    try:
-        listing = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", exact)
-            .load(folder)
-        )
-    except AnalysisException:
-        return None
-    found = listing.agg(F.min("path")).first()[0]
-    if found is None or found.rstrip("/").endswith(folder.rstrip("/")):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(target) or not system.getFileStatus(target).isDirectory():
         return None
-    return found
+    exact = re.sub(r"([*?\[\]{}\\])", r"\\\1", name)
+    listing = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", exact)
+        .load(folder)
+    )
+    return listing.agg(F.min("path")).first()[0]
 
 
 def write_lines(df: DataFrame, path: str, value: str, key: str | None = None) -> None:
@@ -111,21 +137,23 @@ def write_lines(df: DataFrame, path: str, value: str, key: str | None = None) ->
 def write_shards(
     df: DataFrame, path: str, order: str, value: str | None = None, shard: str = "shard_id"
 ) -> None:
-    """Write ``path/shard_id=<00001>/`` with each shard's rows in order, replacing old shards.
+    """Write ``path/shard_id=<number>/`` with each shard's rows in order, replacing old shards.
+    Nothing else in the folder is touched.
 
     Parquet of all columns, or text lines of one column if ``value`` is named. A shard is
     bounded by its record count, so one task can write it; tasks hold many shards.
     Fails if ``path`` is a file. For millions of shards use ``write_shard_ranges``.
     """
     _need_folder(df.sparkSession, path)
-    # Five digits, so that path order is shard order.
+    # Five digits for readers that go by path order; ours order numbers of any length.
     padded = df.withColumn(shard, F.format_string("%05d", shard))
+    _drop_shards(df.sparkSession, path, shard)
     laid_out = padded.repartition(shard).sortWithinPartitions(shard, order)
     if value is None:
-        laid_out.write.mode("overwrite").partitionBy(shard).parquet(path)
+        laid_out.write.mode("append").partitionBy(shard).parquet(path)
     else:
         lines = laid_out.select(shard, F.col(value).cast("string").alias("value"))
-        lines.write.mode("overwrite").partitionBy(shard).text(path)
+        lines.write.mode("append").partitionBy(shard).text(path)
 
 
 def write_shard_ranges(df: DataFrame, path: str, order: str, shard: str = "shard_id") -> None:
@@ -146,6 +174,17 @@ def _need_folder(spark: SparkSession, path: str) -> None:
         raise ValueError(f"not a directory: {path}")
 
 
+def _drop_shards(spark: SparkSession, path: str, shard: str) -> None:
+    """Delete the shard folders of an earlier write."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.exists(target):
+        for found in system.listStatus(target):
+            name = found.getPath().getName()
+            if found.isDirectory() and re.fullmatch(rf"{re.escape(shard)}=[0-9]+", name):
+                system.delete(found.getPath(), True)
+
+
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """shard_id, line of text shards; a filter on shard_id reads those shards only."""
     return spark.read.text(path).select("shard_id", F.col("value").alias("line"))
@@ -154,15 +193,21 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
 def read_token_shards(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
     """shard_id, tokens from text shards with one token id per line.
 
-    The number comes from a ``shard_00001.txt`` or ``shard_id=00001`` path. Empty lines
-    are skipped; a line that is no number, or a path without one, is an error.
+    The number is that of a file ``shard_00001.txt`` or a folder ``shard_id=00001`` at the
+    path's end; other numbers above do not count. Several files of one shard are read
+    in path order as one. Empty lines are skipped; a line that is no number, or a file
+    without a shard number, is an error.
     """
     files = read_whole_files(spark, path, glob=glob)
     lines = F.split(trim_controls(F.col("content")), r"[\x00-\x20]*\n[\x00-\x20]*")
-    number = F.regexp_extract("file_path", r"shard_(?:id=)?([0-9]+)", 1)
-    return files.select(
-        number.cast("int").alias("shard_id"),
-        F.array_remove(lines, "").cast("array<int>").alias("tokens"),
+    number = F.regexp_extract("file_path", r"shard_(?:id=)?([0-9]+)(?:\.[^/]*)?(?:/[^/=]*)?$", 1)
+    parts = files.select(
+        number.cast("bigint").alias("shard_id"),
+        F.struct("file_path", F.array_remove(lines, "").cast("array<int>").alias("ids")).alias("part"),
+    )
+    in_order = F.array_sort(F.collect_list("part"))
+    return parts.groupBy("shard_id").agg(
+        F.flatten(F.transform(in_order, lambda p: p["ids"])).alias("tokens")
     )
 
 
@@ -191,6 +236,13 @@ def read_embeddings(spark: SparkSession, path, glob: str | None = None) -> DataF
     return found.where("valid").select("key", "word", "embedding")
 
 
+def write_neighbours(rows: DataFrame, path: str, word: str, embedding: str = "embedding") -> None:
+    """``word<TAB>x,x,x w:s w:s`` lines of ``similarity.neighbour_rows``."""
+    vector = vx.format_vector(F.col(embedding))
+    value = F.concat_ws(" ", vector, F.nullif(vx.format_neighbours(F.col("neighbours")), F.lit("")))
+    write_lines(rows.select(F.col(word).alias("_key"), value.alias("_value")), path, "_value", "_key")
+
+
 def read_rejected_embeddings(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
     """line: the non-empty lines ``read_embeddings`` leaves out."""
     found = parse_embedding_lines(read_lines(spark, path, glob=glob))
