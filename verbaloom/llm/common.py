@@ -11,11 +11,11 @@ from pyspark.sql import types as T
 # A model or vocabulary file of at most this size is broadcast; a longer one is an error.
 MAX_FILE_BYTES = 64 << 20
 # Texts are worked on in slices of about this many bytes, or one text if that is longer.
-SLICE_BYTES = 4 << 20
-# Strings a worker remembers that it met once, and in all.
-ONCE_ENTRIES, MEMO_ENTRIES = 300_000, 800_000
+SLICE_BYTES = 1 << 20
+# Strings a worker remembers that it met once, and in all: some 100 MB.
+ONCE_ENTRIES, MEMO_ENTRIES = 150_000, 400_000
 
-# Objects of this worker process, by name; they outlive a task.
+# The object that this worker process keeps between tasks, under its key.
 _state: dict = {}
 
 
@@ -46,11 +46,12 @@ def ship_file(spark: SparkSession, path: str):
 
 
 def worker_state(key, make):
-    """``make()`` once per worker process and key; a new key of a kind replaces the old."""
-    kind = key[0]
-    if _state.get(kind, (None,))[0] != key:
-        _state[kind] = (key, make())
-    return _state[kind][1]
+    """``make()`` once per worker process and key. A worker keeps the object of one key: that
+    of another operator, or of other settings, takes its place."""
+    if key not in _state:
+        _state.clear()
+        _state[key] = make()
+    return _state[key]
 
 
 def slices(batch, text: str, size: int = SLICE_BYTES):

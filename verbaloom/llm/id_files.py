@@ -226,6 +226,7 @@ def write_ids(
         raise TypeError(f"the key {key} must be an integer")
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     shipped = ship_file(spark, vocabulary)
+    width = _width(shipped.value, end_id)
     placed = (
         df.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
         .repartitionByRange(shards, "key")
@@ -237,7 +238,6 @@ def write_ids(
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId()
-        width = worker_state(("id_width", shipped.value, end_id), lambda: _width(shipped.value, end_id))
         encoder = worker_state(
             ("id_files", shipped.value, width), lambda: LibraryEncoder(shipped.value, f"<u{width}")
         )

@@ -70,15 +70,15 @@ class PieceMerges:
             for k in range(1, len(p))
             if p[:k] in symbols and p[k:] in symbols
         ]
-        self.table = PairTable(*np.array(pairs, np.int64).T)
+        self.listed = np.array(pairs, np.int64)
+        self.table = PairTable(*self.listed.T)
         self.pairs = None
-        self.first_pairs = pairs
         self.memo = Memo(self.encode_chunks)
 
     def agenda(self, symbols: list[int]) -> list[int]:
         """One long chunk: a heap of (rank, position), stale entries skipped."""
         if self.pairs is None:
-            self.pairs = {(a, b): (rank, i) for a, b, rank, i in self.first_pairs}
+            self.pairs = {(a, b): (rank, i) for a, b, rank, i in self.listed.tolist()}
         after = [*range(1, len(symbols)), -1]
         before = [*range(-1, len(symbols) - 1)]
         symbols, heap = list(symbols), []
