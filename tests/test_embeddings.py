@@ -107,3 +107,13 @@ def test_dense(spark):
     assert sorted(r.v for r in found.collect()) == sorted(
         [[1.0, 0, 0, 2.0, 0], [0, 0, 0, 0, 5.0], [0.0] * 5, [0.0, 1.0, 2.0, 3.0, 4.0]]
     )
+
+
+def test_unknown_ids_and_null_elements_fail(spark, vocabulary):
+    vectors = spark.createDataFrame([(64, 1), (10**7, 2)], "token_id int, n int")
+    with pytest.raises(Exception, match="no such token: 10000000"):
+        embeddings.with_words(vectors, vocabulary).collect()
+    assert embeddings.with_words(vectors.where("n = 1"), vocabulary).count() == 1
+    df = spark.createDataFrame([(1, [1.0, None]), (1, [3.0, 5.0])], "k int, embedding array<double>")
+    with pytest.raises(Exception, match="null elements"):
+        embeddings.mean_embeddings(df, ["k"]).collect()

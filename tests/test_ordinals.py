@@ -91,3 +91,52 @@ def test_range_layout_keeps_order(spark):
     df = spark.range(1000).withColumnRenamed("id", "position").repartition(5)
     parts = ordinals.range_layout(df, 4).rdd.map(lambda r: r.position).glom().collect()
     assert [p for part in parts for p in part] == list(range(1000))
+
+
+def test_null_texts_count_no_words(spark):
+    """A null text as the last key of a digit group does not shift what follows."""
+    rows = [(1, "a b"), (2**21 - 1, None), (2**21, "c"), (2**21 + 1, "d e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = words.positioned_words(df, ["doc_id"]).orderBy("position").collect()
+    assert [(r.position, r.word) for r in found] == list(enumerate("abcde"))
+    cut = words.sentence_shards(df, ["doc_id"], 2).orderBy("ordinal").collect()
+    assert [(r.shard_id, r.ordinal, r.sentence) for r in cut] == [
+        (1, 0, "a b"),
+        (1, 1, "c"),
+        (2, 2, "d e"),
+    ]
+    totals = spark.createDataFrame([(1, 2), (2, None), (2**21, 3)], "k long, n long")
+    assert dict(ordinals.running_offsets(totals, ["k"], ["n"]).collect()) == {1: 0, 2: 2, 2**21: 2}
+
+
+def test_a_null_last_turn(spark):
+    rows = [(0, 0, "a"), (0, 1, None), (1, 0, "b c"), (1, 1, "d")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string")
+    found = words.positioned_words(df, ["conv_id", "turn"]).orderBy("position").collect()
+    assert [(r.position, r.word) for r in found] == list(enumerate("abcd"))
+
+
+def test_repeated_and_other_keys_fail(spark):
+    df = spark.createDataFrame([(1, "a b c"), (1, "d e f"), (2, "g")], "doc_id long, text string")
+    with pytest.raises(Exception, match="repeated order key"):
+        words.positioned_words(df, ["doc_id"]).collect()
+    for kind in ("double", "string", "decimal(20,0)"):
+        with pytest.raises(TypeError):
+            words.positioned_words(df.withColumn("doc_id", df.doc_id.cast(kind)), ["doc_id"])
+
+
+def test_buckets_of_large_positions(spark):
+    positions = [0, 2**60, 2**61, 2**62 - 1, 2**62]
+    df = spark.createDataFrame([(p,) for p in positions], "position long")
+    width = -(-(2**62) // 3)
+    found = {r.position: r.bucket for r in ordinals.position_buckets(df, 3).collect()}
+    assert found == {p: min(p // width, 2) for p in positions}
+
+
+def test_last_position_moves_no_text(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, None), (3, "c")], "doc_id long, text string")
+    last = words.last_position(df)
+    assert last.first().max_position == 2
+    assert words.last_position(df.limit(0)).first().max_position == 0
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan

@@ -123,3 +123,19 @@ def test_text_forms(spark):
         vx.format_vector(F.col("v")).alias("csv"), vx.format_neighbours(entry).alias("near")
     ).first()
     assert (row.csv, row.near) == ("0.5,-2.0", "bow:0.75")
+
+
+@pytest.mark.parametrize("row", [(3, "c", None), (3, None, [1.0, 0.0]), (3, "c", [None, 1.0])])
+def test_null_vectors_and_words_fail(spark, row):
+    rows = [(1, "a", [1.0, 0.0]), row, (2, "b", [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "id long, word string, embedding array<double>")
+    with pytest.raises(ValueError, match="1 rows have a null"):
+        similarity.top_neighbours(df, "id", "word")
+
+
+def test_small_slices_give_the_same_neighbours(spark, monkeypatch):
+    rows = [(i, f"w{i % 7}", [float(i % 5), float(i % 3), 1.0]) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, word string, embedding array<double>")
+    want = sorted(r[:5] for r in similarity.top_neighbours(df, "id", "word").collect())
+    monkeypatch.setattr(similarity, "SLICE_BYTES", 1)
+    assert sorted(r[:5] for r in similarity.top_neighbours(df, "id", "word").collect()) == want

@@ -105,3 +105,14 @@ def test_null_keys_are_an_error(spark):
     df = spark.createDataFrame([(1, "a"), (None, "b")], "doc_id long, text string")
     with pytest.raises(Exception, match="null order key"):
         words.positioned_words(df, ["doc_id"]).collect()
+
+
+def test_tokenized_words(spark):
+    lines = ["5_[12]\t[7 8]", "6_a_b\t[]", "7_x\t[1 q]", "8_x [1]", "_x\t[1]", "9_a\tb\t[3]", None]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    found = df.select(tx.tokenized_word(F.col("line")).alias("p")).where("p is not null").select("p.*")
+    assert sorted((r.position, r.word, r.token_ids) for r in found.collect()) == [
+        (5, "[12]", [7, 8]),
+        (6, "a_b", []),
+        (9, "a\tb", [3]),
+    ]

@@ -35,9 +35,7 @@ def test_numbered_lines_follow_path_order(spark, folder):
     ]
 
 
-@pytest.mark.parametrize("broadcast", [1 << 20, 0])
-def test_numbered_lines_of_a_file_in_many_blocks(spark, tmp_path, monkeypatch, broadcast):
-    monkeypatch.setattr(tables, "BROADCAST_ROWS", broadcast)
+def test_numbered_lines_of_a_file_in_many_blocks(spark, tmp_path):
     lines = [f"{i} " + "x" * (i % 50) for i in range(5000)]
     (tmp_path / "big.txt").write_text("\n".join(lines))
     (tmp_path / "small.txt").write_text("last\n")
@@ -158,3 +156,62 @@ def test_token_shards(spark, tmp_path):
     (tmp_path / "shard_00003.txt").write_text("x\n")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         text_files.read_token_shards(spark, str(tmp_path)).collect()
+
+
+def test_shards_past_five_digits_keep_their_order(spark, tmp_path):
+    rows = [(99_999, 0, "a"), (99_999, 1, "b"), (100_000, 2, "c"), (100_001, 3, "d")]
+    df = spark.createDataFrame(rows, "shard_id int, o long, v string")
+    path = str(tmp_path / "many")
+    text_files.write_shards(df, path, "o", "v")
+    found = text_files.read_numbered_lines(spark, path, glob="part-*").collect()
+    assert sorted((r.line_no, r.line) for r in found) == list(enumerate("abcd"))
+    plan = text_files.read_numbered_lines(spark, path)._jdf.queryExecution().executedPlan()
+    assert "Window" not in plan.toString()
+
+
+def test_overwriting_leaves_foreign_files(spark, tmp_path):
+    df = spark.createDataFrame([(1, 0, "a")], "shard_id int, o long, v string")
+    (tmp_path / "notes").mkdir()
+    (tmp_path / "notes" / "keep.txt").write_text("mine")
+    text_files.write_shards(df, str(tmp_path), "o", "v")
+    text_files.write_shards(df, str(tmp_path), "o", "v")
+    assert (tmp_path / "notes" / "keep.txt").read_text() == "mine"
+    assert len(list(tmp_path.glob("shard_id=*/part-*"))) == 1
+
+
+def test_files_are_found_by_whole_names(spark, tmp_path):
+    (tmp_path / "o").mkdir()
+    for name in ("hello", "help"):
+        (tmp_path / "o" / name).write_text("x")
+    for name in ("hello", "help"):
+        found = text_files.find_file(spark, str(tmp_path / "o"), name)
+        assert found is not None
+        assert found.endswith(f"/o/{name}")
+
+
+def test_token_shards_below_a_folder_with_a_number(spark, tmp_path):
+    folder = tmp_path / "shard_7"
+    (folder / "shard_id=00002").mkdir(parents=True)
+    (folder / "shard_00001.txt").write_text("5\n6\n")
+    (folder / "shard_id=00002" / "part-0").write_text("7\n")
+    (folder / "shard_id=00002" / "part-1").write_text("8\n")
+    found = text_files.read_token_shards(spark, str(folder)).collect()
+    assert {r.shard_id: r.tokens for r in found} == {1: [5, 6], 2: [7, 8]}
+
+
+def test_commas_at_the_end_of_a_vector(spark, tmp_path):
+    (tmp_path / "e.txt").write_text("a\t1,2,\nb\t1,,2\n")
+    found = text_files.read_embeddings(spark, str(tmp_path)).collect()
+    assert [(r.key, r.embedding) for r in found] == [("a", [1.0, 2.0])]
+
+
+def test_neighbour_lines(spark, tmp_path):
+    from verbaloom.operators import similarity
+
+    rows = [(1, "a", [1.0, 0.0]), (2, "b", [1.0, 1.0]), (3, "c", [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "id long, word string, embedding array<double>")
+    found = similarity.neighbour_rows(df, "id", "word", 1)
+    text_files.write_neighbours(found, str(tmp_path / "n"), "word")
+    lines = {r.line for r in text_files.read_lines(spark, str(tmp_path / "n"), glob="part-*").collect()}
+    assert {line.split("\t")[0] for line in lines} == {"a", "b", "c"}
+    assert any(line.startswith("a\t1.0,0.0 b:0.70710678") for line in lines)

@@ -12,6 +12,10 @@ from verbaloom.functions.text import LINE_BREAK, trim_controls
 from verbaloom.sources.tables import stage
 
 
+# The last shard number of a path: that of the file, or of the folder it lies in.
+SHARD_NUMBER = r"^.*shard_(?:id=)?([0-9]+)(?:\.[^/]*)?(?:/[^/=]*)?$"
+
+
 def _text(spark: SparkSession, path, recursive: bool, glob: str | None, whole: bool = False):
     return spark.read.text(
         path, wholetext=whole, recursiveFileLookup=recursive, pathGlobFilter=glob
@@ -200,7 +204,7 @@ def read_token_shards(spark: SparkSession, path, glob: str | None = None) -> Dat
     """
     files = read_whole_files(spark, path, glob=glob)
     lines = F.split(trim_controls(F.col("content")), r"[\x00-\x20]*\n[\x00-\x20]*")
-    number = F.regexp_extract("file_path", r"shard_(?:id=)?([0-9]+)(?:\.[^/]*)?(?:/[^/=]*)?$", 1)
+    number = F.regexp_extract("file_path", SHARD_NUMBER, 1)
     parts = files.select(
         number.cast("bigint").alias("shard_id"),
         F.struct("file_path", F.array_remove(lines, "").cast("array<int>").alias("ids")).alias("part"),
