@@ -35,6 +35,9 @@ ENTRY = np.dtype(
 FOOT = "<QQI8s"
 FOOT_BYTES = struct.calcsize(FOOT)
 NO_KEYS = np.zeros(0, np.int64)
+# The library is the costly step here: larger slices and a larger memo (see common.Memo) than
+# elsewhere, some 200 MB a worker.
+SLICE, MEMO = 4 << 20, (300_000, 800_000)
 CATALOG = "key bigint, shard int, row bigint, first bigint, n_ids bigint"
 
 
@@ -156,7 +159,7 @@ class LibraryEncoder:
         self.mark = added[0]["content"] if plain and added and not pre["add_prefix_space"] else None
         self.mark_id = added[0]["id"] if added else None
         self.first = Memo(lambda words: self.chunks(words, ""))
-        self.rest = Memo(lambda words: self.chunks(words, " "))
+        self.rest = Memo(lambda words: self.chunks(words, " "), *MEMO)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -246,7 +249,7 @@ def write_ids(
 
         def parts():
             for batch in batches:
-                for part in slices(batch, "text"):
+                for part in slices(batch, "text", SLICE):
                     texts = [t or "" for t in part.column(1).to_pylist()]
                     keys.extend(part.column(0).to_pylist())
                     for ids in encoder.encode(texts):
