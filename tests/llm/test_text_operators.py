@@ -297,6 +297,29 @@ def test_disguised_identifiers(text, kind, source):
     assert text[spans[0][1] : spans[0][2]] == (source or text)
 
 
+def test_a_tape_maps_every_character_back():
+    rng = random.Random(6)
+    for _ in range(300):
+        text = "".join(rng.choices("abcdef", k=rng.randint(1, 30)))
+        tape, where = pii.Tape(text), [(i, i + 1) for i in range(len(text))]
+        for _ in range(3):
+            edits, at = [], 0
+            while at < len(tape.text):
+                end = min(len(tape.text), at + rng.randint(1, 4))
+                if rng.random() < 0.4:
+                    edits.append((at, end, "xyz"[: rng.randint(0, 3)]))
+                at = end
+            kept, last = [], 0
+            for a, b, new in edits:
+                kept += where[last:a] + [(where[a][0], where[b - 1][1])] * len(new)
+                last = b
+            where = kept + where[last:]
+            tape.rewrite(edits)
+            assert len(tape.text) == len(where)
+            for i, span in enumerate(where):
+                assert tape.source(i, i + 1) == span
+
+
 @pytest.mark.parametrize(
     "text",
     ["look at it. dot com", "eins zwei drei", "we met at noon", "one two three four five", "Été à Paris, où."],

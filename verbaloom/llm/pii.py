@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -136,24 +137,46 @@ def _plain(char: str) -> str:
 
 
 class Tape:
-    """A text and, for each of its characters, the source span that it stands for."""
+    """A rewritten text that knows where its characters come from.
+
+    Each rewriting keeps its edits alone, so long texts cost no more than a copy.
+    """
 
     def __init__(self, text: str):
         self.text = text
-        self.starts = list(range(len(text)))
-        self.ends = list(range(1, len(text) + 1))
+        self.layers: list[tuple[list[int], list[tuple[int, int, int]]]] = []
 
-    def rewrite(self, edits) -> None:
+    def rewrite(self, edits: list[tuple[int, int, str]]) -> None:
         """Apply (start, end, replacement) edits, in order and apart. The characters of a
         replacement all stand for the whole source of what they replace."""
-        texts, starts, ends, at = [], [], [], 0
+        texts, begins, ends, at, size = [], [], [], 0, 0
         for a, b, new in edits:
             texts += [self.text[at:a], new]
-            starts += self.starts[at:a] + [self.starts[a]] * len(new)
-            ends += self.ends[at:a] + [self.ends[b - 1]] * len(new)
+            size += a - at
+            begins.append(size)
+            size += len(new)
+            ends.append((size, a, b))
             at = b
         self.text = "".join([*texts, self.text[at:]])
-        self.starts, self.ends = starts + self.starts[at:], ends + self.ends[at:]
+        self.layers.append((begins, ends))
+
+    def source(self, start: int, end: int) -> tuple[int, int]:
+        """The span of the first text that a span of this one stands for."""
+        first, last = start, end - 1
+        for begins, ends in reversed(self.layers):
+            first = self._below(begins, ends, first, False)
+            last = self._below(begins, ends, last, True)
+        return first, last + 1
+
+    @staticmethod
+    def _below(begins, ends, at: int, is_last: bool) -> int:
+        i = bisect_right(begins, at) - 1
+        if i < 0:
+            return at
+        end, a, b = ends[i]
+        if at >= end:
+            return b + at - end
+        return b - 1 if is_last else a
 
 
 def _lookalike_edits(text: str):
@@ -195,7 +218,7 @@ def disguised(text: str) -> list[tuple[int, int, int]]:
             tape.rewrite(edits)
     if tape is None:
         return []
-    return [(k, tape.starts[a], tape.ends[b - 1]) for k, a, b in identifiers(tape.text)]
+    return [(k, *tape.source(a, b)) for k, a, b in identifiers(tape.text)]
 
 
 # Without one of these in the lower-cased text no transducer but the first changes it: a
