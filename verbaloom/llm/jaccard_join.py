@@ -399,7 +399,8 @@ def classes(signed: DataFrame, rows: DataFrame, threshold: float) -> DataFrame:
     rooted = kinds.join(linked, kinds["kind"] == linked["node"], "left").select(
         "kind", "key", "copies", F.coalesce("root", "kind").alias("root")
     )
-    least = rooted.groupBy("root").agg(F.min("key").alias("class_id"))
+    # Written, so that a join with a large component's classes can be split.
+    least = stage(rooted.groupBy("root").agg(F.min("key").alias("class_id")), "least-keys")
     zero = F.lit(0).cast("bigint")
     return (
         rooted.join(least, "root")
