@@ -328,6 +328,37 @@ def test_plain_prose_has_no_identifiers(text):
     assert pii.find_spans(text) == []
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "bob at example\ndot com",
+        "bob\n@\nexample.com",
+        "bob\tat\texample\tdot\tcom",
+        "bob[\tat\t]example.com",
+        "bob\u00a0at\u00a0example\u00a0punKt\u00a0com",
+        "one,dot,two,dot,three,dot,four",
+        "one-point-two point one-point-\u017fix",
+        "one dot \u017fix dot F\u0131VE dot e\u0130ns",
+    ],
+)
+def test_disguises_with_any_white_space(text):
+    (span,) = pii.find_spans(text)
+    assert text[span[1] : span[2]] == text
+    assert pii.redacted(f"to {text}, now") == f"to <{span[0].upper()}>, now"
+
+
+def test_hints_leave_out_no_transducer_that_finds_something():
+    rng, found = random.Random(8), 0
+    words = "bob x.y host com at AT ät @ dot Dot point . [ ( ) ] one Two drei \u017fix plus oh é о".split()
+    gaps = ["", " ", " ", " ", "\t", "\n", "\u00a0", "  ", ",", "-", " \n"]
+    for _ in range(40_000):
+        text = "".join(rng.choice(words) + rng.choice(gaps) for _ in range(rng.randint(3, 12)))
+        spans = pii.disguised(text, hints=False)
+        assert pii.disguised(text) == spans, text
+        found += bool(spans)
+    assert found > 100
+
+
 def test_pii_columns_and_redaction(spark):
     rows = [(1, "to a@b.co, b@c.de"), (2, None), (3, ""), (1, "to a@b.co, b@c.de"), (4, "9" * 30_000)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("pii", F.lit(1))

@@ -183,10 +183,15 @@ def _lookalike_edits(text: str):
     return [(m.start(), m.end(), _plain(m[0])) for m in _ODD.finditer(text)]
 
 
+def _digit(word: str) -> str:
+    # Patterns that ignore case also take a long s, and an i without or with its dot.
+    return DIGIT_WORDS[word.casefold().replace("i\u0307", "i").replace("\u0131", "i")]
+
+
 def _digit_edits(text: str):
     for run in _DIGIT_RUN.finditer(text):
         for m in _RUN_PART.finditer(text, run.start(), run.end()):
-            new = "+" if m[1] else "." if m[2] else DIGIT_WORDS[m[3].lower()] if m[3] else ""
+            new = "+" if m[1] else "." if m[2] else _digit(m[3]) if m[3] else ""
             yield m.start(), m.end(), new
 
 
@@ -202,17 +207,13 @@ def _spoken_edits(text: str):
             yield m.start(), m.end(), "." if m[2] else "@"
 
 
-def disguised(text: str) -> list[tuple[int, int, int]]:
-    """Identifiers of the text after the transducers, as spans of the source."""
-    lower = text.lower()
+def disguised(text: str, hints: bool = True) -> list[tuple[int, int, int]]:
+    """Identifiers of the text after the transducers, as spans of the source. Without
+    ``hints`` no transducer is left out; the spans are the same."""
     tape = None
-    steps = []
-    if not text.isascii() and _ODD.search(text):
-        steps.append(_lookalike_edits)
-    if steps or any(w in lower for w in _HINTS) or _DIGIT_PAIR.search(lower):
-        steps += [_digit_edits, _sign_edits, _spoken_edits]
-    for step in steps:
-        edits = list(step(text if tape is None else tape.text))
+    for hint, step in _STEPS:
+        plain = text if tape is None else tape.text
+        edits = list(step(plain)) if not hints or hint.search(plain) else []
         if edits:
             tape = tape or Tape(text)
             tape.rewrite(edits)
@@ -221,17 +222,19 @@ def disguised(text: str) -> list[tuple[int, int, int]]:
     return [(k, *tape.source(a, b)) for k, a, b in identifiers(tape.text)]
 
 
-# Without one of these in the lower-cased text no transducer but the first changes it: a
-# bracket or a space before a sign, a dot word, or two digit words.
-_HINTS = (
-    [f" {d} " for d in DOT_WORDS]
-    + [o + w for o in "[({<" for w in [*AT_WORDS, *DOT_WORDS, "@", "."]]
-    + [o + " " + w for o in "[({<" for w in [*AT_WORDS, *DOT_WORDS, "@", "."]]
-    + [" @", "@ "]
-)
-
-
-_DIGIT_PAIR = re.compile(rf"(?<!\w)(?:{_words})[\s,-]{{1,2}}(?:{_words})(?!\w)")
+# Each transducer with a cheap pattern that is found wherever the transducer finds anything,
+# as it is a part of each of its matches: the second of four digit words stands after a
+# separator and before one and a word; a sign stands in brackets; a spoken address has a dot
+# word or an @ between white space.
+_STEPS = [
+    (_ODD, _lookalike_edits),
+    (
+        re.compile(rf"[\s,-](?:{_words})[\s,-]{{1,2}}(?:{_words}|{_dots})", re.IGNORECASE),
+        _digit_edits,
+    ),
+    (re.compile(rf"[\[({{<]\s?(?:{_ats}|{_dots}|@|\.)\s?[\])}}>]", re.IGNORECASE), _sign_edits),
+    (re.compile(rf"\s(?:{_dots}|@)\s", re.IGNORECASE), _spoken_edits),
+]
 
 
 def find_spans(text: str) -> list[tuple[str, int, int, bool]]:
