@@ -339,6 +339,31 @@ def test_shards_of_few_rows_and_none(spark):
     assert hilbert_shards.assign_shards(df.limit(0), ["source"], 24).count() == 0
 
 
+def test_string_cuts_are_quantiles_of_whole_values(spark):
+    rng = random.Random(9)
+    values = [f"https://www.example.com/crawl/{rng.randint(0, 300):04d}" for _ in range(2000)]
+    values += ["https://www.example.com/crawl/0100"] * 700 + ["", "é", "z\uffff", "z🙂"]
+    df = spark.createDataFrame([(v,) for v in [*values, None, None]], "source string")
+    ordered = sorted(values)
+    want = {ordered[-(-i * len(ordered) // 32) - 1] for i in range(1, 32)}
+    found = hilbert_shards.string_cuts(df, "source", 32)
+    assert sorted(found) == sorted(want)
+    assert hilbert_shards.string_cuts(df.where("source is null"), "source", 32) == []
+
+
+@pytest.mark.parametrize("prefix", ["", "https://www.", "CC-MAIN-2024-"])
+def test_shards_prune_by_strings_with_a_common_prefix(spark, prefix):
+    rng = random.Random(10)
+    names = [f"{prefix}{i:03d}" for i in range(64)]
+    rows = [(i, rng.choice(names), rng.randint(1, 10**6)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, size bigint")
+    for dimensions, most in ((["source"], 1 / 8), (["source", "size"], 1 / 2)):
+        placed = hilbert_shards.assign_shards(df, dimensions, 24)
+        ends = placed.groupBy("shard").agg(F.min("source").alias("a"), F.max("source").alias("b")).collect()
+        read = sum(r.a <= name <= r.b for r in ends for name in names)
+        assert read <= most * len(names) * 24
+
+
 def test_op9_over_the_whole_table(spark):
     import zlib
 

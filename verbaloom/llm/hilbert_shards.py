@@ -55,38 +55,67 @@ def hilbert_index(df: DataFrame, axes: list[str], bits: int, name: str) -> DataF
 
 
 def ordered_number(column: Column, kind: str) -> Column:
-    """A number that orders as the column does: strings by their first seven bytes."""
-    if kind == "string":
-        first = F.rpad(F.hex(F.substring(column.cast("binary"), 1, 7)), 14, "0")
-        return F.conv(first, 16, 10).cast("double")
+    """A number that orders as a column of numbers or times does."""
     if kind == "timestamp" or kind == "date":
         return F.unix_seconds(column.cast("timestamp")).cast("double")
     return column.cast("double")
 
 
+def string_cuts(df: DataFrame, column: str, runs: int) -> list[str]:
+    """The values at which rows in order of a string column pass each multiple of their
+    number / ``runs``: under ``runs`` of them, each once, nulls left out.
+
+    Whole values are compared, so long common prefixes do not matter. Rows are counted by
+    value first; the counts are summed in even ranges of values, then inside each range.
+    """
+    counted = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_value"))
+    ranges = counted.agg(F.count("*").alias("_n")).repartitionByRange("_value")
+    # Staged, so that all readers see the same ranges.
+    dealt = stage(ranges.withColumn("_range", F.spark_partition_id()), "values")
+    sums = dealt.groupBy("_range").agg(F.sum("_n").alias("_sum"), F.min("_value").alias("_least"))
+    # One row per range.
+    earlier = Window.orderBy("_least").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select(
+        "_range",
+        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"),
+        F.sum("_sum").over(Window.partitionBy()).alias("_total"),
+    )
+    inside = Window.partitionBy("_range").orderBy("_value")
+    upto = F.col("_base") + F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    passed = f"least({runs - 1}, _upto * {runs} div _total) > (_upto - _n) * {runs} div _total"
+    cuts = dealt.join(bases, "_range").withColumn("_upto", upto).where(passed)
+    return [r["_value"] for r in cuts.select("_value").collect()]
+
+
 def with_cells(df: DataFrame, dimensions: list[str], bits: int = BITS) -> DataFrame:
     """``df`` with ``cell``: the Hilbert index of its quantised dimensions.
 
-    Each dimension is cut at quantiles of all rows (approximate, in one pass over the
-    dimension columns), so that cells are even for any distribution; equal values share a
-    cell coordinate. Nulls have coordinate 0. An empty table has no cuts.
+    Each dimension is cut at quantiles of all rows, so that cells are even for any
+    distribution; equal values share a cell coordinate. Numbers and times are cut
+    approximately, in one pass over their columns, strings as ``string_cuts`` says. Nulls
+    have coordinate 0. An empty table has no cuts.
     """
     kinds = dict(df.dtypes)
-    numbers = {d: ordered_number(F.col(d), kinds[d]) for d in dimensions}
+    numbers = {d: ordered_number(F.col(d), kinds[d]) for d in dimensions if kinds[d] != "string"}
     share = [i / (1 << bits) for i in range(1, 1 << bits)]
-    found = df.agg(*(F.percentile_approx(n, share).alias(d) for d, n in numbers.items())).first()
+    found = {}
+    if numbers:
+        quantiles = [F.percentile_approx(n, share).alias(d) for d, n in numbers.items()]
+        found = df.agg(*quantiles).first().asDict()
     axes = {}
-    for i, (d, number) in enumerate(numbers.items()):
-        axes[f"_axis{i}"] = _cuts_up_to(number, sorted(set(found[d] or [])))
+    for i, d in enumerate(dimensions):
+        if d not in numbers:
+            found[d] = string_cuts(df, d, 1 << bits)
+        axes[f"_axis{i}"] = _cuts_up_to(numbers.get(d, F.col(d)), sorted(set(found[d] or [])))
     placed = hilbert_index(df.withColumns(axes), list(axes), bits, "cell")
     return placed.drop(*axes)
 
 
-def _cuts_up_to(number: Column, cuts: list[float]) -> Column:
-    """How many of the cuts are at most the number; 0 for null."""
+def _cuts_up_to(value: Column, cuts: list) -> Column:
+    """How many of the cuts are at most the value; 0 for null."""
     if not cuts:
         return F.lit(0)
-    return F.size(F.filter(F.lit(cuts).cast("array<double>"), lambda c: c <= number))
+    return F.size(F.filter(F.lit(cuts), lambda c: c <= value))
 
 
 def assign_shards(
@@ -101,8 +130,8 @@ def assign_shards(
     No task sorts a whole cell: a cell's rows are spread by their key's hash over enough
     groups of even size (see GROUP_ROWS), and only group counts, some MAX_GROUPS at most,
     are summed along the curve. Repeated keys and rows each get a slot of their own (equal rows in any order);
-    null keys and dimensions are allowed. ``df`` is read twice and written once with its
-    cells, so pass few columns. An empty table has no rows. Earlier columns of these three names
+    null keys and dimensions are allowed. ``df`` is read twice, and once more for each string
+    dimension, and written once with its cells, so pass few columns. An empty table has no rows. Earlier columns of these three names
     are replaced.
     """
     placed = stage(with_cells(df.drop("cell", "shard", "slot"), dimensions, bits), "cells")
