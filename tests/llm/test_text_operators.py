@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -359,6 +360,51 @@ def test_hints_leave_out_no_transducer_that_finds_something():
     assert found > 100
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "a.b.c.d.e.f at host dot com",
+        "a dot b dot c dot d dot e dot f at host dot com",
+        "a.b dot c_d.e dot f.g dot h @ host dot co dot uk",
+        " dot ".join("abcdefghij" * 9) + " at host dot com",
+    ],
+)
+def test_spoken_names_of_any_number_of_parts(text):
+    for before in ("", "to ", "bob at home dot net, "):
+        spans = pii.find_spans(before + text)
+        assert ("email", len(before), len(before + text), False) in spans
+    assert pii.redacted(f"to {text}, now") == "to <EMAIL>, now"
+
+
+def test_spoken_addresses_are_the_pattern_without_a_cap():
+    dots, ats = "|".join(pii.DOT_WORDS), "|".join(pii.AT_WORDS)
+    spoken = re.compile(
+        rf"(?<![\w.%+-])[A-Za-z0-9_%+-]+(?:(?:\s(?:{dots})\s|\.)[A-Za-z0-9_%+-]+)*"
+        rf"(?:\s(?:{ats})\s|\s?@\s?)[A-Za-z0-9-]+(?:\s(?:{dots})\s[A-Za-z0-9-]+)+(?!\w)"
+        r"|(?<![\w.%+-])[A-Za-z0-9._%+-]+\s@\s[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+        re.IGNORECASE,
+    )
+    # Where "at" itself is a part between dot words, a text can be read in two ways.
+    two_ways = re.compile(rf"\s(?:{dots})\s(?:{ats})\s(?:{dots})\s", re.IGNORECASE)
+    rng, found = random.Random(11), 0
+    parts = ["a", "b_", "c-", "é", "\u017f", "x.y", ".", "@", " @ ", " @", "\n", " "]
+    parts += [" dot ", " dot ", " Point\t", ".", " at ", " AT ", "at", "dot", "%", "a", "a"]
+    for _ in range(60_000):
+        text = "".join(rng.choices(parts, k=rng.randint(3, 22)))
+        if not two_ways.search(text):
+            want = [m.span() for m in spoken.finditer(text)]
+            assert list(pii._spoken_runs(text)) == want, text
+            found += len(want)
+    assert found > 1000
+
+
+def test_spoken_addresses_take_linear_time():
+    for part in ("a dot ", "a.", "é@b dot at dot ", "at dot dot ", "x @ y.", " at"):
+        start = time.perf_counter()
+        pii.find_spans(part * 40_000 + "b at host dot com")
+        assert time.perf_counter() - start < 20
+
+
 def test_pii_columns_and_redaction(spark):
     rows = [(1, "to a@b.co, b@c.de"), (2, None), (3, ""), (1, "to a@b.co, b@c.de"), (4, "9" * 30_000)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("pii", F.lit(1))

@@ -114,12 +114,15 @@ _OPEN, _SHUT = r"\s{0,2}[\[({<]\s?", r"\s?[\])}>]\s{0,2}"
 _AT_SIGN = re.compile(rf"(?<=[\w.%+-]){_OPEN}(?:{_ats}|@){_SHUT}(?=\w)", re.IGNORECASE)
 _DOT_SIGN = re.compile(rf"(?<=\w){_OPEN}(?:{_dots}|\.){_SHUT}(?=\w)", re.IGNORECASE)
 # name at host dot com, with words or signs that stand apart; a sign or a dot word must be there.
-_SPOKEN = re.compile(
-    rf"(?<![\w.%+-])[A-Za-z0-9_%+-]+(?:(?:\s(?:{_dots})\s|\.)[A-Za-z0-9_%+-]+){{0,4}}"
-    rf"(?:\s(?:{_ats})\s|\s?@\s?)[A-Za-z0-9-]+(?:\s(?:{_dots})\s[A-Za-z0-9-]+)+(?!\w)"
-    r"|(?<![\w.%+-])[A-Za-z0-9._%+-]+\s@\s[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    re.IGNORECASE,
-)
+# The part before the mark is read backwards from it, see _spoken_runs.
+_AT_MARK = re.compile(rf"\s(?:{_ats})(?=\s)|\s?@", re.IGNORECASE)
+_DOT_BEFORE = re.compile(rf"\s(?:{_dots})\s\Z", re.IGNORECASE)
+_LONGEST_DOT = max(map(len, DOT_WORDS)) + 2
+_SPOKEN_HOST = re.compile(rf"[A-Za-z0-9-]+(?:\s(?:{_dots})\s[A-Za-z0-9-]+)+(?!\w)", re.IGNORECASE)
+_DOTTED_HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", re.IGNORECASE)
+# Patterns that ignore case take these four as letters, too.
+_DOTTED_LOCAL = _LOCAL | frozenset("\u0130\u0131\u017f\u212a")
+_SPOKEN_LOCAL = _DOTTED_LOCAL - {"."}
 _SPOKEN_PART = re.compile(rf"\s(?:({_ats})|({_dots}))\s|\s?@\s?", re.IGNORECASE)
 _odd = "".join([*LOOKALIKES, *SIGNS, *INVISIBLE])
 _ODD = re.compile(
@@ -201,9 +204,57 @@ def _sign_edits(text: str):
     return sorted(edits)
 
 
+def _name_start(text: str, at: int, floor: int, chars: frozenset[str]) -> int:
+    while at > floor and text[at - 1] in chars:
+        at -= 1
+    return at
+
+
+def _starts_word(text: str, at: int) -> bool:
+    before = text[at - 1 : at]
+    return not before.isalnum() and before not in _DOTTED_LOCAL
+
+
+def _spoken_start(text: str, at: int, floor: int) -> int | None:
+    """The first start, not before ``floor``, of a name that ends at ``at``: any number of
+    parts with dots or dot words between them."""
+    start = None
+    while (part := _name_start(text, at, floor, _SPOKEN_LOCAL)) < at:
+        if _starts_word(text, part):
+            start = part
+        if text[part - 1 : part] == ".":
+            at = part - 1
+        elif dot := _DOT_BEFORE.search(text, max(floor, part - _LONGEST_DOT), part):
+            at = dot.start()
+        else:
+            break
+    return start
+
+
+def _spoken_runs(text: str):
+    """Spoken addresses: from each at mark, the host after it, then the name before it. An
+    address does not reach back over an earlier one, so that long texts stay linear."""
+    floor = 0
+    mark = _AT_MARK.search(text)
+    while mark:
+        at, after = mark.span()
+        is_spaced = text[after : after + 1].isspace()
+        start = None
+        if host := _SPOKEN_HOST.match(text, after + is_spaced):
+            start = _spoken_start(text, at, floor)
+        elif is_spaced and after - at == 2 and text[after - 1] == "@":
+            if host := _DOTTED_HOST.match(text, after + 1):
+                part = _name_start(text, at, floor, _DOTTED_LOCAL)
+                start = part if part < at and _starts_word(text, part) else None
+        if start is not None:
+            floor = host.end()
+            yield start, floor
+        mark = _AT_MARK.search(text, max(after, floor))
+
+
 def _spoken_edits(text: str):
-    for run in _SPOKEN.finditer(text):
-        for m in _SPOKEN_PART.finditer(text, run.start(), run.end()):
+    for start, end in _spoken_runs(text):
+        for m in _SPOKEN_PART.finditer(text, start, end):
             yield m.start(), m.end(), "." if m[2] else "@"
 
 
