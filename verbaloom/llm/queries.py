@@ -11,6 +11,7 @@ from verbaloom.llm import (
     hilbert_shards,
     id_files,
     jaccard_join,
+    packing,
     pii,
     quality_rules,
     sentencepieces,
@@ -22,6 +23,7 @@ from verbaloom.sources.tables import new_path, stage
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
+WORD_VOCABULARY = "word_bpe_49k.json"
 SHARDS = 24
 # The url rules, and the first labels of listed hosts.
 URL_RULES = [
@@ -181,6 +183,22 @@ def q_op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def q_op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document, with its place in a sequence of at most 2048 tokens."""
+    packed = packing.packed_pieces(
+        _documents(spark, sf_dir), vocabulary_path(WORD_VOCABULARY), end_id=0
+    )
+    return packed.select(
+        "doc_id",
+        "piece",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "sequence_id",
+        "offset",
+    )
+
+
 def queries() -> dict:
     return {
         name.removeprefix("q_"): function
