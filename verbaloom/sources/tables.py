@@ -60,8 +60,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Delete this application's staged tables, once nothing reads them any more."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging_folder(spark))
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table that nothing reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     system.delete(folder, True)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete this application's staged tables, once nothing reads them any more."""
+    drop_path(spark, staging_folder(spark))
