@@ -22,12 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verbaloom.llm.chunk_ids import ChunkEncoder
-from verbaloom.llm.common import ship_file, slices, worker_state
+from verbaloom.llm.common import ship_file, whole_slices, worker_state
 from verbaloom.sources.tables import stage
 
 LENGTH = 2048
-# Bins with at most this many places left are done.
-NEARLY = 32
+# Bins with at most this share of their places left are done.
+NEARLY = 1 / 64
 # Partitions that a node of the tree merges, and the underfull bins it passes on at most.
 FAN, HELD = 8, 4096
 SLICE_BYTES = 8 << 20
@@ -178,29 +178,10 @@ def _local(docs, vocabulary, end_id, key, text, length) -> DataFrame:
     return rows.mapInArrow(pack, shape)
 
 
-def whole_slices(batches, text: str, size: int):
-    """Arrow batches joined and cut into runs of rows with about ``size`` bytes of text."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
-
-    held, bytes_held = [], 0
-    for batch in batches:
-        for part in slices(batch, text, size):
-            column = part.column(part.schema.get_field_index(text))
-            held.append(part)
-            bytes_held += pc.sum(pc.binary_length(column)).as_py() or 0
-            if bytes_held >= size:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held, bytes_held = [], 0
-    held = [part for part in held if part.num_rows]
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 def _merged(pieces: DataFrame, length: int) -> DataFrame:
     """item, root, shift: for bins that were merged, their sequence and place in it."""
     fills = pieces.groupBy("bin").agg(F.sum("length").alias("fill"))
-    open_bins = fills.where(F.col("fill") < length - NEARLY).withColumnRenamed("bin", "item")
+    open_bins = fills.where(F.col("fill") < length * (1 - NEARLY)).withColumnRenamed("bin", "item")
     items = stage(open_bins, "underfull-bins")
     moves = items.select("item", F.col("item").alias("root"), F.lit(0).cast("bigint").alias("shift"))
     last = items.agg(F.max("item")).first()[0]
@@ -239,7 +220,7 @@ def _merge_level(items: DataFrame, level: int, length: int) -> DataFrame:
         roots[numbers[shifts == 0]] = item[shifts == 0]
         lowest = np.argsort(fills, kind="stable")[:HELD]
         passed = np.zeros(len(fills), bool)
-        passed[lowest] = fills[lowest] < length - NEARLY
+        passed[lowest] = fills[lowest] < length * (1 - NEARLY)
         return pa.table(
             {
                 "item": item,

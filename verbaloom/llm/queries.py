@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from verbaloom.llm import (
     chat,
+    collocations,
     decontamination,
+    divergence,
     hilbert_shards,
     id_files,
     jaccard_join,
@@ -183,6 +185,19 @@ def q_op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def q_op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What tells each source from the others of its language, over all documents."""
+    docs = read_table(spark, sf_dir, "documents").select("text", "lang", "source")
+    found = divergence.divergence(docs)
+    return found.select("lang", "source", "part", "item", "value", "rank")
+
+
+def q_op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 phrases of each language that hold together best, over all documents."""
+    docs = read_table(spark, sf_dir, "documents").select("text", "lang")
+    return collocations.collocations(docs)
+
+
 def q_op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document, with its place in a sequence of at most 2048 tokens."""
     packed = packing.packed_pieces(
@@ -212,6 +227,8 @@ def oracle_sql() -> dict[str, str]:
         "op2_chat_format": OP2_SQL,
         "op7_jaccard_join": OP7_SQL,
         "op10_url_filters": OP10_SQL,
+        "op11_source_divergence": OP11_SQL,
+        "op12_phrase_collocations": OP12_SQL,
     }
 
 
@@ -303,3 +320,95 @@ SELECT page_id, host, path, rule,
         ELSE 'allow' END AS verdict
 FROM judged
 """
+
+OP11_SQL = r"""
+WITH docs AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+), found AS (
+    SELECT r, lang, source,
+        unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM docs
+), counted AS MATERIALIZED (
+    SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM found GROUP BY ALL
+), kept AS MATERIALIZED (
+    SELECT lang, term, sum(n) AS all_n FROM counted GROUP BY lang, term HAVING sum(docs) >= 30
+), used AS MATERIALIZED (
+    SELECT lang, source, term, n, all_n FROM counted JOIN kept USING (lang, term)
+), grouped AS MATERIALIZED (
+    SELECT g.lang, g.source, coalesce(u.total, 0) AS total, coalesce(l.total, 0) AS lang_total,
+        coalesce(l.v, 0) AS v
+    FROM (SELECT DISTINCT lang, source FROM docs) g
+    LEFT JOIN (SELECT lang, source, sum(n) AS total FROM used GROUP BY ALL) u USING (lang, source)
+    LEFT JOIN (SELECT lang, sum(all_n) AS total, count(*) AS v FROM kept GROUP BY ALL) l USING (lang)
+), priced AS MATERIALIZED (
+    SELECT g.lang, g.source, kept.term, coalesce(n, 0) AS n,
+        1 + 1000000000::HUGEINT * (coalesce(n, 0) + 5) // (total + 5 * v) AS p,
+        1 + 1000000000::HUGEINT * (kept.all_n + 5) // (lang_total + 5 * v) AS q
+    FROM grouped g JOIN kept USING (lang) LEFT JOIN used USING (lang, source, term)
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM priced a JOIN priced b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY ALL
+), items AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pairs.value, 0) AS value
+    FROM grouped a JOIN grouped b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, p - q FROM priced WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (
+        PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+    FROM items
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+OP12_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\n\x0B\f\r]')) AS piece
+    FROM documents
+), cut AS MATERIALIZED (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w
+    FROM pieces
+), totals AS (
+    SELECT lang, sum(len(w)) AS n FROM cut GROUP BY lang
+), counted AS MATERIALIZED (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a
+    FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM cut)
+    JOIN (SELECT unnest([1, 2, 3, 4, 5]) AS k) ON i + k - 1 <= len(w)
+    GROUP BY ALL HAVING count(*) >= 100
+), phrases AS MATERIALIZED (
+    SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM counted WHERE k >= 2
+), inside AS (
+    SELECT lang, array_to_string(w[i:i + j - 1], ' ') AS phrase, max(a) AS longer
+    FROM (SELECT *, unnest(range(1, k + 1)) AS i FROM phrases)
+    JOIN (SELECT unnest([2, 3, 4]) AS j) ON j < k AND i + j - 1 <= k
+    GROUP BY ALL
+), halves AS (
+    SELECT lang, phrase, a, j, array_to_string(w[1:j], ' ') AS head,
+        array_to_string(w[j + 1:], ' ') AS tail
+    FROM (SELECT *, unnest(range(1, k)) AS j FROM phrases)
+), scored AS (
+    SELECT h.lang, h.phrase, h.a, h.j, x.a AS l, y.a AS r, n,
+        1000::HUGEINT * h.a * n // (x.a::HUGEINT * y.a) AS score
+    FROM halves h JOIN totals USING (lang)
+    JOIN counted x ON x.lang = h.lang AND x.phrase = h.head
+    JOIN counted y ON y.lang = h.lang AND y.phrase = h.tail
+), lowest AS (
+    SELECT * FROM scored
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), ranked AS (
+    SELECT *, row_number() OVER (
+        PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM lowest LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR longer < a
+)
+SELECT lang, rank::INTEGER AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+    n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
