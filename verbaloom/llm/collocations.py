@@ -120,8 +120,12 @@ def _read_codes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(shape).parquet(path)
 
 
-def _bucket(keys):
-    return (keys >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+def _bits(reached) -> int:
+    return len(reached).bit_length() - 1
+
+
+def _bucket(keys, reached):
+    return (keys >> np.uint64(64 - _bits(reached))).astype(np.int64)
 
 
 def _longer(keys, codes):
@@ -143,7 +147,7 @@ def scan(codes, reached, step: int):
         found.append(keys)
         starts.append(np.zeros(len(keys), np.uint8))
     for length in range(2, LONGEST + 1):
-        when = reached[_bucket(keys)]
+        when = reached[_bucket(keys, reached)]
         # A phrase and the next one in the same piece, both of the length before.
         both = np.flatnonzero((np.diff(at) == 1) & (when[:-1] != NEVER) & (when[1:] != NEVER))
         last = at[both] + length - 1
@@ -202,7 +206,7 @@ def _scan_shard(codes: DataFrame, shipped, step: int) -> DataFrame:
 
 def _mark(counted: DataFrame, reached, step: int, least: int) -> int:
     """Note the buckets whose first phrase reached the threshold in this step; how many."""
-    bucket = F.expr(f"shiftrightunsigned(key, {64 - BUCKET_BITS})")
+    bucket = F.expr(f"shiftrightunsigned(key, {64 - _bits(reached)})")
     rows = counted.where(F.col("n") >= least).select(bucket.alias("bucket"))
     rows = rows.select((F.col("bucket") / (1 << BLOCK_BITS)).cast("int").alias("block"), "bucket")
 
@@ -225,9 +229,9 @@ def _mark(counted: DataFrame, reached, step: int, least: int) -> int:
     return new
 
 
-def count_phrases(spark: SparkSession, path: str, least: int):
+def count_phrases(spark: SparkSession, path: str, least: int, bucket_bits: int = BUCKET_BITS):
     """The table of reached phrases after all scans, and the number of scans."""
-    reached = np.full(1 << BUCKET_BITS, NEVER, np.uint8)
+    reached = np.full(1 << max(bucket_bits, BLOCK_BITS), NEVER, np.uint8)
     step, last_new, before = 0, 0, None
     while step < SHARDS or step <= last_new + SHARDS:
         shipped = spark.sparkContext.broadcast(reached)
@@ -298,7 +302,7 @@ def _slice_phrases(texts: list[bytes], lang: str, reached):
     at, number = np.arange(len(word)), word
     keys = mix(codes + np.uint64(0x632BE59BD9B4E019))
     for length in range(1, LONGEST + 1):
-        kept = np.flatnonzero(reached[_bucket(keys)] != NEVER)
+        kept = np.flatnonzero(reached[_bucket(keys, reached)] != NEVER)
         at, number, keys = at[kept], number[kept], keys[kept]
         if not len(at):
             return
@@ -324,6 +328,7 @@ def collocations(
     lang: str = "lang",
     least: int = LEAST,
     top: int = TOP,
+    bucket_bits: int = BUCKET_BITS,
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the phrases of 2 to 5 words that hold together best.
 
@@ -338,14 +343,15 @@ def collocations(
 
     A null language counts as ``und``, a null text as empty. Repeated rows count each time. No
     row for an empty table or for languages without such phrases. Other columns, whatever
-    their names, are not read.
+    their names, are not read. ``bucket_bits`` sets the size of the table of reached phrases,
+    2**bucket_bits bytes: in a fuller one more phrases are counted, the rows are the same.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     path = new_path(spark, "word-codes")
     _stage_codes(rows, path)
     totals = _read_codes(spark, path).groupBy("lang").agg(F.sum("n_words").alias("n"))
-    reached, _ = count_phrases(spark, path, least)
+    reached, _ = count_phrases(spark, path, least, bucket_bits)
     counted = stage(_exact_counts(rows, reached, least), "phrases")
     return _ranked(counted, totals, top)
 
