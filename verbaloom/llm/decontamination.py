@@ -27,9 +27,10 @@ class Block:
         self.ids = [i for i, _ in items]
         hashed, ends = word_arrays.words([t.lower() for _, t in items], word_arrays.PUNCTUATION)
         self.sizes = np.diff(ends, prepend=0)
+        self.words, self.starts = hashed, ends - self.sizes
         seeds, owner, first = word_arrays.shingles(hashed, ends, width)
         long = self.sizes[owner] >= width
-        place = first - (ends - self.sizes)[owner]
+        place = first - self.starts[owner]
         order = np.argsort(seeds[long], kind="stable")
         self.seeds, self.owner, self.place = (x[long][order] for x in (seeds, owner, place))
         # A first test of one bit per hash spares most searches.
@@ -92,6 +93,14 @@ def _leaks(texts: list[str], block: Block, width: int, coverage: float) -> list[
         return found
     text, at = text_of[mine], first[mine]
     item, place = block.owner[theirs], block.place[theirs]
+    # Equal hashes of seeds are only a hint: their words must be equal.
+    there = block.starts[item] + place
+    same = np.ones(len(at), bool)
+    for i in range(width):
+        same &= hashed[at + i] == block.words[there + i]
+    text, at, item, place = (x[same] for x in (text, at, item, place))
+    if not len(at):
+        return found
     # Seeds one after another on a diagonal are one maximal match.
     order = np.lexsort((place, at - place, item, text))
     text, at, item, place = (x[order] for x in (text, at, item, place))

@@ -9,8 +9,11 @@
 3. The classes with surviving pairs form smaller components. Their texts are fetched, and
    surviving pairs are verified exactly, by counting common shingles.
 
-Cells hold a bounded number of classes. A pair never leaves its cell: cells return counts
-per class and a spanning forest of their links.
+Cells hold a bounded number of classes and bytes. A pair never leaves its cell: cells return
+counts per class and a spanning forest of their links. Pruning only has to know which classes
+hang together, so there a cell compares its first few classes with all others, and then only
+pairs that are not yet connected. Verification counts the common shingles of all pairs of a
+cell at once.
 """
 
 from __future__ import annotations
@@ -18,13 +21,13 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verbaloom.llm import word_arrays
 from verbaloom.llm.common import with_text_columns
-from verbaloom.llm.components import components
+from verbaloom.llm.components import components, forest_labels
 from verbaloom.sources.tables import stage
 
 WORDS, THRESHOLD = 5, 0.8
@@ -34,13 +37,22 @@ BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 # Values compared between two looks at the posterior, and the least posterior kept.
 STEP, TOLERANCE = 16, 1e-9
-# Classes in a block; a cell compares a block with itself or with another.
-CELL = 256
+# Classes in a block, and bytes, as far as one class has no more; a cell compares a block with
+# itself or with another.
+CELL, CELL_BYTES = 1024, 16 << 20
 # Classes of small components that share a cell.
-PACK = 128
+PACK = 256
 MISSING_KEY = -(1 << 63)
-# Shingles handled at once when a cell is verified.
-COLUMNS = 4096
+# Classes that a cell compares with all others before it looks at pairs.
+PIVOTS = 8
+# Components of at most this many classes have all their pairs compared.
+FEW = 24
+# Pairs compared at once.
+PAIRS = 1 << 18
+# A shingle of more classes of a cell than this is a column of a matrix product; the pairs of
+# classes of another are counted one by one. Columns of one product.
+DENSE, COLUMNS = 16, 2048
+SKETCH_BYTES = 2 * HASHES
 
 
 def least_matches(threshold: float, tolerance: float = TOLERANCE) -> dict[int, int]:
@@ -64,15 +76,8 @@ def _seeds():
     return word_arrays.mix(i * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def _kinds(hashed, ends):
-    """A hash of each text's words in order; the same for all texts without words."""
-    counts = np.diff(ends, prepend=0)
-    runs = word_arrays.polynomial(hashed, ends - counts, ends, 0xA24BAED4963EE407)
-    return word_arrays.mix(runs + counts.astype(np.uint64)).view(np.int64)
-
-
 def _signatures(texts: list[str]):
-    """Class hash, number of words and MinHash values of each text."""
+    """Number of words and MinHash values of each text."""
     hashed, ends = word_arrays.words(texts)
     counts = np.diff(ends, prepend=0)
     found, owner, _ = word_arrays.shingles(hashed, ends, WORDS)
@@ -82,72 +87,78 @@ def _signatures(texts: list[str]):
         # Multiply-shift by an odd number: the top bits order the shingles anew.
         least = np.minimum.reduceat((found * seed) >> np.uint64(16), starts)
         values[owner[starts], k] = (word_arrays.mix(least) & np.uint64(0xFFFF)).astype("<u2")
-    return _kinds(hashed, ends), counts, values
+    return counts, values
+
+
+def text_kind(text: Column) -> Column:
+    """128 bits that tell a text's words, in order, from those of any other text."""
+    joined = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), "[\\t-\\r ]+", " "))
+    return F.unhex(F.substring(F.sha2(joined, 256), 1, 32))
 
 
 def with_signatures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with kind (the class of texts with the same words), n_words and sketch."""
+    """``docs`` with n_words and sketch, the MinHash values."""
     fields = T.StructType(
-        [
-            T.StructField("kind", T.LongType()),
-            T.StructField("n_words", T.LongType()),
-            T.StructField("sketch", T.BinaryType()),
-        ]
+        [T.StructField("n_words", T.LongType()), T.StructField("sketch", T.BinaryType())]
     )
 
     def make(texts):
-        kinds, counts, values = _signatures(texts)
-        return [kinds.tolist(), counts.tolist(), [row.tobytes() for row in values]]
+        counts, values = _signatures(texts)
+        return [counts.tolist(), [row.tobytes() for row in values]]
 
     return with_text_columns(docs, text, fields, make)
 
 
 def _band_keys(sketches: DataFrame) -> DataFrame:
-    """band, kind: a row per band of each class."""
+    """band, node: a row per band of each class."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            kinds = batch.column(0).to_numpy()
+            nodes = batch.column(0).to_numpy()
             rows = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u8").reshape(-1, BANDS)
             salt = word_arrays.mix(np.arange(1, BANDS + 1, dtype=np.uint64))
             keys = word_arrays.mix(rows + salt).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel()), pa.array(np.repeat(kinds, BANDS))], ["band", "kind"]
+                [pa.array(keys.ravel()), pa.array(np.repeat(nodes, BANDS))], ["band", "node"]
             )
 
-    return sketches.select("kind", "sketch").mapInArrow(run, "band bigint, kind bigint")
+    return sketches.select("node", "sketch").mapInArrow(run, "band bigint, node bigint")
 
 
 def _candidate_edges(sketches: DataFrame) -> DataFrame:
     """Every class with the least class of each of its bands."""
     rows = _band_keys(sketches)
-    least = rows.groupBy("band").agg(F.min("kind").alias("u"), F.max("kind").alias("last"))
+    least = rows.groupBy("band").agg(F.min("node").alias("u"), F.max("node").alias("last"))
     shared = least.where("u <> last").select("band", "u")
-    return rows.join(shared, "band").where("kind <> u").select("u", F.col("kind").alias("v"))
+    return rows.join(shared, "band").where("node <> u").select("u", F.col("node").alias("v"))
 
 
 def _cells(members: DataFrame) -> DataFrame:
-    """``members`` (with root) with cell columns c, i, j; a row for each cell of a class.
+    """``members`` (with root and bytes) with cell columns c, i, j; a row for each cell of a class.
 
-    Components of up to CELL classes share cells, about PACK classes to each. A larger one
-    is dealt into blocks by a hash; each pair of blocks is a cell, so a class has as many
-    rows as its component has blocks.
+    Small components share cells, about PACK classes and at most CELL_BYTES on average to
+    each. A larger one is dealt into blocks by a hash, of about CELL classes and CELL_BYTES;
+    each pair of blocks is a cell, so a class has as many rows as its component has blocks.
     """
-    sizes = stage(members.groupBy("root").agg(F.count("*").alias("_n")), "component-sizes")
-    total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    packs = max(1, total // PACK)
+    sizes = members.groupBy("root").agg(F.count("*").alias("_n"), F.sum("bytes").alias("_bytes"))
+    sizes = stage(sizes, "component-sizes")
+    small = F.greatest(F.ceil(F.col("_n") / CELL), F.ceil(F.col("_bytes") / CELL_BYTES)) <= 1
+    rows, held = sizes.where(small).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.sum("_bytes"), F.lit(0))
+    ).first()
+    packs = max(1, rows // PACK, held // CELL_BYTES)
     known = members.join(sizes, "root")
-    blocks = F.ceil(F.col("_n") / CELL).cast("int")
-    small = F.array(
+    blocks = F.greatest(F.ceil(F.col("_n") / CELL), F.ceil(F.col("_bytes") / CELL_BYTES)).cast("int")
+    pack = F.array(
         F.struct(
             F.pmod(F.xxhash64("root"), F.lit(packs)).cast("bigint").alias("c"),
             F.lit(-1).alias("i"),
             F.lit(-1).alias("j"),
         )
     )
-    block = F.pmod(F.xxhash64("kind"), blocks).cast("int")
+    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
     large = F.transform(
         F.sequence(F.lit(0), F.col("_blocks") - 1),
         lambda b: F.struct(
@@ -157,75 +168,82 @@ def _cells(members: DataFrame) -> DataFrame:
         ),
     )
     known = known.withColumns({"_blocks": blocks, "_block": block})
-    cells = F.when(F.col("_n") <= CELL, small).otherwise(large)
+    cells = F.when(F.col("_blocks") <= 1, pack).otherwise(large)
     return known.withColumn("_cell", F.explode(cells)).select(
         *members.columns, "_block", "_cell.c", "_cell.i", "_cell.j"
     )
 
 
-def _cell_pairs(group, roots, blocks):
-    """Runs of row pairs of a cell to compare, as two index arrays each."""
+def _table_rows(table):
+    """Sorted by component and class."""
+    order = np.lexsort((table.column("node").to_numpy(), table.column("root").to_numpy()))
+    return table.take(order)
+
+
+def _sides(group, table):
+    """Pairs of row runs of a sorted cell whose rows are to be compared, as index arrays.
+
+    A packed cell has one pair for each component, of its rows with themselves.
+    """
     i, j = group[1].as_py(), group[2].as_py()
     if i >= 0 and i != j:
-        a, b = np.flatnonzero(blocks == i), np.flatnonzero(blocks == j)
-        yield np.repeat(a, len(b)), np.tile(b, len(a))
+        blocks = table.column("_block").to_numpy()
+        yield np.flatnonzero(blocks == i), np.flatnonzero(blocks == j)
         return
-    starts = np.flatnonzero(np.concatenate([[True], roots[1:] != roots[:-1]]))
-    ends = np.append(starts[1:], len(roots))
-    held, size = [], 0
-    for s, e in zip(starts.tolist(), ends.tolist()):
-        if e - s > 1:
-            a, b = np.triu_indices(e - s, 1)
-            held.append((a + s, b + s))
-            size += len(a)
-        if size > 1 << 18:
-            yield tuple(np.concatenate(x) for x in zip(*held))
-            held, size = [], 0
-    if held:
-        yield tuple(np.concatenate(x) for x in zip(*held))
-
-
-def _survivors(values, a, b, needed: dict[int, int]):
-    """The pairs that no look at the posterior drops."""
-    equal = np.zeros(len(a), np.int16)
-    for n in range(STEP, HASHES + 1, STEP):
-        equal += (values[a, n - STEP : n] == values[b, n - STEP : n]).sum(axis=1, dtype=np.int16)
-        stay = equal >= needed[n]
-        a, b, equal = a[stay], b[stay], equal[stay]
-    return a, b
-
-
-def _forest(n: int, pairs):
-    """The least row that each of n rows is linked with, over some links or many."""
-    label = np.arange(n)
-    if not pairs:
-        return label
-    a, b = (np.concatenate(x) for x in zip(*pairs))
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, label[a], low)
-        np.minimum.at(new, label[b], low)
-        while (new[new] != new).any():
-            new = new[new]
-        new = new[label]
-        if (new == label).all():
-            return label
-        label = new
-
+    roots = table.column("root").to_numpy()
+    cuts = np.flatnonzero(np.diff(roots)) + 1
+    for rows in np.split(np.arange(len(roots)), cuts):
+        if len(rows) > 1:
+            yield rows, rows
 
-def _table_rows(table):
-    """Sorted by component and class, each class once (a key may have several texts)."""
-    roots, kinds = table.column("root").to_numpy(), table.column("kind").to_numpy()
-    order = np.lexsort((kinds, roots))
-    once = np.ones(len(order), bool)
-    once[1:] = (np.diff(kinds[order]) != 0) | (np.diff(roots[order]) != 0)
-    return table.take(order[once])
 
+def _survivors(steps, a, b, needed: dict[int, int]):
+    """The pairs that no look at the posterior drops.
 
-def _sketches(table):
+    ``steps`` has the rows' values in runs of STEP.
+    """
+    found = []
+    for low in range(0, len(a), PAIRS):
+        x, y = a[low : low + PAIRS], b[low : low + PAIRS]
+        equal = np.zeros(len(x), np.int16)
+        for k, values in enumerate(steps):
+            equal += (values[x] == values[y]).sum(axis=1, dtype=np.int16)
+            stay = equal >= needed[(k + 1) * STEP]
+            x, y, equal = x[stay], y[stay], equal[stay]
+        found.append((x, y))
+    if not found:
+        return a, b
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _steps(table):
     raw = b"".join(table.column("sketch").to_pylist())
-    return np.frombuffer(raw, "<u2").reshape(-1, HASHES)
+    values = np.frombuffer(raw, "<u2").reshape(-1, HASHES)
+    return [np.ascontiguousarray(values[:, n : n + STEP]) for n in range(0, HASHES, STEP)]
+
+
+def _connected(steps, label, a, b, needed) -> None:
+    """Join in ``label`` the rows a and b that surviving pairs connect.
+
+    Every pair of a row of a and one of b is compared, or is connected already.
+    """
+    rows = np.union1d(a, b)
+
+    def join(x, y):
+        # Labels are rows, so the forest is over all rows of the cell.
+        found = forest_labels(len(label), label[x], label[y])
+        label[:] = found[label]
+
+    for pivot in rows[:PIVOTS].tolist():
+        others = rows[label[rows] != label[pivot]]
+        join(*_survivors(steps, np.full(len(others), pivot), others, needed))
+    for low in range(0, len(a), CELL):
+        part = a[low : low + CELL]
+        x, y = np.nonzero(label[part][:, None] != label[b][None, :])
+        x, y = part[x], b[y]
+        if len(a) == len(b) and a[0] == b[0]:
+            x, y = x[x < y], y[x < y]
+        join(*_survivors(steps, x, y, needed))
 
 
 def _prune(members: DataFrame, threshold: float) -> DataFrame:
@@ -236,82 +254,102 @@ def _prune(members: DataFrame, threshold: float) -> DataFrame:
         import pyarrow as pa
 
         table = _table_rows(table)
-        kinds, values = table.column("kind").to_numpy(), _sketches(table)
-        runs = _cell_pairs(
-            group, table.column("root").to_numpy(), table.column("_block").to_numpy()
-        )
-        label = _forest(len(kinds), [_survivors(values, a, b, needed) for a, b in runs])
-        linked = np.flatnonzero(label != np.arange(len(kinds)))
-        return pa.table({"u": kinds[label[linked]], "v": kinds[linked]})
+        nodes, steps = table.column("node").to_numpy(), _steps(table)
+        label, held = np.arange(len(nodes)), []
+        for a, b in _sides(group, table):
+            if 0 < len(a) <= FEW and len(b) and a[0] == b[0]:
+                x, y = np.triu_indices(len(a), 1)
+                held.append((a[x], a[y]))
+            elif len(a) and len(b):
+                _connected(steps, label, a, b, needed)
+        if held:
+            x, y = _survivors(steps, *(np.concatenate(z) for z in zip(*held)), needed)
+            label = forest_labels(len(label), label[x], label[y])[label]
+        linked = np.flatnonzero(label != np.arange(len(nodes)))
+        return pa.table({"u": nodes[label[linked]], "v": nodes[linked]})
 
     return _cells(members).groupBy("c", "i", "j").applyInArrow(compare, "u bigint, v bigint")
 
 
-def _common(sets: list, rows_a, rows_b):
-    """Sizes of the intersections of each set of rows_a with each of rows_b."""
-    rows = np.union1d(rows_a, rows_b)
-    place = {r: k for k, r in enumerate(rows.tolist())}
-    lengths = np.array([len(sets[r]) for r in rows])
-    flat = np.concatenate([sets[r] for r in rows])
-    owner = np.repeat(np.arange(len(rows)), lengths)
-    _, column, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    shared = counts[column] > 1
-    dense = np.cumsum(counts > 1) - 1
-    owner, column = owner[shared], dense[column[shared]]
-    at_a = np.array([place[r] for r in rows_a.tolist()])
-    at_b = np.array([place[r] for r in rows_b.tolist()])
-    found = np.zeros((len(at_a), len(at_b)), np.float64)
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
-        s, e = np.searchsorted(column, [low, low + COLUMNS])
+def _common(sets: list, a, b):
+    """Sizes of the intersections of each set of rows a with each of rows b."""
+    same = a is b or (len(a) == len(b) and a[0] == b[0])
+    rows = a if same else np.concatenate([a, b])
+    n, width = len(a), len(b)
+    flat = np.concatenate([sets[r] for r in rows.tolist()])
+    owner = np.repeat(np.arange(len(rows)), [len(sets[r]) for r in rows.tolist()])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else np.zeros(0, int)
+    counts = np.diff(np.append(first, len(flat)))
+    column = np.repeat(np.arange(len(first)), counts)
+    found = np.zeros((n, width))
+    rare = np.repeat((counts > 1) & (counts <= DENSE), counts)
+    some, some_columns, codes = owner[rare], column[rare], []
+    for step in range(1, min(DENSE, int(counts.max()) if len(counts) else 0)):
+        near = some_columns[step:] == some_columns[:-step]
+        x, y = some[:-step][near], some[step:][near]
+        if same:
+            codes += [x * width + y, y * width + x]
+        else:
+            # Owners are in order, so a row of b is never before one of a.
+            both = (x < n) & (y >= n)
+            codes.append(x[both] * width + y[both] - n)
+    if codes:
+        np.add.at(found.ravel(), np.concatenate(codes), 1)
+    many = np.repeat(counts > DENSE, counts)
+    number = np.cumsum(counts > DENSE) - 1
+    own, place = owner[many], number[column[many]]
+    for low in range(0, int(place[-1]) + 1 if len(place) else 0, COLUMNS):
+        s, e = np.searchsorted(place, [low, low + COLUMNS])
         held = np.zeros((len(rows), COLUMNS), np.float32)
-        held[owner[s:e], column[s:e] - low] = 1
-        found += held[at_a] @ held[at_b].T
-    return found, lengths[at_a], lengths[at_b]
+        held[own[s:e], place[s:e] - low] = 1
+        left, right = (held, held) if same else (held[:n], held[n:])
+        found += left @ right.T
+    return found
+
+
+def _linked(sets: list, a, b, threshold: float):
+    """Whether each row of a and each of b are links, exactly."""
+    common = _common(sets, a, b)
+    size_a = np.array([len(sets[r]) for r in a.tolist()])[:, None]
+    size_b = np.array([len(sets[r]) for r in b.tolist()])[None, :]
+    links = common >= threshold * (size_a + size_b - common) - 1e-9
+    if a[0] == b[0]:
+        np.fill_diagonal(links, False)
+    return links
 
 
 def _verify(members: DataFrame, threshold: float) -> DataFrame:
-    """kind, u, n_texts, n_docs per class and cell: its exact links there, in classes and in
+    """node, u, n_texts, n_docs per class and cell: its exact links there, in classes and in
     documents, and the least class it is linked with."""
-    needed = least_matches(threshold)
-    shape = "kind bigint, u bigint, n_texts bigint, n_docs bigint"
+    shape = "node bigint, u bigint, n_texts bigint, n_docs bigint"
 
     def check(group, table):
         import pyarrow as pa
 
         table = _table_rows(table)
-        kinds, values = table.column("kind").to_numpy(), _sketches(table)
-        roots, copies = table.column("root").to_numpy(), table.column("copies").to_numpy()
+        nodes, copies = table.column("node").to_numpy(), table.column("copies").to_numpy()
         sets = [np.frombuffer(x, "<u8") for x in table.column("shingles").to_pylist()]
-        n_texts, n_docs = np.zeros(len(kinds), np.int64), np.zeros(len(kinds), np.int64)
-        links = []
-        for a, b in _cell_pairs(group, roots, table.column("_block").to_numpy()):
-            a, b = _survivors(values, a, b, needed)
-            # Pairs of one component together: its sets are laid out once.
-            order = np.argsort(roots[a], kind="stable")
-            a, b = a[order], b[order]
-            cuts = np.flatnonzero(np.diff(roots[a])) + 1
-            for one_a, one_b in zip(np.split(a, cuts), np.split(b, cuts)):
-                if not len(one_a):
-                    continue
-                rows_a, x = np.unique(one_a, return_inverse=True)
-                rows_b, y = np.unique(one_b, return_inverse=True)
-                common, size_a, size_b = _common(sets, rows_a, rows_b)
-                both = common[x, y]
-                enough = both >= threshold * (size_a[x] + size_b[y] - both) - 1e-9
-                links.append((one_a[enough], one_b[enough]))
-        for a, b in links:
-            np.add.at(n_texts, a, 1)
-            np.add.at(n_texts, b, 1)
-            np.add.at(n_docs, a, copies[b])
-            np.add.at(n_docs, b, copies[a])
-        label = _forest(len(kinds), links)
+        n_texts, n_docs = np.zeros(len(nodes), np.int64), np.zeros(len(nodes), np.int64)
+        label = np.arange(len(nodes))
+        for a, b in _sides(group, table):
+            if not len(a) or not len(b):
+                continue
+            links = _linked(sets, a, b, threshold)
+            n_texts[a] += links.sum(axis=1)
+            n_docs[a] += links @ copies[b]
+            if a[0] != b[0]:
+                n_texts[b] += links.sum(axis=0)
+                n_docs[b] += links.T @ copies[a]
+            x, y = np.nonzero(links)
+            found = forest_labels(len(label), label[a[x]], label[b[y]])
+            label = found[label]
         some = np.flatnonzero(n_texts)
         return pa.table(
             {
-                "kind": kinds[some],
-                "u": kinds[label[some]],
+                "node": nodes[some],
+                "u": nodes[label[some]],
                 "n_texts": n_texts[some],
                 "n_docs": n_docs[some],
             }
@@ -320,13 +358,6 @@ def _verify(members: DataFrame, threshold: float) -> DataFrame:
     return _cells(members).groupBy("c", "i", "j").applyInArrow(check, shape)
 
 
-def _with_kind(docs: DataFrame, text: str = "text", name: str = "kind") -> DataFrame:
-    def make(texts):
-        return [_kinds(*word_arrays.words(texts)).tolist()]
-
-    return with_text_columns(docs, text, T.StructType([T.StructField(name, T.LongType())]), make)
-
-
 def _shingle_sets(docs: DataFrame) -> DataFrame:
     """``docs`` with shingles: sorted distinct hashes of their texts', 8 bytes each."""
 
@@ -357,11 +388,12 @@ def similar_documents(
     Copies are one class from the start, whose size is aggregated before any shuffle. Pairs
     of different texts are compared in cells of bounded size and are never rows; no pair
     is left out but by the posterior's tolerance and by chance of the bands (see BANDS).
-    Words and shingles are compared by 64-bit hashes.
+    Texts are told apart by 128 bits of a cryptographic hash, their words and shingles by 64.
     """
-    rows = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
-    signed = with_signatures(rows, "text").drop("text")
-    signed = stage(signed, "signatures")
+    rows = docs.select(
+        F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"), text_kind(F.col(text)).alias("kind")
+    )
+    signed = stage(with_signatures(rows, "text").drop("text"), "signatures")
     found = stage(classes(signed, rows, threshold), "classes")
     joined = signed.select("key", "kind").join(found, "kind")
     return joined.select(
@@ -374,37 +406,53 @@ def similar_documents(
 
 def classes(signed: DataFrame, rows: DataFrame, threshold: float) -> DataFrame:
     """kind, root, class_id, copies, n_texts, n_docs of every class of texts with the same words."""
-    kinds = stage(
-        signed.groupBy("kind").agg(
-            F.min("key").alias("key"),
-            F.count("*").alias("copies"),
-            F.max("n_words").alias("n_words"),
-            F.first("sketch").alias("sketch"),
-        ),
-        "text-classes",
+    kinds = signed.groupBy("kind").agg(
+        F.min("key").alias("key"),
+        F.count("*").alias("copies"),
+        F.max("n_words").alias("n_words"),
+        F.first("sketch").alias("sketch"),
+    )
+    # A number for each class, which is fixed as it is written.
+    kinds = stage(kinds.withColumn("node", F.monotonically_increasing_id()), "text-classes")
+    zero = F.lit(0).cast("bigint")
+    alone = kinds.select(
+        "kind",
+        F.col("node").alias("root"),
+        F.col("key").alias("class_id"),
+        "copies",
+        zero.alias("n_texts"),
+        zero.alias("n_docs"),
     )
     worded = kinds.where("n_words > 0")
     found = components(_candidate_edges(worded))
-    members = worded.join(found, worded["kind"] == found["node"]).select("root", "kind", "sketch")
-    found = stage(components(_prune(members, threshold)), "survivors")
-    wanted = kinds.join(found, kinds["kind"] == found["node"]).select(
-        "root", "kind", "sketch", "copies", F.coalesce("key", F.lit(MISSING_KEY)).alias("at")
+    if found.isEmpty():
+        return alone
+    members = worded.join(found, "node").select(
+        "root", "node", "sketch", F.lit(SKETCH_BYTES).alias("bytes")
+    )
+    found = components(_prune(members, threshold))
+    if found.isEmpty():
+        return alone
+    found = stage(found, "survivors")
+    at = F.coalesce("key", F.lit(MISSING_KEY)).alias("at")
+    wanted = kinds.join(found, "node").select("root", "node", "kind", "copies", "n_words", at)
+    # A key may have several texts, and a text several rows of one key: one is taken by its hash.
+    texts = rows.select(F.coalesce("key", F.lit(MISSING_KEY)).alias("at"), "kind", "text")
+    texts = texts.join(wanted, ["at", "kind"]).dropDuplicates(["node"])
+    fetched = _shingle_sets(texts).select(
+        "root", "node", "copies", "shingles", (F.col("n_words") * 8).alias("bytes")
     )
-    # A key may have several texts: the one of the class is told by its hash.
-    texts = _with_kind(rows.select(F.coalesce("key", F.lit(MISSING_KEY)).alias("at"), "text"))
-    fetched = _shingle_sets(texts.join(wanted, ["at", "kind"])).select("root", "kind", "sketch", "copies", "shingles")
     verified = stage(_verify(fetched, threshold), "verified")
-    linked = components(verified.select("u", F.col("kind").alias("v")))
-    sums = verified.groupBy("kind").agg(F.sum("n_texts").alias("n_texts"), F.sum("n_docs").alias("n_docs"))
-    rooted = kinds.join(linked, kinds["kind"] == linked["node"], "left").select(
-        "kind", "key", "copies", F.coalesce("root", "kind").alias("root")
+    linked = components(verified.select("u", F.col("node").alias("v")))
+    sums = verified.groupBy("node").agg(F.sum("n_texts").alias("n_texts"), F.sum("n_docs").alias("n_docs"))
+    rooted = kinds.join(linked, "node", "left").select(
+        "node", "kind", "key", "copies", F.coalesce("root", "node").alias("root")
     )
     # Written, so that a join with a large component's classes can be split.
     least = stage(rooted.groupBy("root").agg(F.min("key").alias("class_id")), "least-keys")
-    zero = F.lit(0).cast("bigint")
     return (
         rooted.join(least, "root")
-        .join(sums, "kind", "left")
+        .join(sums, "node", "left")
         .select(
             "kind",
             "root",
@@ -422,20 +470,32 @@ def one_of_each(
     """The documents, with their own columns, that have the least key of their class.
 
     Rows without a key stay only if their class has no other. Of repeated rows of the
-    chosen key and words one stays. See ``similar_documents`` for what a class is.
+    chosen key and words one stays: the one with the least hash of its columns, as far as
+    they can be hashed. Columns may have any names and types. See ``similar_documents`` for
+    what a class is.
     """
-    rows = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
+    held = docs.select(
+        F.col(key).cast("bigint").alias("key"),
+        F.col(text).alias("text"),
+        text_kind(F.col(text)).alias("kind"),
+        F.struct("*").alias("row"),
+    )
+    rows = held.select("key", "text", "kind")
     signed = stage(with_signatures(rows, "text").drop("text"), "signatures")
     found = stage(classes(signed, rows, threshold), "classes")
     least = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "kind"))
     keys = signed.select("key", "kind").join(found.select("kind", "root"), "kind")
     chosen = keys.groupBy("root").agg(least.alias("x")).select(
-        F.col("x.key").alias("_key"), F.col("x.kind").alias("_kind")
+        F.col("x.key").alias("own_key"), F.col("x.kind").alias("own_kind")
     )
-    own = _with_kind(docs, text, "_own_kind")
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_own_kind") == F.col("_kind"))
+    own = held.select("key", "kind", "row")
+    same = F.col("key").eqNullSafe(F.col("own_key")) & (F.col("kind") == F.col("own_kind"))
     kept = own.join(chosen, same, "left_semi")
-    sortable = [c for c, kind in docs.dtypes if "map<" not in kind]
-    first = Window.partitionBy(key, "_own_kind").orderBy(*sortable)
-    kept = kept.withColumn("_own_row", F.row_number().over(first)).where("_own_row = 1")
-    return kept.select(*docs.columns)
+    hashed = [
+        F.col("row").getField(f.name)
+        for f in docs.schema.fields
+        if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))
+    ]
+    first = Window.partitionBy("key", "kind").orderBy(F.xxhash64(*hashed))
+    kept = kept.withColumn("place", F.row_number().over(first)).where("place = 1")
+    return kept.select("row.*")

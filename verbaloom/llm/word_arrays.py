@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
+# Words of more bytes are hashed one by one.
+_LONG = 256
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers: dict = {}
 
@@ -43,6 +47,32 @@ SEPARATORS[[32, 9, 10, 11, 12, 13]] = True
 PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
+def hash_ranges(flat, starts, ends):
+    """A 64-bit hash of each range of an array of bytes, eight bytes after eight.
+
+    Each step mixes what was read so far with the next bytes; sums of powers, which are equal
+    for words of a certain form whatever the base, play no part.
+    """
+    sizes = ends - starts
+    hashed = mix(sizes.astype(np.uint64) + np.uint64(_BASE))
+    padded = np.concatenate([flat, np.zeros(8, np.uint8)])
+    long = sizes > _LONG
+    for i in np.flatnonzero(long).tolist():
+        digest = hashlib.blake2b(flat[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        hashed[i] = int.from_bytes(digest, "little")
+    rows = np.flatnonzero(~long)
+    at, left = starts[rows], sizes[rows]
+    while len(rows):
+        part = padded[at[:, None] + np.arange(8)].view("<u8").ravel()
+        spare = np.uint64(8) * (8 - np.minimum(left, 8)).astype(np.uint64)
+        # Shifting by a whole 64 bits is not defined, but no range here is empty.
+        part = part << spare
+        hashed[rows] = mix((hashed[rows] ^ part) * np.uint64(_BASE) + np.uint64(1))
+        more = left > 8
+        rows, at, left = rows[more], at[more] + 8, left[more] - 8
+    return hashed
+
+
 def words(texts: list[str], separators=SEPARATORS):
     """Hashes of all words of the texts, and where each text's words end.
 
@@ -54,10 +84,8 @@ def words(texts: list[str], separators=SEPARATORS):
     inside = ~apart
     starts = np.flatnonzero(inside & np.concatenate([[True], apart[:-1]]))
     ends = np.flatnonzero(apart & np.concatenate([[False], inside[:-1]]))
-    sizes = (ends - starts).astype(np.uint64)
-    hashed = mix(polynomial(flat.astype(np.uint16) + np.uint16(1), starts, ends) + sizes)
     limits = np.cumsum([len(r) + 1 for r in raw])
-    return hashed, np.searchsorted(starts, limits)
+    return hash_ranges(flat, starts, ends), np.searchsorted(starts, limits)
 
 
 def shingles(hashed, ends, width: int):
