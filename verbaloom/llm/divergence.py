@@ -32,7 +32,7 @@ TERM_RANKS = 50
 # Terms and groups of a block (on average: both are dealt by a hash).
 TERMS, GROUPS = 256, 32
 # Distinct terms that a task counts before it passes them on.
-HELD = 400_000
+HELD = 250_000
 # Everything but letters of ASCII and bytes of other characters separates terms; A-Z are
 # lower-cased.
 _SEPARATE = bytes(
@@ -232,7 +232,9 @@ def level_products(groups: DataFrame, kept: DataFrame, used: DataFrame) -> DataF
     cells = facts.unionByName(levels).withColumn("cell", F.explode(pairs))
     cells = cells.select("*", "cell.i", "cell.j").drop("cell", "parts")
     made = "lang string, source string, item string, value bigint"
-    return cells.groupBy("lang", "size", "block", "i", "j").applyInArrow(_priced_cell, made)
+    # Dealt by all of a cell's keys: a join above may have left the rows dealt by some of them.
+    keys = ["lang", "size", "block", "i", "j"]
+    return cells.repartition(*keys).groupBy(*keys).applyInArrow(_priced_cell, made)
 
 
 def one_hot(levels):
