@@ -3,7 +3,7 @@ plans: byte-pair merges are a recursive query, windows are laid out one by one."
 
 from __future__ import annotations
 
-from spark_queries import LINES_PER_SHARD, RANK_FILE, RECORDS_PER_SHARD, SETTINGS
+from spark_queries import LEARNED, LINES_PER_SHARD, RANK_FILE, RECORDS_PER_SHARD, SETTINGS
 
 W, STRIDE, DIM = SETTINGS.window_size, SETTINGS.stride, SETTINGS.dimensions
 SHARD, TOP = SETTINGS.tokens_per_shard, SETTINGS.top_n
@@ -167,6 +167,55 @@ sums AS (
     UNION ALL SELECT shard_id, token_id, d AS dim, 0.0 AS x FROM vocab, range(0, {DIM}) AS r(d))
   GROUP BY ALL)"""
 
+
+
+def _learned(steps=2):
+    """Block power iteration over the pair information, with a Cholesky factor written out."""
+    n = range(LEARNED)
+    start = ", ".join(f"h{c} / 2147483647::DOUBLE - 0.5 AS v{c}" for c in n)
+    mixed = ", ".join(
+        f"(token_id::BIGINT * 7919 + {c} * 104729 + 12345) % 2147483647 AS f{c}, "
+        f"(f{c} * f{c} + 1103515245) % 2147483647 AS e{c}, "
+        f"(e{c} * e{c} + 1103515245) % 2147483647 AS h{c}"
+        for c in n
+    )
+    sums = ", ".join(f"sum(w * v{c}) AS v{c}" for c in n)
+    products = ", ".join(f"sum(v{i} * v{j}) AS g{i}{j}" for i in n for j in n if i <= j)
+    factor, solved = [], []
+    for i in n:
+        for j in n[i:]:
+            rest = f"g{i}{j}" + "".join(f" - r{k}{i} * r{k}{j}" for k in n[:i])
+            factor.append(f"sqrt({rest}) AS r{i}{i}" if i == j else f"({rest}) / r{i}{i} AS r{i}{j}")
+        solved.append(f"(v{i}" + "".join(f" - r{k}{i} * u{k}" for k in n[:i]) + f") / r{i}{i} AS u{i}")
+    parts = [
+        f"""{PAIRS},
+vocabulary AS MATERIALIZED (
+  SELECT DISTINCT token_id FROM shards JOIN sizes USING (shard_id) WHERE n > {W}),
+info AS MATERIALIZED (
+  SELECT token_id, next_id, w FROM (
+    SELECT *, ln(n * sum(n) OVER () / (sum(n) OVER (PARTITION BY token_id)
+      * sum(n) OVER (PARTITION BY next_id))) AS w
+    FROM (SELECT token_id, next_id, sum(n)::DOUBLE AS n FROM pairs GROUP BY ALL)) WHERE w > 0),
+x0 AS (SELECT token_id, {start} FROM (SELECT token_id, {mixed} FROM vocabulary))"""
+    ]
+    for s in range(1, steps + 1):
+        parts.append(f"""z{s} AS MATERIALIZED (
+  SELECT next_id AS token_id, {sums} FROM info JOIN x{s - 1} USING (token_id) GROUP BY next_id),
+y{s} AS MATERIALIZED (
+  SELECT info.token_id, {sums} FROM info JOIN z{s} z ON z.token_id = info.next_id
+  GROUP BY info.token_id),
+f{s} AS (SELECT {", ".join(factor)} FROM (SELECT {products} FROM y{s})),
+x{s} AS MATERIALIZED (
+  SELECT token_id, {", ".join(f"u{c} AS v{c}" for c in n)}
+  FROM (SELECT token_id, {", ".join(solved)} FROM y{s}, f{s}))""")
+    parts.append(f"learned AS (SELECT * FROM vocabulary LEFT JOIN x{steps} USING (token_id))")
+    return ",\n".join(parts)
+
+
+LEARNED_ROWS = "SELECT token_id, concat_ws(',', {}) AS embedding FROM learned".format(
+    ", ".join(f"CAST(round(coalesce(v{c}, 0) * 1e6) AS BIGINT)" for c in range(LEARNED))
+)
+
 DECODED = """
 raw_words AS (
   SELECT rank AS token_id, tok, TRY(decode(unhex(tok))) AS valid FROM ranks),
@@ -356,6 +405,7 @@ FROM named n LEFT JOIN ranked r ON r.id = n.id GROUP BY ALL""",
             f"SELECT label, vec_id, {_millionths('v')} AS embedding "
             "FROM last JOIN vecs USING (label, vec_id)",
         ),
+        "learned_vectors": (_learned(), LEARNED_ROWS),
         "word2vec_vectors": (
             _shards(),
             "SELECT DISTINCT token_id, 16 AS length, true AS is_finite "

@@ -9,7 +9,16 @@ from pyspark.sql import functions as F
 
 from verbaloom.functions import text as tx
 from verbaloom.functions import vectors as vx
-from verbaloom.operators import embeddings, encoding, ordinals, shards, similarity, words
+from verbaloom.operators import (
+    approximate,
+    embeddings,
+    encoding,
+    learned,
+    ordinals,
+    shards,
+    similarity,
+    words,
+)
 from verbaloom.operators.encoding import Vocabulary
 from verbaloom.plans import chains
 from verbaloom.sources import text_files
@@ -30,6 +39,7 @@ DOC = ["doc_id"]
 RECORDS_PER_SHARD = 1000
 LINES_PER_SHARD = 1000
 SETTINGS = chains.Settings()
+LEARNED = 4
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -252,9 +262,15 @@ def q_token_embeddings(spark, sf):
     return found.select("token_id", "word", millionths("embedding").alias("embedding"))
 
 
+def q_learned_vectors(spark, sf):
+    """Vectors of four elements after two steps of the power iteration."""
+    found = learned.learned_vectors(token_shards(spark, sf), dimensions=LEARNED)
+    return found.select("token_id", millionths("embedding").alias("embedding"))
+
+
 def q_word2vec_vectors(spark, sf):
-    """Every token of a trainable shard has a vector of the asked length, all finite."""
-    found = embeddings.word2vec_vectors(token_shards(spark, sf), dimensions=16)
+    """Every token of a trainable shard has a learned vector of the asked length, all finite."""
+    found = learned.learned_vectors(token_shards(spark, sf), dimensions=16)
     finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return found.select("token_id", F.size("embedding").alias("length"), finite.alias("is_finite"))
 
@@ -296,6 +312,13 @@ def q_cosine_topn(spark, sf):
     return top.select("vec_id", "rank", "neighbour_id", six("similarity").alias("similarity"))
 
 
+def q_approximate_topn(spark, sf):
+    """Nearly the rows of ``cosine_topn``, which is exact: see its recall in the tests."""
+    found = vectors(spark, sf).withColumn("word", F.col("vec_id").cast("string"))
+    top = approximate.approximate_neighbours(found, "vec_id", "word", SETTINGS.top_n)
+    return top.select("vec_id", "rank", "neighbour_id", six("similarity").alias("similarity"))
+
+
 def q_neighbours(spark, sf):
     """Neighbour lists over words that many vectors share: the labels."""
     found = vectors(spark, sf).withColumn("word", F.col("label").cast("string"))

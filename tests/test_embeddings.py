@@ -2,11 +2,12 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from verbaloom.functions import vectors as vx
-from verbaloom.operators import embeddings
+from verbaloom.operators import embeddings, learned
 
 
 @pytest.fixture(scope="module")
@@ -78,7 +79,7 @@ def test_bad_vectors_are_errors(spark):
         embeddings.mean_embeddings(parsed, ["key"]).collect()
     rows = [("a", [1.0]), ("a", [1.0, 2.0])]
     uneven = spark.createDataFrame(rows, "key string, embedding array<double>")
-    with pytest.raises(Exception, match="unequal length"):
+    with pytest.raises(Exception, match="Dimensions mismatch"):
         embeddings.mean_embeddings(uneven, ["key"]).collect()
 
 
@@ -90,14 +91,56 @@ def test_one_vector_per_token(spark):
     assert {len(r.embedding) for r in found} == {50}
 
 
-def test_word2vec(shards):
-    _, df = shards
-    found = embeddings.word2vec_vectors(df, dimensions=6, partitions=1).collect()
-    usable = {t for n, tokens in shards[0] if len(tokens) > 8 for t in tokens}
-    assert {r.token_id for r in found} == usable
-    assert {len(r.embedding) for r in found} == {6}
-    again = embeddings.word2vec_vectors(df.where("shard_id > 99"), dimensions=6)
-    assert again.collect() == []
+def information_matrix(rows, window=8, stride=2):
+    """The pair information over all trainable shards, and their tokens."""
+    n, tokens = Counter(), set()
+    for _, found in rows:
+        for s in range(0, len(found) - window, stride):
+            n.update(zip(found[s : s + window], found[s + 1 : s + window + 1]))
+        if len(found) > window:
+            tokens |= set(found)
+    place = {t: i for i, t in enumerate(sorted(tokens))}
+    table = np.zeros((len(place), len(place)))
+    for (a, b), k in n.items():
+        table[place[a], place[b]] = k
+    of_token, of_next = table.sum(axis=1, keepdims=True), table.sum(axis=0, keepdims=True)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        more = np.log(table * table.sum() / (of_token * of_next))
+    return sorted(tokens), np.where(table > 0, np.maximum(more, 0), 0)
+
+
+def test_learned_vectors_span_the_leading_space(shards):
+    rows, df = shards
+    tokens, table = information_matrix(rows)
+    found = {r.token_id: r.embedding for r in learned.learned_vectors(df, dimensions=3, steps=40).collect()}
+    assert sorted(found) == tokens
+    basis = np.array([found[t] for t in tokens])
+    assert np.allclose(basis.T @ basis, np.eye(3), atol=1e-9)
+    # What the basis keeps of the table is nearly what the leading singular vectors keep.
+    values = np.linalg.svd(table, compute_uv=False)
+    assert ((basis.T @ table) ** 2).sum() >= 0.999 * (values[:3] ** 2).sum()
+
+
+def test_learned_vectors_beyond_the_rank_and_of_nothing(shards):
+    rows, df = shards
+    tokens, table = information_matrix(rows)
+    rank = np.linalg.matrix_rank(table)
+    found = np.array([r.embedding for r in learned.learned_vectors(df, dimensions=16).collect()])
+    assert found.shape == (len(tokens), 16) and np.isfinite(found).all()
+    lengths = (found**2).sum(axis=0)
+    assert np.allclose(lengths[:rank], 1) and not lengths[rank:].any()
+    assert learned.learned_vectors(df.where("shard_id > 99"), dimensions=6).collect() == []
+    with pytest.raises(ValueError, match="positive"):
+        learned.learned_vectors(df, dimensions=0)
+
+
+def test_vectors_are_summed_whole_before_the_shuffle(spark):
+    rows = [(k, [float(i), float(k), -1.0]) for k in range(5) for i in range(100)] + [(1, None), (2, [])]
+    df = spark.createDataFrame(rows, "k int, embedding array<double>").repartition(4)
+    mean = embeddings.mean_embeddings(df, ["k"])
+    plan = mean._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert {r.k: r.embedding for r in mean.collect()} == {k: pytest.approx([49.5, k, -1.0]) for k in range(5)}
 
 
 def test_dense(spark):

@@ -9,6 +9,8 @@ import oracle_queries
 import spark_queries
 
 SF = "/root/testdata/sf0.001"
+# Its rows are nearly those of an exact query; tests/test_approximate.py measures how nearly.
+WITHOUT_SQL = {"approximate_topn"}
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +21,7 @@ def connection():
     return found
 
 
-@pytest.mark.parametrize("name", sorted(spark_queries.queries()))
+@pytest.mark.parametrize("name", sorted(oracle_queries.oracle_sql()))
 def test_query_equals_its_sql(spark, connection, name):
     line = check.compare(spark, connection, name, SF)
     assert line.startswith("ok"), line
@@ -27,7 +29,7 @@ def test_query_equals_its_sql(spark, connection, name):
 
 def test_every_oracle_has_a_query():
     assert set(driver.oracle_sql()) <= set(driver.queries())
-    assert set(oracle_queries.oracle_sql()) == set(spark_queries.queries())
+    assert set(oracle_queries.oracle_sql()) == set(spark_queries.queries()) - WITHOUT_SQL
 
 
 def test_entry(spark):

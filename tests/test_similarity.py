@@ -1,11 +1,12 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from verbaloom.functions import vectors as vx
-from verbaloom.operators import similarity
+from verbaloom.operators import regions, similarity
 
 SCHEMA = "id long, word string, embedding array<double>"
 
@@ -139,3 +140,67 @@ def test_small_slices_give_the_same_neighbours(spark, monkeypatch):
     want = sorted(r[:5] for r in similarity.top_neighbours(df, "id", "word").collect())
     monkeypatch.setattr(similarity, "SLICE_BYTES", 1)
     assert sorted(r[:5] for r in similarity.top_neighbours(df, "id", "word").collect()) == want
+
+
+def clustered(n, clusters, dimensions, spread, seed=5):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(clusters, dimensions))
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    rows = centres[rng.integers(clusters, size=n)] + rng.normal(size=(n, dimensions)) * spread
+    return [(i, f"w{i % 400}", row.tolist()) for i, row in enumerate(rows)]
+
+
+def matrix_top(rows, top_n):
+    vectors = np.array([v for _, _, v in rows])
+    length = np.linalg.norm(vectors, axis=1)
+    units = vectors / np.where(length > 0, length, 1)[:, None]
+    words = np.array([w for _, w, _ in rows])
+    ids = np.array([i for i, _, _ in rows])
+    found = {}
+    for at, (i, word, _) in enumerate(rows):
+        rank = np.round(units @ units[at], 10)
+        order = np.lexsort((ids, words, -rank))
+        found[i] = [(int(ids[j]), str(words[j])) for j in order if words[j] != word][:top_n]
+    return found
+
+
+def test_clusters_visit_few_cells_and_a_hot_region_is_split(spark):
+    rows = clustered(3000, 24, 16, 0.02)
+    # A third of all rows are copies of one vector; some have no direction.
+    rows += [(5000 + i, f"c{i}", rows[0][2]) for i in range(1500)]
+    rows += [(9000, "zero", [0.0] * 16), (9001, "far", [-x for x in rows[1][2]])]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    units = similarity.staged_units(df, "id", "word", "embedding")
+    layout = regions.lay_out(units, 30, 100)
+    assert layout.counts.max() >= 15
+    near = similarity._neighbours_of(layout.own_cells(), layout.n_own_cells(), units, 5)
+    asking = layout.asking(similarity._last_of(near, 5))
+    blocks = int(layout.counts.sum())
+    visited = layout.n_own_cells() + asking.n_cells()
+    assert visited < blocks * (blocks + 1) // 2 / 2
+    largest = asking.cells().groupBy("cell").count().agg(F.max("count")).first()[0]
+    assert largest < 2 * 100 * 1.5
+    assert neighbours(df, 5, block_rows=100) == matrix_top(rows, 5)
+
+
+def test_no_bound_loses_a_neighbour():
+    """Every region with a row that is as similar as asked is asked."""
+    rng = np.random.default_rng(9)
+    units = rng.normal(size=(400, 6))
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    pivots = regions.farthest_first(units[:60], 12)
+    products = units @ pivots.T
+    region = products.argmax(axis=1)
+    angle = np.arccos(np.clip(products.max(axis=1), -1, 1))
+    radius = np.array([angle[region == r].max(initial=0) for r in range(len(pivots))])
+    for least in (0.99, 0.9, 0.5, -2.0):
+        asked = regions.asked_regions(units, region, np.full(400, least), pivots, radius)
+        wanted = units @ units.T >= least
+        for x in range(400):
+            for r in set(region[wanted[x]].tolist()) - {region[x]}:
+                assert asked[x, r]
+
+
+def test_farthest_first_takes_no_copy():
+    rows = np.array([[1.0, 0], [1, 0], [0, 1], [-1, 0], [0, 1]])
+    assert regions.farthest_first(rows, 10).tolist() == [[1, 0], [-1, 0], [0, 1]]

@@ -1,15 +1,15 @@
-"""Token vectors: per shard, averaged over shards, or learned with Word2Vec."""
+"""Token vectors: per shard, averaged over shards, and their words."""
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Word2Vec
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from verbaloom.functions import vectors as vx
-from verbaloom.operators.encoding import MAX_VOCABULARY, Vocabulary
-from verbaloom.operators.shards import STRIDE, WINDOW_SIZE, pair_weights, trainable_shards
-from verbaloom.operators.words import numbered
+from verbaloom.operators.encoding import Vocabulary
+from verbaloom.operators.shards import STRIDE, WINDOW_SIZE, pair_weights
 
 # Fixed value: the default vector length.
 DIMENSIONS = 100
@@ -102,21 +102,19 @@ def mean_embeddings(
     """keys, embedding: elementwise mean of all vectors of a key.
 
     No rows in, no rows out. Vectors of unequal length under one key, and null elements,
-    are errors; a null vector counts as one without elements.
+    are errors; a null vector counts as one without elements, which adds nothing.
     """
-    elements = numbered(df, keys, F.col(embedding), "dim", "x")
-    means = elements.groupBy(*keys, "dim").agg(
-        F.avg(F.col("x").cast("double")).alias("x"),
-        F.count("*").alias("n"),
-        F.count("x").alias("known"),
-    )
-    grouped = means.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("dim", "x"))).alias("entries"),
-        ((F.min("n") == F.max("n")) & (F.sum("n") == F.sum("known"))).alias("even"),
-    )
+    vector = F.col(embedding).cast("array<double>")
+    some = df.where(F.size(vector) > 0).select(*keys, vector.alias("v"))
     uneven = F.raise_error(F.lit("vectors of unequal length, or null elements, under one key"))
-    vector = F.when(F.col("even"), F.col("entries.x")).otherwise(uneven.cast("array<double>"))
-    return grouped.select(*keys, vector.alias("embedding"))
+    missing = F.exists("v", lambda x: x.isNull())
+    whole = F.when(missing, uneven.cast("array<double>")).otherwise(F.col("v"))
+    # Whole vectors are summed per task before the shuffle.
+    grouped = some.groupBy(*keys).agg(
+        Summarizer.sum(array_to_vector(whole)).alias("total"), F.count("*").alias("n")
+    )
+    mean = F.transform(vector_to_array("total"), lambda x: x / F.col("n"))
+    return grouped.select(*keys, mean.alias("embedding"))
 
 
 def with_words(vectors: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -125,41 +123,3 @@ def with_words(vectors: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     found = vectors.join(vocabulary.tokens(), "token_id", "left")
     unknown = F.concat(F.lit("no such token: "), F.col("token_id").cast("string"))
     return found.withColumn("word", F.coalesce("word", F.raise_error(unknown).cast("string")))
-
-
-def word2vec_vectors(
-    shards: DataFrame,
-    dimensions: int = DIMENSIONS,
-    window_size: int = WINDOW_SIZE,
-    epochs: int = 1,
-    learning_rate: float = 0.025,
-    partitions: int | None = None,
-    seed: int = 17,
-) -> DataFrame:
-    """token_id, embedding: vectors learned by Spark's Word2Vec over the token shards.
-
-    Word2Vec keeps its vocabulary and model on the driver, so the number of distinct
-    tokens is checked first; token ids come from a rank file and are bounded by it.
-    """
-    usable = trainable_shards(shards, window_size)
-    distinct = usable.select(F.explode("tokens").alias("t")).distinct().count()
-    if distinct > MAX_VOCABULARY:
-        raise ValueError(f"{distinct} distinct tokens; at most {MAX_VOCABULARY} fit the model")
-    if distinct == 0:
-        return usable.sparkSession.createDataFrame([], "token_id int, embedding array<double>")
-    from pyspark.ml.functions import vector_to_array
-
-    partitions = partitions or usable.sparkSession.sparkContext.defaultParallelism
-    model = Word2Vec(
-        inputCol="_tokens",
-        vectorSize=dimensions,
-        windowSize=window_size,
-        minCount=0,
-        maxIter=epochs,
-        stepSize=learning_rate,
-        numPartitions=partitions,
-        seed=seed,
-    ).fit(usable.select(F.col("tokens").cast("array<string>").alias("_tokens")))
-    return model.getVectors().select(
-        F.col("word").cast("int").alias("token_id"), vector_to_array("vector").alias("embedding")
-    )

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verbaloom.functions import vectors as vx
+from verbaloom.operators import regions
+from verbaloom.sources.tables import stage
 
 # Fixed value: the default number of neighbours.
 TOP_N = 5
@@ -18,6 +20,8 @@ TOP_N = 5
 BLOCK_BYTES, ROW_BYTES = 32 << 20, 64
 SLICE_BYTES = 32 << 20
 SMALLEST_BLOCK = 512
+# Tasks of one round of cells.
+MAX_TASKS = 100_000
 # Ranking ignores differences below this many decimals, so that ties do not depend on
 # the order in which a product was summed.
 RANK_DECIMALS = 10
@@ -60,40 +64,84 @@ def top_neighbours(
     """id, word, rank, neighbour_id, neighbour, similarity: the ``top_n`` most similar
     rows of another word for every row.
 
-    Exact, without a pair join. Rows are dealt into blocks by a hash of their unique id,
-    so blocks are even whatever the words. Each pair of blocks is one group: its matrix
-    product is taken in slices and only each row's best ``top_n`` leave the task. A pair
-    of blocks serves both directions. Best lists are then merged per row.
+    Exact, without a pair join. Rows lie in the region of their nearest pivot, and a region in
+    even blocks by a hash of their unique id, so blocks are even whatever the words and however
+    vectors cluster. Cells are pairs of blocks: matrix products in slices, from which only each
+    row's best ``top_n`` leave the task. A first round visits the cells within regions and
+    gives each row its ``top_n``-th best so far. In the second a row asks only those regions
+    whose rows, by the angle to the pivot and the region's radius, could still beat that.
 
     ``id_column`` must be unique, all vectors equally long. Ranks order by similarity
     (to 10 decimals, NaN last), then word, then id.
     """
     if top_n <= 0:
         raise ValueError("top_n must be positive")
+    units = staged_units(vectors, id_column, word, embedding)
+    layout = regions.lay_out(units, *_block_plan(units, block_rows))
+    near = _neighbours_of(layout.own_cells(), layout.n_own_cells(), units, top_n)
+    if len(layout.counts) > 1:
+        near = stage(near, "near-neighbours")
+        asking = layout.asking(_last_of(near, top_n))
+        far = _neighbours_of(asking.cells(), asking.n_cells(), units, top_n)
+        near = near.unionByName(far)
+    return _best(near, top_n).select(
+        F.col("id").alias(id_column),
+        "word",
+        "rank",
+        "neighbour_id",
+        "neighbour",
+        "similarity",
+    )
+
+
+def staged_units(vectors: DataFrame, id_column: str, word: str, embedding: str) -> DataFrame:
+    """id, word, unit: the vectors at length 1 (or 0), checked and written once."""
     source = vectors.select(
         F.col(id_column).alias("id"),
         F.col(word).alias("word"),
         F.col(embedding).cast("array<double>").alias("v"),
     )
-    blocks = _block_count(source, block_rows)
     # The norm is a column of its own: inside the lambda it would be taken per element.
     length = F.col("norm")
     unit = F.when(length != 0, F.transform("v", lambda x: x / length)).otherwise(F.col("v"))
-    own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    cells = F.transform(
-        F.sequence(F.lit(0), F.lit(blocks - 1)),
-        lambda other: F.struct(
-            F.least("block", other).alias("i"), F.greatest("block", other).alias("j")
-        ),
-    )
-    dealt = (
-        with_norms(source, "v")
-        .select("id", "word", unit.alias("unit"), own.alias("block"))
-        .withColumn("cell", F.explode(cells))
-        .select("cell.i", "cell.j", "block", "id", "word", "unit")
+    units = stage(with_norms(source, "v").select("id", "word", unit.alias("unit")), "unit-vectors")
+    known = (
+        F.col("word").isNotNull() & F.col("unit").isNotNull() & ~F.exists("unit", lambda x: x.isNull())
     )
-    id_type, word_type = source.schema["id"].dataType, source.schema["word"].dataType
-    best = T.StructType(
+    rows, shortest, longest, distinct, whole = units.select(
+        F.count("*"),
+        F.min(F.size("unit")),
+        F.max(F.size("unit")),
+        F.count_distinct("id"),
+        F.count_if(known),
+    ).first()
+    if rows != whole:
+        raise ValueError(f"{rows - whole} rows have a null word, vector or element")
+    if rows != distinct:
+        raise ValueError("ids are not unique")
+    if shortest != longest:
+        raise ValueError(f"vectors of unequal length: {shortest} to {longest}")
+    return units
+
+
+def _block_plan(units: DataFrame, block_rows: int | None) -> tuple[int, int]:
+    """How many regions, and rows in a block: small enough for a task's memory, and blocks
+    enough to use the cluster. Rows that fit one block are one region."""
+    rows, longest = units.select(F.count("*"), F.max(F.size("unit"))).first()
+    if block_rows is None:
+        fitting = BLOCK_BYTES // (max(longest or 1, 1) * 8 + ROW_BYTES)
+        cores = units.sparkSession.sparkContext.defaultParallelism
+        useful = min(math.ceil(math.sqrt(2 * cores)), rows // SMALLEST_BLOCK)
+        block_rows = max(1, min(fitting, math.ceil(rows / max(useful, 1))))
+        needed = math.ceil(rows / max(fitting, 1))
+    else:
+        needed = math.ceil(rows / block_rows)
+    return max(1, min(needed, regions.MAX_REGIONS)), block_rows
+
+
+def neighbour_schema(units: DataFrame) -> T.StructType:
+    id_type, word_type = units.schema["id"].dataType, units.schema["word"].dataType
+    return T.StructType(
         [
             T.StructField("id", id_type),
             T.StructField("word", word_type),
@@ -102,115 +150,96 @@ def top_neighbours(
             T.StructField("similarity", T.DoubleType()),
         ]
     )
-    # A fixed partition count: cells are few and heavy, and must not be packed by size.
-    tasks = max(blocks * (blocks + 1) // 2, 1)
-    found = (
-        dealt.repartition(tasks, "i", "j")
-        .groupBy("i", "j")
-        .applyInArrow(_cell_neighbours(top_n, RANK_DECIMALS), best)
-    )
+
+
+def _neighbours_of(cells: DataFrame, n_cells: int, units: DataFrame, top_n: int) -> DataFrame:
+    """Each row's best in each of its cells. Cells are dealt to tasks by their numbers, one
+    after another, so that no task has two more than another."""
+    tasks = max(1, min(n_cells, MAX_TASKS))
+    dealt = cells.repartitionById(tasks, (F.col("cell") % tasks).cast("int"))
+    sorted_cells = dealt.sortWithinPartitions("cell")
+    return sorted_cells.mapInArrow(_cell_neighbours(top_n), neighbour_schema(units))
+
+
+def _best(found: DataFrame, top_n: int) -> DataFrame:
     order = Window.partitionBy("id").orderBy(
         F.isnan("similarity"),
         F.desc(F.round("similarity", RANK_DECIMALS)),
         "neighbour",
         "neighbour_id",
     )
-    return (
-        found.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= top_n)
-        .select(
-            F.col("id").alias(id_column),
-            "word",
-            "rank",
-            "neighbour_id",
-            "neighbour",
-            "similarity",
-        )
-    )
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_n)
 
 
-def _block_count(source: DataFrame, block_rows: int | None) -> int:
-    """Blocks small enough for a task's memory, and enough of them to use the cluster."""
-    known = F.col("word").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", lambda x: x.isNull())
-    rows, shortest, longest, distinct, whole = source.select(
-        F.count("*"),
-        F.min(F.size("v")),
-        F.max(F.size("v")),
-        F.count_distinct("id"),
-        F.count_if(known),
-    ).first()
-    if rows != whole:
-        raise ValueError(f"{rows - whole} rows have a null word, vector or element")
-    if rows != distinct:
-        raise ValueError("ids are not unique")
-    if shortest != longest:
-        raise ValueError(f"vectors of unequal length: {shortest} to {longest}")
-    if block_rows is not None:
-        return max(math.ceil(rows / block_rows), 1)
-    needed = math.ceil(rows * (max(longest or 1, 1) * 8 + ROW_BYTES) / BLOCK_BYTES)
-    cores = source.sparkSession.sparkContext.defaultParallelism
-    useful = min(math.ceil(math.sqrt(2 * cores)), rows // SMALLEST_BLOCK)
-    return max(needed, useful, 1)
+def _last_of(near: DataFrame, top_n: int) -> DataFrame:
+    """id, least: the similarity of each row's last neighbour so far, if it has all."""
+    return _best(near, top_n).where(F.col("rank") == top_n).select(
+        "id", F.nanvl("similarity", F.lit(-2.0)).alias("least")
+    )
 
 
-def _cell_neighbours(top_n: int, decimals: int):
-    """The function run per block pair; it needs only pyarrow and numpy on executors."""
-    slice_bytes = SLICE_BYTES
+def _cell_neighbours(top_n: int):
+    """The function run over sorted cells; it needs this package, pyarrow and numpy."""
 
-    def neighbours(key, table):
+    def run(batches):
         import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        i, j = (part.as_py() for part in key)
-        # Columns in (word, id) order: of equal similarities the first is the best rank.
-        table = table.sort_by([("word", "ascending"), ("id", "ascending")])
-        words = table["word"].combine_chunks()
-        codes = words.dictionary_encode().indices.to_numpy(zero_copy_only=False)
-        ids = table["id"].combine_chunks()
-        block = table["block"].to_numpy()
-        units = pc.list_flatten(table["unit"]).to_numpy().reshape(table.num_rows, -1)
-
-        rows_out, columns_out, values_out = [], [], []
-        for own, other in {(i, j), (j, i)}:
-            mine = np.flatnonzero(block == own)
-            theirs = np.flatnonzero(block == other)
-            if not len(theirs):
-                continue
-            # Products and ranks of a slice are doubles.
-            slice_rows = max(1, slice_bytes // (16 * len(theirs)))
-            for start in range(0, len(mine), slice_rows):
-                some = mine[start : start + slice_rows]
-                product = units[some] @ units[theirs].T
-                rank = np.round(product, decimals)
-                rank[np.isnan(rank)] = -2.0
-                rank[codes[some][:, None] == codes[theirs][None, :]] = -np.inf
-                line = np.arange(len(some))
-                for _ in range(min(top_n, len(theirs))):
-                    at = rank.argmax(axis=1)
-                    kept = rank[line, at] > -np.inf
-                    if not kept.any():
-                        break
-                    rows_out.append(some[kept])
-                    columns_out.append(theirs[at[kept]])
-                    values_out.append(product[line[kept], at[kept]])
-                    rank[line, at] = -np.inf
-
-        none = np.empty(0, dtype=np.int64)
-        rows = pa.array(np.concatenate(rows_out or [none]))
-        columns = pa.array(np.concatenate(columns_out or [none]))
-        values = pa.array(np.concatenate(values_out or [none.astype(float)]))
-        return pa.table(
-            {
-                "id": ids.take(rows),
-                "word": words.take(rows),
-                "neighbour_id": ids.take(columns),
-                "neighbour": words.take(columns),
-                "similarity": values,
-            }
-        )
-
-    return neighbours
+
+        for _, table in regions.runs(batches, "cell"):
+            sides = table["side"].to_numpy()
+            asks = table["asks"].to_numpy()
+            if (sides == regions.BOTH).any():
+                yield best_of_cell(table, asks, np.ones(len(asks), bool), top_n)
+            else:
+                for side in (0, 1):
+                    yield best_of_cell(table, asks & (sides == side), sides == 1 - side, top_n)
+    return run
+
+
+def best_of_cell(table, asking, answering, top_n: int, decimals: int = RANK_DECIMALS):
+    """For each asking row of a cell its best answering rows of another word, as an Arrow
+    batch. A row is not compared with itself, as it has its own word."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    # Columns in (word, id) order: of equal similarities the first is the best rank.
+    order = pc.sort_indices(table, [("word", "ascending"), ("id", "ascending")])
+    table = table.take(order)
+    order = order.to_numpy()
+    mine, theirs = np.flatnonzero(asking[order]), np.flatnonzero(answering[order])
+    words = table["word"].combine_chunks()
+    codes = words.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    ids = table["id"].combine_chunks()
+    units = pc.list_flatten(table["unit"]).to_numpy().reshape(table.num_rows, -1)
+    rows_out, columns_out, values_out = [], [], []
+    # Products and ranks of a slice are doubles.
+    slice_rows = max(1, SLICE_BYTES // (16 * max(len(theirs), 1)))
+    others = units[theirs].T
+    for start in range(0, len(mine) if len(theirs) else 0, slice_rows):
+        some = mine[start : start + slice_rows]
+        product = units[some] @ others
+        rank = np.round(product, decimals)
+        rank[np.isnan(rank)] = -2.0
+        rank[codes[some][:, None] == codes[theirs][None, :]] = -np.inf
+        line = np.arange(len(some))
+        for _ in range(min(top_n, len(theirs))):
+            at = rank.argmax(axis=1)
+            kept = rank[line, at] > -np.inf
+            if not kept.any():
+                break
+            rows_out.append(some[kept])
+            columns_out.append(theirs[at[kept]])
+            values_out.append(product[line[kept], at[kept]])
+            rank[line, at] = -np.inf
+
+    none = np.empty(0, dtype=np.int64)
+    rows = pa.array(np.concatenate(rows_out or [none]))
+    columns = pa.array(np.concatenate(columns_out or [none]))
+    values = pa.array(np.concatenate(values_out or [none.astype(float)]))
+    return pa.RecordBatch.from_arrays(
+        [ids.take(rows), words.take(rows), ids.take(columns), words.take(columns), values],
+        ["id", "word", "neighbour_id", "neighbour", "similarity"],
+    )
 
 
 def neighbour_rows(
