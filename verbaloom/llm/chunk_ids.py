@@ -200,3 +200,13 @@ def _sums(values, ends):
     """The sum of each run of values."""
     sums = np.concatenate([[0], np.cumsum(values)])[ends]
     return np.diff(sums, prepend=0)
+
+
+def with_end(ids, sizes, end_id: int):
+    """The ids with ``end_id`` after those of each text, and where each text then ends."""
+    ends = np.cumsum(sizes + 1)
+    out = np.full(int(ends[-1]) if len(ends) else 0, end_id, ids.dtype)
+    inside = np.ones(len(out), bool)
+    inside[ends - 1] = False
+    out[inside] = ids
+    return out, ends

@@ -23,7 +23,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from verbaloom.llm.common import Memo, ship_file, slices, worker_state
+from verbaloom.llm.chunk_ids import ChunkEncoder, with_end
+from verbaloom.llm.common import ship_file, whole_slices, worker_state
 
 MAGIC = b"vloomid1"
 KEYS_PER_BUCKET = 1 << 16
@@ -37,7 +38,7 @@ FOOT_BYTES = struct.calcsize(FOOT)
 NO_KEYS = np.zeros(0, np.int64)
 # The library is the costly step here: larger slices and a larger memo (see common.Memo) than
 # elsewhere, some 200 MB a worker.
-SLICE, MEMO = 4 << 20, (300_000, 800_000)
+SLICE, MEMO = 4 << 20, (300_000, 600_000)
 CATALOG = "key bigint, shard int, row bigint, first bigint, n_ids bigint"
 
 
@@ -135,77 +136,6 @@ def _write(path: str, name: str, parts) -> None:
     system.move(draft, f"{folder}/{name}")
 
 
-class LibraryEncoder:
-    """Ids of whole texts by the tokenizers library.
-
-    The split pattern of byte-level vocabularies always cuts at a single space between two
-    other characters, so the library is given each distinct such chunk once, many at a
-    time with an added token between them; texts with other white space go in whole.
-    """
-
-    def __init__(self, content: bytes, dtype: str):
-        import json
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_buffer(content)
-        self.dtype = np.dtype(dtype)
-        spec = json.loads(content)
-        pre = spec["pre_tokenizer"] or {}
-        plain = not spec["normalizer"] and pre.get("type") == "ByteLevel"
-        added = [t for t in spec["added_tokens"] if not t["normalized"]]
-        self.mark = added[0]["content"] if plain and added and not pre["add_prefix_space"] else None
-        self.mark_id = added[0]["id"] if added else None
-        self.first = Memo(lambda words: self.chunks(words, ""))
-        self.rest = Memo(lambda words: self.chunks(words, " "), *MEMO)
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
-
-    def chunks(self, words: list[str], before: str):
-        """The ids of ``before + word``; None for a word that is no safe chunk."""
-        found = [None] * len(words)
-        clean = [
-            i
-            for i, w in enumerate(words)
-            if w and not w[0].isspace() and not w[-1].isspace() and self.mark not in w
-        ]
-        joined = [
-            self.mark.join(before + words[i] for i in clean[a : a + 512])
-            for a in range(0, len(clean), 512)
-        ]
-        encoded = self.library.encode_batch_fast(joined, add_special_tokens=False)
-        for a, one in zip(range(0, len(clean), 512), encoded):
-            ids = np.array(one.ids, self.dtype)
-            ends = np.flatnonzero(ids == self.mark_id)
-            width, raw = self.dtype.itemsize, ids.tobytes()
-            starts = [0, *((ends + 1) * width).tolist()]
-            for i, s, e in zip(clean[a : a + 512], starts, [*(ends * width).tolist(), len(raw)]):
-                found[i] = raw[s:e]
-        return found
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if self.mark is None:
-            return self.whole(texts)
-        cut = [t.split(" ") if t else [] for t in texts]
-        first = self.first.fill({words[0] for words in cut if words})
-        rest = self.rest.fill(set().union(*(words[1:] for words in cut)))
-        found, odd = [], []
-        for i, words in enumerate(cut):
-            parts = [first[words[0]], *map(rest.__getitem__, words[1:])] if words else []
-            if None in parts:
-                odd.append(i)
-                found.append(b"")
-            else:
-                found.append(b"".join(parts))
-        for i, ids in zip(odd, self.whole([texts[i] for i in odd])):
-            found[i] = ids
-        return found
-
-
 def write_ids(
     df: DataFrame,
     path: str,
@@ -242,19 +172,16 @@ def write_ids(
 
         number = TaskContext.get().partitionId()
         encoder = worker_state(
-            ("id_files", shipped.value, width), lambda: LibraryEncoder(shipped.value, f"<u{width}")
+            ("id_files", shipped.value, width), lambda: ChunkEncoder(shipped.value, f"<u{width}", MEMO)
         )
-        end = np.array([end_id], f"<u{width}").tobytes()
         keys, firsts = [], [0]
 
         def parts():
-            for batch in batches:
-                for part in slices(batch, "text", SLICE):
-                    texts = [t or "" for t in part.column(1).to_pylist()]
-                    keys.extend(part.column(0).to_pylist())
-                    for ids in encoder.encode(texts):
-                        firsts.append(firsts[-1] + len(ids) // width + 1)
-                        yield ids + end
+            for part in whole_slices(batches, "text", SLICE):
+                ids, ends = with_end(*encoder.encode(part.column(1)), end_id)
+                keys.extend(part.column(0).to_pylist())
+                firsts.extend((ends + firsts[-1]).tolist())
+                yield ids.tobytes()
             yield np.array(firsts, "<u8").tobytes()
             yield struct.pack(FOOT, len(keys), firsts[-1], width, MAGIC)
 

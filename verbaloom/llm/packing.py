@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verbaloom.llm.chunk_ids import ChunkEncoder
+from verbaloom.llm.chunk_ids import ChunkEncoder, with_end
 from verbaloom.llm.common import ship_file, whole_slices, worker_state
 from verbaloom.sources.tables import stage
 
@@ -80,16 +80,6 @@ def cut_pieces(sizes, length: int):
     return owner, number, start, np.minimum(length, sizes[owner] - start)
 
 
-def _with_end(ids, sizes, end_id: int):
-    """The ids with ``end_id`` after those of each document."""
-    ends = np.cumsum(sizes + 1)
-    out = np.full(int(ends[-1]) if len(ends) else 0, end_id, ids.dtype)
-    inside = np.ones(len(out), bool)
-    inside[ends - 1] = False
-    out[inside] = ids
-    return out, ends
-
-
 def packed_pieces(
     docs: DataFrame,
     vocabulary: str,
@@ -153,7 +143,7 @@ def _local(docs, vocabulary, end_id, key, text, length) -> DataFrame:
         bins, base = BestFit(length), TaskContext.get().partitionId() << TASK_BITS
         for part in whole_slices(batches, "text", SLICE_BYTES):
             ids, sizes = encoder.encode(part.column(1))
-            ids, ends = _with_end(ids, sizes, end_id)
+            ids, ends = with_end(ids, sizes, end_id)
             owner, number, start, lengths = cut_pieces(sizes + 1, length)
             first = (ends - sizes - 1)[owner] + start
             numbers, offsets = bins.place_all(lengths)
