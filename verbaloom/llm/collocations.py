@@ -36,8 +36,8 @@ SHARDS = 4
 BUCKET_BITS, NEVER = 23, 255
 BLOCK_BITS = 16
 # Counted phrases that a task holds before it passes them on.
-HELD = 1 << 20
-SLICE_BYTES = 4 << 20
+HELD = 1 << 18
+SLICE_BYTES = 2 << 20
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 # 0 in a word, 1 between words, 2 between pieces.
 _KIND = np.zeros(256, np.uint8)
@@ -277,7 +277,7 @@ def _exact_counts(docs: DataFrame, reached, least: int) -> DataFrame:
                 for size, phrase, n in _slice_phrases(texts, lang, shipped.value):
                     key = lang, size, phrase
                     counted[key] = counted.get(key, 0) + n
-            if len(counted) > HELD // 4:
+            if len(counted) > HELD // 2:
                 yield emit()
                 counted.clear()
         yield emit()
