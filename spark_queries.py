@@ -46,6 +46,12 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, f"{sf}/documents.parquet", ["doc_id", "text"], deal=DOC)
 
 
+def corpus(spark: SparkSession, sf: str, *counts: str) -> DataFrame:
+    """The documents staged by key, with the named counts."""
+    docs = read_table(spark, f"{sf}/documents.parquet", ["doc_id", "text"])
+    return words.staged_corpus(docs, DOC, counts=counts)
+
+
 def conversations(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["conv_id", "turn", "text"]
     return read_table(spark, f"{sf}/conversations.parquet", columns, deal=["conv_id", "turn"])
@@ -140,7 +146,7 @@ def q_parse_positioned(spark, sf):
 
 
 def q_positioned_words(spark, sf):
-    return words.positioned_words(documents(spark, sf), DOC)
+    return words.positioned_words(corpus(spark, sf, "words"), DOC)
 
 
 def q_conversation_positions(spark, sf):
@@ -148,19 +154,19 @@ def q_conversation_positions(spark, sf):
 
 
 def q_sentence_shards(spark, sf):
-    return words.sentence_shards(documents(spark, sf), DOC, RECORDS_PER_SHARD)
+    return words.sentence_shards(corpus(spark, sf, "sentences"), DOC, RECORDS_PER_SHARD)
 
 
 def q_line_shards(spark, sf):
-    return words.line_shards(documents(spark, sf), DOC, RECORDS_PER_SHARD)
+    return words.line_shards(corpus(spark, sf, "kept_lines"), DOC, RECORDS_PER_SHARD)
 
 
 def q_word_shards(spark, sf):
-    return words.word_shards(documents(spark, sf), DOC, LINES_PER_SHARD)
+    return words.word_shards(corpus(spark, sf, "lines", "words"), DOC, LINES_PER_SHARD)
 
 
 def q_position_buckets(spark, sf):
-    docs = documents(spark, sf)
+    docs = corpus(spark, sf, "words")
     last = words.last_position(docs).scalar()
     placed = words.positioned_words(docs, DOC)
     return ordinals.position_buckets(placed, 4, largest=last).select("position", "bucket")
@@ -344,7 +350,7 @@ def q_nearest_words(spark, sf):
 
 def q_text_shards(spark, sf):
     """Positioned words written as text shards, read back and parsed."""
-    placed = words.word_shards(documents(spark, sf), DOC, LINES_PER_SHARD)
+    placed = words.word_shards(corpus(spark, sf, "lines", "words"), DOC, LINES_PER_SHARD)
     line = tx.format_positioned(F.col("position"), F.col("word"))
     path = new_path(spark, "word-shards")
     text_files.write_shards(placed.withColumn("value", line), path, "position", "value")
@@ -353,7 +359,7 @@ def q_text_shards(spark, sf):
 
 
 def _sentence_files(spark, sf) -> str:
-    cut = words.sentence_shards(documents(spark, sf), DOC, RECORDS_PER_SHARD)
+    cut = words.sentence_shards(corpus(spark, sf, "sentences"), DOC, RECORDS_PER_SHARD)
     path = new_path(spark, "sentence-shards")
     text_files.write_shards(cut, path, "ordinal", "sentence")
     return path
@@ -489,7 +495,7 @@ def q_parse_tokenized(spark, sf):
 def q_overwritten_shards(spark, sf):
     """Shards of all sentences, replaced by those of all lines."""
     path = _sentence_files(spark, sf)
-    cut = words.line_shards(documents(spark, sf), DOC, RECORDS_PER_SHARD)
+    cut = words.line_shards(corpus(spark, sf, "kept_lines"), DOC, RECORDS_PER_SHARD)
     text_files.write_shards(cut, path, "ordinal", "line")
     return text_files.read_shards(spark, path)
 

@@ -149,7 +149,8 @@ def encode_words(words: DataFrame, vocabulary: Vocabulary, word: str = "word") -
 
 def tokenized_words(encoded: DataFrame, keys: list[str]) -> DataFrame:
     """keys, position, word, token_ids: the corpus in order, words numbered from 0."""
-    placed = with_offsets(encoded, keys, {"_first": F.size("words")})
+    count = F.col("n_words") if "n_words" in encoded.columns else F.size("words")
+    placed = with_offsets(encoded, keys, {"_first": count})
     pairs = F.arrays_zip("words", "word_ids")
     return numbered(placed, [*keys, "_first"], pairs, "_i", "_pair").select(
         *keys,
@@ -159,9 +160,14 @@ def tokenized_words(encoded: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _n_tokens(texts: DataFrame):
+    """A staged table brings the counts of its ids, so that ids are read once."""
+    return F.col("n_tokens") if "n_tokens" in texts.columns else F.size("tokens")
+
+
 def token_stream(texts: DataFrame, keys: list[str]) -> DataFrame:
     """token_pos, token_id from keys, tokens: all ids in order, numbered from 0."""
-    placed = with_offsets(texts, keys, {"_first": F.size("tokens")})
+    placed = with_offsets(texts, keys, {"_first": _n_tokens(texts)})
     return numbered(placed, ["_first"], F.col("tokens"), "_i", "token_id").select(
         (F.col("_first") + F.col("_i")).alias("token_pos"), "token_id"
     )
@@ -177,7 +183,7 @@ def token_shards(texts: DataFrame, keys: list[str], tokens_per_shard: int) -> Da
     if tokens_per_shard <= 0:
         raise ValueError("tokens_per_shard must be positive")
     size = F.lit(tokens_per_shard).cast("bigint")
-    placed = with_offsets(texts, keys, {"_first": F.size("tokens")})
+    placed = with_offsets(texts, keys, {"_first": _n_tokens(texts)})
     first, tokens = F.col("_first"), F.col("tokens")
     end = first + F.size(tokens)
 

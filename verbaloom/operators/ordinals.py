@@ -81,14 +81,19 @@ def with_offsets(df: DataFrame, keys: list[str], weights: dict[str, Column]) ->
     """Add to each row of a keyed table the running sum of each weight before it.
 
     The hint makes the narrow offsets the hashed side, never the wide rows, and spares
-    those a sort; keys are unique, so the join cannot be skewed.
+    those a sort; keys are unique, so the join cannot be skewed. The rows of a table that
+    ``tables.stage_keyed`` wrote by these keys do not move at all.
     """
     totals = df.select(
         *keys,
         *(F.coalesce(w.cast("bigint"), F.lit(0)).alias(name) for name, w in weights.items()),
     )
     offsets = running_offsets(totals, keys, list(weights))
-    return df.join(offsets.hint("shuffle_hash"), keys)
+    # Keys of the table's own types, so that its buckets serve the join.
+    typed = offsets.select(
+        *(F.col(k).cast(df.schema[k].dataType).alias(k) for k in keys), *weights
+    )
+    return df.join(typed.hint("shuffle_hash"), keys)
 
 
 def _required(key: str) -> Column:

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from verbaloom.functions import text as tx
 from verbaloom.operators.ordinals import line_shard, record_shard, with_offsets
+from verbaloom.sources.tables import stage_keyed
 
 
 def numbered(
@@ -25,6 +27,44 @@ def numbered(
     return laid_out.where(F.col(number).isNotNull())
 
 
+# What a staged corpus can bring with it: the number of records that a text is cut into.
+COUNTS = ("words", "lines", "sentences", "kept_lines")
+
+
+def staged_corpus(
+    df: DataFrame,
+    keys: list[str],
+    text: str = "text",
+    counts: tuple = COUNTS,
+    unicode: bool = False,
+) -> DataFrame:
+    """keys, text, counts: a corpus in buckets of its keys, with the numbers of its words,
+    lines, cleaned sentences and non-empty lines, as far as they are named.
+
+    Texts move once, here. The numbering operators below find a text's records counted
+    and its row in place: they read texts once and shuffle counts only. Without it they
+    read texts twice and move them each time.
+    """
+    body = F.col(text)
+    number = {
+        "words": tx.whitespace_word_count(body),
+        "lines": F.size(tx.line_array(body)),
+        "sentences": F.size(tx.clean_sentence_array(body, unicode)),
+        "kept_lines": F.size(_kept_lines(body)),
+    }
+    counted = F.struct(*(number[c].cast("bigint").alias(c) for c in counts)).alias("counts")
+    placed = df.select(*keys, body.alias(text))
+    # Counted where the texts have moved to: a small file would be counted by one task.
+    placed = placed.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return stage_keyed(placed.select(*keys, text, counted), "corpus", keys)
+
+
+def _count(df: DataFrame, name: str, count: Column) -> Column:
+    """A staged corpus' own count, or the given one."""
+    kind = df.schema["counts"].dataType if "counts" in df.columns else None
+    return F.col("counts")[name] if isinstance(kind, T.StructType) and name in kind.names else count
+
+
 def lines(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """keys, line_no, line."""
     return numbered(df, keys, tx.line_array(F.col(text)), "line_no", "line")
@@ -81,9 +121,8 @@ def positioned_words(df: DataFrame, keys: list[str], text: str = "text") -> Data
     Offsets are found and joined per text, while it is still one row; words are only
     then laid out, so no shuffle carries one row per word.
     """
-    placed = with_offsets(
-        df.select(*keys, text), keys, {"_first": tx.whitespace_word_count(F.col(text))}
-    )
+    count = _count(df, "words", tx.whitespace_word_count(F.col(text)))
+    placed = with_offsets(df, keys, {"_first": count})
     words = tx.whitespace_words(F.col(text))
     return numbered(placed, [*keys, "_first"], words, "_i", "word").select(
         *keys, (F.col("_first") + F.col("_i")).alias("position"), "word"
@@ -96,7 +135,8 @@ def last_position(df: DataFrame, text: str = "text") -> DataFrame:
     Positions run without gaps, so this is the number of words less one: one pass of
     partial sums, no shuffle of texts.
     """
-    total = F.coalesce(F.sum(tx.whitespace_word_count(F.col(text))), F.lit(0)).cast("bigint")
+    count = _count(df, "words", tx.whitespace_word_count(F.col(text)))
+    total = F.coalesce(F.sum(count), F.lit(0)).cast("bigint")
     return df.agg(F.greatest(total - 1, F.lit(0)).alias("max_position"))
 
 
@@ -105,11 +145,11 @@ def word_shards(
 ) -> DataFrame:
     """shard_id, position, word: positioned words cut into shards of input lines."""
     body = F.col(text)
-    placed = with_offsets(
-        df.select(*keys, text),
-        keys,
-        {"_first_line": F.size(tx.line_array(body)), "_first_word": tx.whitespace_word_count(body)},
-    )
+    weights = {
+        "_first_line": _count(df, "lines", F.size(tx.line_array(body))),
+        "_first_word": _count(df, "words", tx.whitespace_word_count(body)),
+    }
+    placed = with_offsets(df, keys, weights)
     # (line, word) pairs of the text, in order, so that one posexplode numbers the words.
     pairs = F.flatten(
         F.transform(
@@ -141,26 +181,29 @@ def sentence_shards(
     unicode: bool = False,
 ) -> DataFrame:
     """shard_id, ordinal, sentence: cleaned sentences in shards of equal record count."""
-    return _record_shards(
-        df, keys, tx.clean_sentence_array(F.col(text), unicode), "sentence", records_per_shard
-    )
+    records = tx.clean_sentence_array(F.col(text), unicode)
+    count = _count(df, "sentences", F.size(records))
+    return _record_shards(df, keys, records, count, "sentence", records_per_shard)
 
 
 def line_shards(
     df: DataFrame, keys: list[str], records_per_shard: int, text: str = "text"
 ) -> DataFrame:
     """shard_id, ordinal, line: the raw-line mode, without sentence work."""
-    kept = F.array_remove(
-        F.transform(tx.line_array(F.col(text)), lambda line: tx.trim_controls(line)), ""
-    )
-    return _record_shards(df, keys, kept, "line", records_per_shard)
+    records = _kept_lines(F.col(text))
+    count = _count(df, "kept_lines", F.size(records))
+    return _record_shards(df, keys, records, count, "line", records_per_shard)
+
+
+def _kept_lines(text: Column) -> Column:
+    trimmed = F.transform(tx.line_array(text), lambda line: tx.trim_controls(line))
+    return F.array_remove(trimmed, "")
 
 
-def _record_shards(df, keys, records, name, records_per_shard) -> DataFrame:
-    listed = df.select(*keys, records.alias("_records"))
-    placed = with_offsets(listed, keys, {"_first": F.size("_records")})
+def _record_shards(df, keys, records, count, name, records_per_shard) -> DataFrame:
+    placed = with_offsets(df, keys, {"_first": count})
     ordinal = F.col("_first") + F.col("_i")
-    return numbered(placed, ["_first"], F.col("_records"), "_i", name).select(
+    return numbered(placed, ["_first"], records, "_i", name).select(
         record_shard(ordinal, records_per_shard).alias("shard_id"),
         ordinal.alias("ordinal"),
         name,

@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from verbaloom.operators import embeddings, encoding, similarity, words
 from verbaloom.operators.encoding import Vocabulary
 from verbaloom.operators.shards import STRIDE, WINDOW_SIZE
-from verbaloom.sources.tables import stage
+from verbaloom.sources.tables import stage, stage_keyed
 
 
 @dataclass(frozen=True)
@@ -31,16 +32,18 @@ def word_token_counts(df: DataFrame, vocabulary: Vocabulary, text: str = "text")
 def encoded_corpus(
     df: DataFrame, keys: list[str], vocabulary: Vocabulary, text: str = "text"
 ) -> DataFrame:
-    """keys, words, word_ids as a staged table: encoding is done once, and whatever is
-    derived from it reads only the columns it needs."""
-    return stage(encoding.encode_texts(df, keys, vocabulary, text), "encoded")
+    """keys, words, word_ids, n_words as a staged table in buckets of the keys: encoding is
+    done once, and whatever is derived from it reads only the columns it needs."""
+    encoded = encoding.encode_texts(df, keys, vocabulary, text)
+    return stage_keyed(encoded.withColumn("n_words", F.size("words").cast("bigint")), "encoded", keys)
 
 
 def corpus_tokens(
     df: DataFrame, keys: list[str], vocabulary: Vocabulary, text: str = "text"
 ) -> DataFrame:
-    """keys, tokens as a staged table: the same without the words, for the token stream."""
-    return stage(encoding.encode_tokens(df, keys, vocabulary, text), "tokens")
+    """keys, tokens, n_tokens as such a table: without the words, for the token stream."""
+    encoded = encoding.encode_tokens(df, keys, vocabulary, text)
+    return stage_keyed(encoded.withColumn("n_tokens", F.size("tokens").cast("bigint")), "tokens", keys)
 
 
 def token_vectors(
