@@ -326,6 +326,14 @@ UNION ALL SELECT doc_id, 1, word_no, word || '_' || word FROM placed""",
             f"{WORDS}, width AS (SELECT CAST(ceil(max(position) / 4) AS BIGINT) AS size FROM placed)",
             "SELECT position, least(position // size, 3) AS bucket FROM placed, width",
         ),
+        "bucket_files": (
+            f"{WORDS}, width AS (SELECT CAST(ceil(max(position) / 4) AS BIGINT) AS size FROM placed)",
+            """SELECT CAST(least(position // size, 3) AS INTEGER) AS bucket, count(*) AS n,
+  min(position) AS first_position, max(position) AS last_position,
+  arg_min(word, position) AS first_word, arg_max(word, position) AS last_word
+FROM placed, width GROUP BY 1""",
+        ),
+        "shard_ranges": (FILE_LINES, "SELECT shard_id, ordinal, sentence FROM files"),
         "max_position": (WORDS, "SELECT max(position) AS max_position FROM placed"),
         "word_token_counts": (
             f"""{CLEAN}, found AS (
@@ -358,6 +366,14 @@ counted AS (SELECT word, count(*) AS n FROM found GROUP BY word),
             "SELECT shard_id, p AS token_pos, token_id, token_index FROM indexed",
         ),
         "window_pairs": (f"{INDEXED}, {_windows('token_id')}", "SELECT * FROM windows"),
+        "corpus_windows": (
+            STREAM,
+            f"""SELECT s // {STRIDE} AS sample_idx,
+  string_agg(CAST(token_id AS VARCHAR), ' ' ORDER BY i) FILTER (i < {W}) AS input,
+  string_agg(CAST(token_id AS VARCHAR), ' ' ORDER BY i) FILTER (i > 0) AS target
+FROM (SELECT token_pos - i AS s, i, token_id FROM stream, range(0, {W} + 1) AS r(i))
+WHERE s >= 0 AND s % {STRIDE} = 0 AND s + {W} <= (SELECT max(token_pos) FROM stream) GROUP BY s""",
+        ),
         "training_table": (f"{INDEXED}, {_windows('token_index')}", "SELECT * FROM windows"),
         "trainable_shards": (
             _shards(9),
@@ -457,6 +473,7 @@ named AS MATERIALIZED (
         ),
     }
     sql["text_shards"] = sql["word_shards"]
+    sql["written_nearest_words"] = sql["nearest_words"]
     sql["imported_token_shards"] = sql["token_shards"]
     sql["imported_neighbours"] = (
         f"""{VECTORS}, named AS (

@@ -172,6 +172,30 @@ def q_position_buckets(spark, sf):
     return ordinals.position_buckets(placed, 4, largest=last).select("position", "bucket")
 
 
+def q_bucket_files(spark, sf):
+    """Positioned words written as a file per bucket: what each file begins and ends with."""
+    path = new_path(spark, "position-buckets")
+    docs = corpus(spark, sf, "words")
+    placed = words.positioned_words(docs, DOC)
+    buckets = ordinals.position_buckets(placed, 4, largest=words.last_position(docs).scalar())
+    text_files.write_buckets(buckets, path, 4, "position")
+    return text_files.read_buckets(spark, path).groupBy("bucket").agg(
+        F.count("*").alias("n"),
+        F.min("position").alias("first_position"),
+        F.max("position").alias("last_position"),
+        F.min_by("word", "position").alias("first_word"),
+        F.max_by("word", "position").alias("last_word"),
+    )
+
+
+def q_shard_ranges(spark, sf):
+    """Cleaned sentences in files of shard ranges, read back shard by shard."""
+    path = new_path(spark, "shard-ranges")
+    cut = words.sentence_shards(corpus(spark, sf, "sentences"), DOC, RECORDS_PER_SHARD)
+    text_files.write_shard_ranges(cut, path, "ordinal")
+    return spark.read.parquet(path).select("shard_id", "ordinal", "sentence")
+
+
 def q_max_position(spark, sf):
     return words.last_position(documents(spark, sf))
 
@@ -236,6 +260,16 @@ def q_window_pairs(spark, sf):
     )
 
 
+def q_corpus_windows(spark, sf):
+    """The window pairs of the whole corpus as one sequence, in pieces of 1,000 tokens."""
+    pieces = encoding.token_shards(tokens(spark, sf), DOC, 1000).select(
+        F.lit(1).alias("shard_id"), (F.col("shard_id") - 1).alias("piece"), "tokens"
+    )
+    return _shown_pairs(
+        shards.piece_window_pairs(pieces, 1000, SETTINGS.window_size, SETTINGS.stride)
+    ).drop("shard_id")
+
+
 def q_training_table(spark, sf):
     return _shown_pairs(
         shards.training_table(token_shards(spark, sf), SETTINGS.window_size, SETTINGS.stride)
@@ -345,6 +379,13 @@ def q_nearest_words(spark, sf):
     return top.withColumn("similarity", six("similarity"))
 
 
+def q_written_nearest_words(spark, sf):
+    """The same, written in steps that a failed run leaves to the next, and read back."""
+    path = new_path(spark, "written-nearest-words")
+    chains.write_nearest_words(documents(spark, sf), DOC, vocabulary(spark), path, SETTINGS)
+    return spark.read.parquet(path).withColumn("similarity", six("similarity"))
+
+
 # --- text files ----------------------------------------------------------------------
 
 
@@ -365,9 +406,13 @@ def _sentence_files(spark, sf) -> str:
     return path
 
 
+def _sentence_folder(spark, sf) -> str:
+    return text_files.shard_folder(spark, _sentence_files(spark, sf))
+
+
 def q_whole_files(spark, sf):
     """Sentence shards read one file per row."""
-    files = text_files.read_whole_files(spark, _sentence_files(spark, sf), glob="part-*")
+    files = text_files.read_whole_files(spark, _sentence_folder(spark, sf), glob="part-*")
     shard = F.regexp_extract("file_path", "shard_id=([0-9]+)", 1).cast("bigint")
     return files.select(
         shard.alias("shard_id"), F.length("content").alias("n_chars"), F.md5("content").alias("md5")
@@ -376,20 +421,20 @@ def q_whole_files(spark, sf):
 
 def q_numbered_lines(spark, sf):
     """Sentence shards read as one numbered text."""
-    return text_files.read_numbered_lines(spark, _sentence_files(spark, sf), glob="part-*").select(
+    return text_files.read_numbered_lines(spark, _sentence_folder(spark, sf), glob="part-*").select(
         "line_no", "line"
     )
 
 
 def q_line_word_shards(spark, sf):
     """Words of numbered text lines, in shards of lines."""
-    lines = text_files.read_numbered_lines(spark, _sentence_files(spark, sf), glob="part-*")
+    lines = text_files.read_numbered_lines(spark, _sentence_folder(spark, sf), glob="part-*")
     return words.line_word_shards(lines, 500)
 
 
 def q_find_file(spark, sf):
     """The first data file below each shard folder is found by its exact name."""
-    path = _sentence_files(spark, sf)
+    path = _sentence_folder(spark, sf)
     listed = text_files.read_lines(spark, path).agg(F.min("file_path")).first()[0]
     found = text_files.find_file(spark, path, listed.rsplit("/", 1)[1])
     return text_files.read_lines(spark, found).agg(F.count("*").alias("n_lines"))
@@ -424,14 +469,17 @@ def q_rejected_embeddings(spark, sf):
 
 
 def q_imported_token_shards(spark, sf):
-    """Token shards written as text, one id per line, and read back a file at a time."""
+    """Token shards written as text, one id per line, and read back in pieces of 1,000 ids."""
     path = new_path(spark, "token-shards")
     stream = token_shards(spark, sf).select(
         "shard_id", F.posexplode("tokens").alias("token_pos", "token_id")
     )
     text_files.write_shards(stream, path, "token_pos", "token_id")
-    found = text_files.read_token_shards(spark, path, glob="part-*")
-    return found.select("shard_id", F.posexplode("tokens").alias("token_pos", "token_id"))
+    folder = text_files.shard_folder(spark, path)
+    found = text_files.read_token_pieces(spark, folder, piece_size=1000, glob="part-*")
+    laid = found.select("shard_id", "piece", F.posexplode("tokens").alias("i", "token_id"))
+    position = (F.col("piece") * 1000 + F.col("i")).cast("int")
+    return laid.select("shard_id", position.alias("token_pos"), "token_id")
 
 
 def _vector_files(spark, sf) -> str:

@@ -87,6 +87,53 @@ def window_pairs(
     )
 
 
+def piece_window_pairs(
+    pieces: DataFrame,
+    piece_size: int,
+    window_size: int = WINDOW_SIZE,
+    stride: int = STRIDE,
+    sequence: str = "shard_id",
+) -> DataFrame:
+    """sequence, sample_idx, input, target: the window pairs of sequences longer than a row.
+
+    ``pieces`` has a sequence's tokens as rows (sequence, piece from 0, tokens), each of
+    ``piece_size`` but the last. Each piece gets the first ``window_size`` + 1 tokens of the
+    next one beside its own, so windows cross borders, and makes those that begin in it:
+    the pairs are those of ``window_pairs`` over the whole sequence, and no row holds more
+    than a piece and its halo.
+    """
+    if piece_size <= window_size:
+        raise ValueError("a piece must be longer than a window")
+    halo = pieces.select(
+        sequence, (F.col("piece") - 1).alias("piece"), F.slice("tokens", 1, window_size + 1).alias("_halo")
+    )
+    joined = pieces.join(halo, [sequence, "piece"], "left")
+    own = joined.withColumn(
+        "_all", F.concat("tokens", F.coalesce("_halo", F.array().cast(pieces.schema["tokens"].dataType)))
+    )
+    begin = F.col("piece") * F.lit(piece_size).cast("bigint")
+    # The first window start in the piece, and the last that it has all tokens for.
+    first = F.pmod(-begin, F.lit(stride)).cast("int")
+    last = F.least(F.size("tokens") - 1, F.size("_all") - 1 - window_size)
+    starts = F.sequence(first, F.greatest(last, first), F.lit(stride))
+    spans = F.when(
+        last >= first,
+        F.transform(
+            starts,
+            lambda s: F.struct(
+                F.call_function("div", begin + s, F.lit(stride).cast("bigint")).alias("sample_idx"),
+                F.slice("_all", s + 1, window_size + 1).alias("span"),
+            ),
+        ),
+    )
+    return numbered(own, [sequence], spans, "_i", "_span").select(
+        sequence,
+        F.col("_span.sample_idx").alias("sample_idx"),
+        F.slice("_span.span", 1, window_size).alias("input"),
+        F.slice("_span.span", 2, window_size).alias("target"),
+    )
+
+
 def training_table(
     shards: DataFrame, window_size: int = WINDOW_SIZE, stride: int = STRIDE
 ) -> DataFrame:

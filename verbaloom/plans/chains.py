@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from verbaloom.operators import embeddings, encoding, similarity, words
 from verbaloom.operators.encoding import Vocabulary
 from verbaloom.operators.shards import STRIDE, WINDOW_SIZE
-from verbaloom.sources.tables import stage, stage_keyed
+from verbaloom.sources.tables import scope, stage, stage_keyed
 
 
 @dataclass(frozen=True)
@@ -69,3 +69,41 @@ def nearest_words(
     texts = corpus_tokens(df, keys, vocabulary, text)
     vectors = stage(token_vectors(texts, keys, vocabulary, settings), "vectors")
     return similarity.top_neighbours(vectors, "token_id", "word", settings.top_n)
+
+
+def write_token_vectors(
+    df: DataFrame,
+    keys: list[str],
+    vocabulary: Vocabulary,
+    path: str,
+    settings: Settings = Settings(),
+    text: str = "text",
+) -> None:
+    """Write ``token_vectors`` of a corpus to ``path``; see ``write_nearest_words``."""
+    spark = df.sparkSession
+    with scope(spark, f"{path}.steps") as job:
+        texts = job.step("tokens", lambda: encoding.encode_tokens(df, keys, vocabulary, text))
+        found = token_vectors(texts, keys, vocabulary, settings)
+        found.write.mode("overwrite").parquet(path)
+
+
+def write_nearest_words(
+    df: DataFrame,
+    keys: list[str],
+    vocabulary: Vocabulary,
+    path: str,
+    settings: Settings = Settings(),
+    text: str = "text",
+) -> None:
+    """Write ``nearest_words`` of a corpus to ``path``, in steps that outlive a failure.
+
+    Ids and vectors are kept in ``path.steps`` as they are finished. A run that fails leaves
+    them, and the next one with this path goes on from there, so it must have the same
+    input. A run that ends leaves the result and nothing else.
+    """
+    spark = df.sparkSession
+    with scope(spark, f"{path}.steps") as job:
+        texts = job.step("tokens", lambda: encoding.encode_tokens(df, keys, vocabulary, text))
+        vectors = job.step("vectors", lambda: token_vectors(texts, keys, vocabulary, settings))
+        found = similarity.top_neighbours(vectors, "token_id", "word", settings.top_n)
+        found.write.mode("overwrite").parquet(path)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,10 +39,53 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# The folder of the scope that is open, if any.
+_scope: ContextVar = ContextVar("verbaloom_scope", default=None)
+
+
 def staging_folder(spark: SparkSession) -> str:
-    """Where this application keeps its staged tables, inside the shared folder."""
+    """Where staged tables go: the open scope's folder, or else this application's."""
     application = spark.sparkContext.applicationId
-    return os.path.join(shared_folder(spark), f"verbaloom-{application}")
+    return _scope.get() or os.path.join(shared_folder(spark), f"verbaloom-{application}")
+
+
+class Scope:
+    """The finished steps of one job, by name, and what it stages on the way."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def step(self, name: str, make) -> DataFrame:
+        """The table that ``make()`` gives, written once: a later run reads it instead."""
+        path = os.path.join(self.folder, f"step-{name}")
+        if not exists(self.spark, os.path.join(path, "_SUCCESS")):
+            make().write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+
+@contextmanager
+def scope(spark: SparkSession, folder: str):
+    """A scope whose staged tables lie in ``folder`` and go with it.
+
+    When the block ends well the folder is deleted, so results must be written by then, to
+    another place. When it fails only finished steps are left, and a run with the same
+    folder goes on from them: the folder stands for one job with one input.
+    """
+    token = _scope.set(os.path.join(folder, f"staged-{uuid.uuid4().hex}"))
+    try:
+        yield Scope(spark, folder)
+    except BaseException:
+        drop_path(spark, _scope.get())
+        raise
+    else:
+        drop_path(spark, folder)
+    finally:
+        _scope.reset(token)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
 def new_path(spark: SparkSession, name: str) -> str:

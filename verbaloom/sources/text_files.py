@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,7 +12,10 @@ from verbaloom.functions import vectors as vx
 from verbaloom.functions.text import LINE_BREAK, trim_controls
 from verbaloom.sources.tables import stage
 
-
+# The file that names the version of a folder's shards that counts.
+MANIFEST = "_manifest"
+# Ids in a piece of an imported shard.
+PIECE_SIZE = 30_000
 # The last shard number of a path: that of the file, or of the folder it lies in.
 SHARD_NUMBER = r"^.*shard_(?:id=)?([0-9]+)(?:\.[^/]*)?(?:/[^/=]*)?$"
 
@@ -141,23 +145,31 @@ def write_lines(df: DataFrame, path: str, value: str, key: str | None = None) ->
 def write_shards(
     df: DataFrame, path: str, order: str, value: str | None = None, shard: str = "shard_id"
 ) -> None:
-    """Write ``path/shard_id=<number>/`` with each shard's rows in order, replacing old shards.
-    Nothing else in the folder is touched.
+    """Write each shard's rows in order, as ``path/version-*/shard_id=<number>/``, replacing
+    the shards of an earlier write as a whole.
+
+    The folder's manifest names the version that counts; it is moved into place when all
+    shards are written, and only then are earlier versions deleted. Until then, and if the
+    job fails, readers that go by the manifest (``read_shards``, ``shard_folder``) see the
+    earlier shards. Of two writers at once the last to finish counts. Nothing else in the
+    folder is touched.
 
     Parquet of all columns, or text lines of one column if ``value`` is named. A shard is
     bounded by its record count, so one task can write it; tasks hold many shards.
     Fails if ``path`` is a file. For millions of shards use ``write_shard_ranges``.
     """
-    _need_folder(df.sparkSession, path)
+    spark = df.sparkSession
+    _need_folder(spark, path)
     # Five digits for readers that go by path order; ours order numbers of any length.
     padded = df.withColumn(shard, F.format_string("%05d", shard))
-    _drop_shards(df.sparkSession, path, shard)
     laid_out = padded.repartition(shard).sortWithinPartitions(shard, order)
+    version = f"version-{uuid.uuid4().hex}"
     if value is None:
-        laid_out.write.mode("append").partitionBy(shard).parquet(path)
+        laid_out.write.partitionBy(shard).parquet(f"{path}/{version}")
     else:
         lines = laid_out.select(shard, F.col(value).cast("string").alias("value"))
-        lines.write.mode("append").partitionBy(shard).text(path)
+        lines.write.partitionBy(shard).text(f"{path}/{version}")
+    _publish(spark, path, version)
 
 
 def write_shard_ranges(df: DataFrame, path: str, order: str, shard: str = "shard_id") -> None:
@@ -178,41 +190,127 @@ def _need_folder(spark: SparkSession, path: str) -> None:
         raise ValueError(f"not a directory: {path}")
 
 
-def _drop_shards(spark: SparkSession, path: str, shard: str) -> None:
-    """Delete the shard folders of an earlier write."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if system.exists(target):
-        for found in system.listStatus(target):
-            name = found.getPath().getName()
-            if found.isDirectory() and re.fullmatch(rf"{re.escape(shard)}=[0-9]+", name):
-                system.delete(found.getPath(), True)
+def _publish(spark: SparkSession, path: str, version: str) -> None:
+    """Make a version the one that counts, in one move, then delete the others."""
+    jvm = spark.sparkContext._jvm
+    hadoop = jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    folder = hadoop.Path(path)
+    system = folder.getFileSystem(conf)
+    draft = hadoop.Path(folder, f"_manifest-{uuid.uuid4().hex}")
+    out = system.create(draft, True)
+    out.write(version.encode())
+    out.close()
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    options[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    files = hadoop.FileContext.getFileContext(system.getUri(), conf)
+    files.rename(system.makeQualified(draft), system.makeQualified(hadoop.Path(folder, MANIFEST)), options)
+    for found in system.listStatus(folder):
+        name = found.getPath().getName()
+        if found.isDirectory() and name.startswith("version-") and name != version:
+            system.delete(found.getPath(), True)
+
+
+def shard_folder(spark: SparkSession, path: str) -> str:
+    """Where the shards of the version that counts lie; ``path`` itself without a manifest."""
+    manifest = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, MANIFEST)
+    system = manifest.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(manifest):
+        return path
+    file = system.open(manifest)
+    name = bytes(file.readAllBytes()).decode()
+    file.close()
+    return f"{path}/{name}"
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """shard_id, line of text shards; a filter on shard_id reads those shards only."""
-    return spark.read.text(path).select("shard_id", F.col("value").alias("line"))
+    found = spark.read.text(shard_folder(spark, path))
+    return found.select("shard_id", F.col("value").alias("line"))
 
 
-def read_token_shards(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
-    """shard_id, tokens from text shards with one token id per line.
+def write_buckets(
+    df: DataFrame, path: str, buckets: int, order: str, bucket: str = "bucket"
+) -> None:
+    """Write one file per bucket, its rows in order, named by the bucket: ``part-00003-...``.
+
+    Rows go to the task with their bucket's number, so a bucket is one task and file, as
+    a reducer's output is. A bucket without rows has no file. A number that is null or not
+    below ``buckets`` fails. An earlier table at ``path`` is replaced.
+    """
+    number = F.col(bucket).cast("int")
+    wrong = F.raise_error(F.concat(F.lit("no such bucket: "), F.coalesce(number.cast("string"), F.lit("null"))))
+    known = F.when((number >= 0) & (number < buckets), number).otherwise(wrong.cast("int"))
+    laid_out = df.withColumn(bucket, known).repartitionById(buckets, F.col(bucket))
+    laid_out.sortWithinPartitions(order).drop(bucket).write.mode("overwrite").parquet(path)
+
+
+def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of ``write_buckets`` with ``bucket``, by the names of their files."""
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"^part-([0-9]+)-", 1)
+    return spark.read.parquet(path).select("*", number.cast("int").alias("bucket"))
+
+
+def read_token_pieces(
+    spark: SparkSession, path, piece_size: int = PIECE_SIZE, glob: str | None = None
+) -> DataFrame:
+    """shard_id, piece (from 0), tokens from text shards with one token id per line.
 
     The number is that of a file ``shard_00001.txt`` or a folder ``shard_id=00001`` at the
     path's end; other numbers above do not count. Several files of one shard are read
     in path order as one. Empty lines are skipped; a line that is no number, or a file
-    without a shard number, is an error.
+    without a shard number, is an error. A shard without ids has no piece.
+
+    Files are read in blocks, each by its own task, and a shard of any length is cut into
+    pieces of ``piece_size`` ids (the last one shorter): no row or task holds a whole file.
     """
-    files = read_whole_files(spark, path, glob=glob)
-    lines = F.split(trim_controls(F.col("content")), r"[\x00-\x20]*\n[\x00-\x20]*")
+    if piece_size <= 0:
+        raise ValueError("piece_size must be positive")
     number = F.regexp_extract("file_path", SHARD_NUMBER, 1)
-    parts = files.select(
-        number.cast("bigint").alias("shard_id"),
-        F.struct("file_path", F.array_remove(lines, "").cast("array<int>").alias("ids")).alias("part"),
+    lines = _text(spark, path, True, glob).select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        trim_controls(F.col("value")).alias("line"),
+    )
+    # Ids of a block follow each other in one task, so their numbers have no gaps.
+    placed = stage(
+        lines.where("line <> ''").select(
+            number.cast("bigint").alias("shard_id"),
+            "file_path",
+            "_block",
+            F.monotonically_increasing_id().alias("_seq"),
+            F.col("line").cast("int").alias("token_id"),
+        ),
+        "token-lines",
+    )
+    blocks = placed.groupBy("shard_id", "file_path", "_block").agg(
+        F.min("_seq").alias("_start"), F.count("*").alias("_n")
+    )
+    blocks = blocks.withColumn("_key", natural_order(F.col("file_path")))
+    shifts = _before(blocks, ["shard_id"], ["_key", "file_path", "_block"], "_first").select(
+        "shard_id", "file_path", "_block", (F.col("_first") - F.col("_start")).alias("_shift")
     )
-    in_order = F.array_sort(F.collect_list("part"))
-    return parts.groupBy("shard_id").agg(
-        F.flatten(F.transform(in_order, lambda p: p["ids"])).alias("tokens")
+    position = F.col("_seq") + F.col("_shift")
+    size = F.lit(piece_size).cast("bigint")
+    # A task's ids of a piece lie together: they travel as one short array each.
+    found = placed.join(stage(shifts, "block-shifts"), ["shard_id", "file_path", "_block"]).select(
+        "shard_id",
+        F.call_function("div", position, size).alias("piece"),
+        F.struct(position.alias("at"), "token_id").alias("_id"),
     )
+    return found.groupBy("shard_id", "piece").agg(
+        F.array_sort(F.collect_list("_id"))["token_id"].alias("tokens")
+    )
+
+
+def read_token_shards(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
+    """shard_id, tokens: the same with a row for each shard, for shards of bounded length.
+
+    ``read_token_pieces`` is the form for shards of any length.
+    """
+    pieces = F.array_sort(F.collect_list(F.struct("piece", "tokens")))
+    found = read_token_pieces(spark, path, glob=glob).groupBy("shard_id").agg(pieces.alias("_p"))
+    return found.select("shard_id", F.flatten(F.col("_p.tokens")).alias("tokens"))
 
 
 def parse_embedding_lines(lines: DataFrame, line: str = "line") -> DataFrame:
