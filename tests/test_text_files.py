@@ -98,11 +98,11 @@ def test_write_and_overwrite_shards(spark, tmp_path):
     text_files.write_shards(df.where("shard_id < 3"), path, "o", "v")
     found = text_files.read_shards(spark, path)
     assert {(r.shard_id, r.line) for r in found.collect()} == {(1, "a"), (1, "b"), (2, "c")}
-    files = sorted(p for p in (tmp_path / "shards").glob("shard_id=*/part-*"))
+    files = sorted(p for p in (tmp_path / "shards").glob("version-*/shard_id=*/part-*"))
     assert [f.parent.name for f in files] == ["shard_id=00001", "shard_id=00002"]
     assert files[0].read_text() == "a\nb\n"
     text_files.write_shards(df, path, "o")
-    assert spark.read.parquet(path).count() == 4
+    assert spark.read.parquet(text_files.shard_folder(spark, path)).count() == 4
     (tmp_path / "file").write_text("x")
     for write in (text_files.write_shards, text_files.write_shard_ranges):
         with pytest.raises(ValueError, match="not a directory"):
@@ -176,7 +176,7 @@ def test_overwriting_leaves_foreign_files(spark, tmp_path):
     text_files.write_shards(df, str(tmp_path), "o", "v")
     text_files.write_shards(df, str(tmp_path), "o", "v")
     assert (tmp_path / "notes" / "keep.txt").read_text() == "mine"
-    assert len(list(tmp_path.glob("shard_id=*/part-*"))) == 1
+    assert len(list(tmp_path.glob("version-*/shard_id=*/part-*"))) == 1
 
 
 def test_files_are_found_by_whole_names(spark, tmp_path):
