@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,15 +92,55 @@ def whole_slices(batches, text: str, size: int):
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
+def folding(df: DataFrame):
+    """How names of columns are compared: as they are, or in lower case, as the session does."""
+    sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    return (lambda name: name) if sensitive else str.lower
+
+
+def without(df: DataFrame, names) -> list[str]:
+    """The columns of ``df`` but for those that Spark takes for one of ``names``."""
+    fold = folding(df)
+    taken = {fold(n) for n in names}
+    return [c for c in df.columns if fold(c) not in taken]
+
+
+def quoted(names) -> list[str]:
+    """Names as Spark reads them whole, dots included."""
+    return ["`" + n.replace("`", "``") + "`" for n in names]
+
+
+class Aside:
+    """A table whose columns do not clash with names that an operator uses for itself.
+
+    ``df`` has the given table's columns, those that clash under other names; ``name`` tells
+    how a column is called there, and ``back`` gives a result the old names again.
+    """
+
+    def __init__(self, df: DataFrame, internal):
+        fold = folding(df)
+        taken = {fold(n) for n in internal}
+        clash = [c for c in df.columns if fold(c) in taken]
+        self.renamed = {c: f"aside_{i}_{uuid.uuid4().hex}" for i, c in enumerate(clash)}
+        self.df = df.toDF(*map(self.name, df.columns)) if clash else df
+
+    def name(self, column: str) -> str:
+        return self.renamed.get(column, column)
+
+    def back(self, df: DataFrame) -> DataFrame:
+        old = {new: c for c, new in self.renamed.items()}
+        return df.toDF(*(old.get(c, c) for c in df.columns)) if old else df
+
+
 def with_text_columns(df: DataFrame, text: str, fields: T.StructType, make) -> DataFrame:
     """``df`` with columns that ``make(list of str)`` derives from a text column.
 
     ``make`` returns one list or Arrow array per field. A null text is given to it as an
-    empty one. A field that has the name of an earlier column replaces it. Rows do not
-    move: there is no shuffle.
+    empty one. A field that has the name of an earlier column, as Spark compares names,
+    replaces it. Rows do not move: there is no shuffle.
     """
-    kept = [c for c in df.columns if c not in fields.names]
-    source = df.select(*kept, *([F.col(text)] if text not in kept else []))
+    kept = without(df, fields.names)
+    source = df.select(*quoted(kept), *([F.col(text)] if text not in kept else []))
     shape = T.StructType([source.schema[c] for c in kept] + list(fields.fields))
 
     def run(batches):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from verbaloom.llm import word_arrays
-from verbaloom.llm.common import with_text_columns, worker_state
+from verbaloom.llm.common import Aside, quoted, with_text_columns, without, worker_state
 
 # Words of the shortest tile, and the share of an item's words that must be tiled.
 TILE_WORDS, COVERAGE = 5, 0.5
@@ -159,13 +159,13 @@ def with_leaks(
     items = benchmark.where("text is not null").select("item_id", "text")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = -(-total // block_bytes)
-    found = docs.drop("leaks")
+    found = docs.select(*quoted(without(docs, ["leaks"])))
     names = []
     for number in range(n_blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == number)
         token = uuid.uuid4().hex
         shipped = spark.sparkContext.broadcast([tuple(r) for r in part.collect()])
-        names.append(f"_leaks_{number}")
+        names.append(f"leaks_{number}_{token}")
         fields = T.StructType([T.StructField(names[-1], T._parse_datatype_string(LEAKS))])
 
         def make(texts, shipped=shipped, token=token):
@@ -185,6 +185,9 @@ def leaking_pairs(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """The documents, with their own columns, in which no item leaks."""
-    found = with_leaks(docs, benchmark, **settings)
-    return found.where(F.size("leaks") == 0).drop("leaks")
+    """The documents, with their own columns, in which no item leaks. See ``with_leaks`` for
+    null and empty texts; repeated rows stay or go together."""
+    beside = Aside(docs, ["leaks"])
+    settings["text"] = beside.name(settings.get("text", "text"))
+    found = with_leaks(beside.df, benchmark, **settings)
+    return beside.back(found.where(F.size("leaks") == 0).drop("leaks"))

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from verbaloom.llm.common import Aside, quoted, without
 from verbaloom.sources.tables import stage
 
 # A sort group has about this many rows, or a millionth of all rows if that is more.
@@ -95,7 +96,13 @@ def with_cells(df: DataFrame, dimensions: list[str], bits: int = BITS) -> DataFr
     approximately, in one pass over their columns, strings as ``string_cuts`` says. Nulls
     have coordinate 0. An empty table has no cuts.
     """
-    kinds = dict(df.dtypes)
+    # Bytes are cut like strings, in hexadecimal form, which keeps their order.
+    names = [f"_dimension{i}" for i in range(len(dimensions))]
+    own = dict(df.dtypes)
+    df = df.withColumns(
+        {n: F.hex(d) if own[d] == "binary" else F.col(d) for n, d in zip(names, dimensions)}
+    )
+    dimensions, kinds = names, dict(df.dtypes)
     numbers = {d: ordered_number(F.col(d), kinds[d]) for d in dimensions if kinds[d] != "string"}
     share = [i / (1 << bits) for i in range(1, 1 << bits)]
     found = {}
@@ -108,7 +115,7 @@ def with_cells(df: DataFrame, dimensions: list[str], bits: int = BITS) -> DataFr
             found[d] = string_cuts(df, d, 1 << bits)
         axes[f"_axis{i}"] = _cuts_up_to(numbers.get(d, F.col(d)), sorted(set(found[d] or [])))
     placed = hilbert_index(df.withColumns(axes), list(axes), bits, "cell")
-    return placed.drop(*axes)
+    return placed.drop(*axes, *names)
 
 
 def _cuts_up_to(value: Column, cuts: list) -> Column:
@@ -118,33 +125,46 @@ def _cuts_up_to(value: Column, cuts: list) -> Column:
     return F.size(F.filter(F.lit(cuts), lambda c: c <= value))
 
 
+# What assigned rows have more than before.
+RESULTS = ["cell", "shard", "slot"]
+
+
+def _internal(dimensions: int) -> list[str]:
+    """The columns that shards are worked out in."""
+    some = ["_turn", "_salt", "_rows", "_groups", "_group", "_rank", "_n", "_base", "_start", "_at"]
+    return some + [f"{n}{i}" for n in ("_x", "_axis", "_dimension") for i in range(dimensions)]
+
+
 def assign_shards(
     df: DataFrame, dimensions: list[str], shards: int, key: str = "doc_id", bits: int = BITS
 ) -> DataFrame:
     """``df`` with cell, shard (int, from 0) and slot (bigint, gapless from 0 in a shard).
 
-    Rows are put in order of their cell on the Hilbert curve, inside a cell by a hash of
-    the key, and the order is cut into ``shards`` runs whose lengths differ by one at
+    Rows are put in order of their cell on the Hilbert curve, inside a cell by that hash, and the order is cut into ``shards`` runs whose lengths differ by one at
     most. So a shard covers a compact box of metadata and readers skip it by statistics.
 
-    No task sorts a whole cell: a cell's rows are spread by their key's hash over enough
-    groups of even size (see GROUP_ROWS), and only group counts, some MAX_GROUPS at most,
+    No task sorts a whole cell: a cell's rows are spread by a hash of their key and of their
+    place in the table (so those of one key too) over enough groups of even size (see GROUP_ROWS), and only group counts, some MAX_GROUPS at most,
     are summed along the curve. Repeated keys and rows each get a slot of their own (equal rows in any order);
     null keys and dimensions are allowed. ``df`` is read twice, and once more for each string
     dimension, and written once with its cells, so pass few columns. An empty table has no rows. Earlier columns of these three names
     are replaced.
     """
-    placed = stage(with_cells(df.drop("cell", "shard", "slot"), dimensions, bits), "cells")
+    beside = Aside(df.select(*quoted(without(df, RESULTS))), _internal(len(dimensions)))
+    key, dimensions = beside.name(key), [beside.name(d) for d in dimensions]
+    # Rows of one key, or of none, get numbers of their own, fixed as they are written.
+    salted = with_cells(beside.df, dimensions, bits).withColumn("_salt", F.monotonically_increasing_id())
+    placed = stage(salted, "cells")
     weights = placed.groupBy("cell").agg(F.count("*").alias("_rows"))
     # One row per cell of the grid at most: 2**(bits * dimensions) is the bound.
     total = weights.agg(F.coalesce(F.sum("_rows"), F.lit(0))).scalar()
     size = F.greatest(F.lit(GROUP_ROWS), F.floor(total / MAX_GROUPS))
     weights = weights.withColumn("_groups", F.ceil(F.col("_rows") / size))
-    order = F.xxhash64(key)
+    order = F.xxhash64(key, "_salt")
     spread = placed.join(weights.select("cell", "_groups"), "cell").withColumn(
         "_group", F.floor((F.shiftright(order, 32) + (1 << 31)) * F.col("_groups") / (1 << 32))
     )
-    within = Window.partitionBy("cell", "_group").orderBy(order, *sorted(df.columns))
+    within = Window.partitionBy("cell", "_group").orderBy(order, "_salt")
     ranked = spread.withColumn("_rank", F.row_number().over(within) - 1)
     counts = spread.groupBy("cell", "_group").agg(F.count("*").alias("_n"))
     cells = counts.groupBy("cell").agg(F.sum("_n").alias("_n"))
@@ -167,11 +187,16 @@ def assign_shards(
     begin = F.col("shard") * small + F.least(F.col("shard"), longer)
     out = ranked.join(starts, ["cell", "_group"]).withColumn("_at", at)
     out = out.withColumn("shard", shard.cast("int")).withColumn("slot", F.col("_at") - begin)
-    return out.select(*[c for c in df.columns if c not in ("cell", "shard", "slot")], "cell", "shard", "slot")
+    return beside.back(out.select(*quoted(beside.df.columns), *RESULTS))
 
 
 def write_shards(df: DataFrame, path: str, shards: int) -> None:
-    """Write assigned rows as one folder per shard, rows in curve order, for readers that
-    prune files by the statistics of the dimension columns."""
-    laid = df.repartition(shards, "shard").sortWithinPartitions("shard", "slot")
+    """Write assigned rows as a folder per shard, rows in curve order, for readers that prune
+    files by the statistics of the dimension columns.
+
+    Tasks take even runs of the whole order, so a shard is several files if there are more
+    tasks than shards, each a shorter run of the curve.
+    """
+    tasks = max(shards, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    laid = df.repartitionByRange(tasks, "shard", "slot").sortWithinPartitions("shard", "slot")
     laid.write.partitionBy("shard").parquet(path)

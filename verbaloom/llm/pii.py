@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import uuid
 from bisect import bisect_right
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from verbaloom.llm.common import with_text_columns
+from verbaloom.llm.common import quoted, with_text_columns
 
 KINDS = ["email", "ip", "card", "phone"]
 SPANS = "array<struct<kind: string, start: int, end: int, base: boolean>>"
@@ -322,15 +323,17 @@ def with_pii(df: DataFrame, text: str = "text") -> DataFrame:
 
 def redact(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with every span of personal data in ``text`` replaced by its kind in angle
-    brackets. Spans that overlap are one, named after the first. Null texts stay null."""
+    brackets. Spans that overlap are one, named after the first. Null texts stay null, empty
+    ones empty; repeated rows and other columns, whatever their names, stay as they are."""
 
     def make(texts):
         return [[redacted(t) for t in texts]]
 
-    fields = T.StructType([T.StructField("_redacted", T.StringType())])
+    name = f"redacted_{uuid.uuid4().hex}"
+    fields = T.StructType([T.StructField(name, T.StringType())])
     made = with_text_columns(df, text, fields, make)
-    kept = F.when(F.col(text).isNotNull(), F.col("_redacted"))
-    return made.withColumn(text, kept).select(*df.columns)
+    kept = F.when(F.col(text).isNotNull(), F.col(name))
+    return made.withColumn(text, kept).select(*quoted(df.columns))
 
 
 def redacted(text: str) -> str:

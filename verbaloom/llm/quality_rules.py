@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from verbaloom.llm.common import Aside
+
 from verbaloom.sources.tables import stage
 
 SPACES = " \t\n\x0b\f\r"
@@ -33,6 +35,10 @@ FEATURES = {
 }
 
 
+# The columns that the statistics are worked out in.
+INTERNAL = ["_words", "_lines", "_grams", "_sorted", "_at"]
+
+
 def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and the
     counts n_upper, n_digits, n_stops, n_shouts and n_distinct_words, all bigint.
@@ -43,6 +49,8 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
     there twice or more, found by sorting the windows' 64-bit hashes: n log n for texts
     of any length. Earlier columns of these names are replaced. No shuffle.
     """
+    beside = Aside(df, INTERNAL)
+    df, text = beside.df, beside.name(text)
     clean = F.coalesce(F.col(text), F.lit(""))
     bare = F.btrim(clean, F.lit(SPACES))
     words = F.when(bare == "", F.array().cast("array<string>")).otherwise(
@@ -79,7 +87,7 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
     found = found.withColumn("_at", F.sort_array(again))
     gaps = F.zip_with("_at", F.slice("_at", 2, F.greatest(F.size("_at"), F.lit(1))), _covered)
     repeated = F.aggregate(gaps, F.lit(0), lambda a, x: a + x)
-    return found.withColumns(
+    found = found.withColumns(
         {
             "n_words": n.cast("bigint"),
             "word_chars": F.length(F.array_join("_words", "")).cast("bigint"),
@@ -92,7 +100,8 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
             "n_shouts": count("!!"),
             "n_distinct_words": F.size(F.array_distinct("_words")).cast("bigint"),
         }
-    ).drop("_words", "_lines", "_grams", "_sorted", "_at")
+    )
+    return beside.back(found.drop(*INTERNAL))
 
 
 def _covered(here: Column, following: Column) -> Column:
@@ -268,8 +277,9 @@ def only_kept(judged: DataFrame) -> DataFrame:
     out in it, each evaluated many times over. It stays above a column that must not be
     evaluated twice.
     """
-    numbered = judged.withColumn("_row", F.monotonically_increasing_id())
-    return numbered.where(F.col("kept") & (F.col("_row") >= 0)).drop("_row")
+    beside = Aside(judged, ["_row"])
+    numbered = beside.df.withColumn("_row", F.monotonically_increasing_id())
+    return beside.back(numbered.where(F.col("kept") & (F.col("_row") >= 0)).drop("_row"))
 
 
 def labelled_statistics(
