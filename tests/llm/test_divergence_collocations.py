@@ -163,13 +163,14 @@ def test_collocations_without_rows(spark):
 def test_each_phrase_is_counted_for_one_cycle():
     """Every shard is scanned once for a phrase, from the step after its subphrases' own."""
     codes = np.array([5, 6, 7, 0, 5, 6, 0, 6, 7], "<u4")
-    never = np.full(1 << collocations.BUCKET_BITS, collocations.NEVER, np.uint8)
+    never = np.full((collocations.TABLES, 1 << 16), collocations.NEVER, np.uint8)
     words, starts = collocations.scan(codes, never, 0)
     assert len(words) == 7 and not starts.any()
     five, six, seven = words[0], words[1], words[2]
     reached = never.copy()
     for key, step in ((five, 0), (six, 2), (seven, 1)):
-        reached[collocations._bucket(np.array([key]), reached)] = step
+        for k in range(collocations.TABLES):
+            reached[k, (int(key) >> (64 - 16 * (k + 1))) % (1 << 16)] = step
     pair = {int(collocations._longer(np.array([a], np.uint64), np.array([b], np.uint64))[0]) for a, b in ((five, 6), (six, 7))}
     for step in range(12):
         keys, starts = collocations.scan(codes, reached, step)

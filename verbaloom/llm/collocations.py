@@ -10,9 +10,10 @@ SIGMOD 1997). The corpus is dealt into shards, which are scanned in a circle:
   dropped after that if it has not reached the threshold itself. The run ends when no
   phrase is left to count.
 
-A scan knows which phrases have reached the threshold, and when, from a table of a byte per
-hash bucket: of fixed size whatever the corpus. It and the 32-bit word codes of the scans may
-only add phrases, never lose one. A last pass counts the phrases that are left by their words
+A scan knows which phrases have reached the threshold, and when, from two tables of a byte
+per hash bucket, of fixed size whatever the corpus: a phrase counts as reached when its
+buckets in both are. They and the 32-bit word codes of the scans may only add phrases, never
+lose one. A last pass counts the phrases that are left by their words
 as they are written, so that counts are exact.
 """
 
@@ -32,11 +33,12 @@ LONGEST, LEAST, TOP = 5, 100, 2000
 NO_LANG = "und"
 # Shards of a cycle.
 SHARDS = 4
-# Buckets of the table of reached phrases, a byte each; NEVER is no step of a run.
-BUCKET_BITS, NEVER = 23, 255
+# Tables of reached phrases, and buckets of each, a byte each; NEVER is no step of a run.
+TABLES, BUCKET_BITS, NEVER = 2, 23, 255
 BLOCK_BITS = 16
 # Counted phrases that a task holds before it passes them on.
 HELD = 1 << 18
+PHRASES = 400_000
 SLICE_BYTES = 2 << 20
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 # 0 in a word, 1 between words, 2 between pieces.
@@ -121,11 +123,17 @@ def _read_codes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _bits(reached) -> int:
-    return len(reached).bit_length() - 1
+    return reached.shape[1].bit_length() - 1
 
 
-def _bucket(keys, reached):
-    return (keys >> np.uint64(64 - _bits(reached))).astype(np.int64)
+def _when(keys, reached):
+    """The step in which a phrase counted as reached, or NEVER."""
+    bits = _bits(reached)
+    when = np.zeros(len(keys), np.uint8)
+    for number, table in enumerate(reached):
+        bucket = (keys >> np.uint64(64 - bits * (number + 1))) & np.uint64((1 << bits) - 1)
+        when = np.maximum(when, table[bucket.astype(np.int64)])
+    return when
 
 
 def _longer(keys, codes):
@@ -136,8 +144,8 @@ def _longer(keys, codes):
 def scan(codes, reached, step: int):
     """Keys and first steps of the phrases that a sequence of codes has at this step.
 
-    A phrase is there once for each occurrence. ``reached`` gives the step in which a bucket's
-    first phrase reached the threshold.
+    A phrase is there once for each occurrence. ``reached`` gives the step in which each
+    bucket's first phrase reached the threshold.
     """
     codes = codes.astype(np.uint64)
     at = np.flatnonzero(codes)
@@ -147,7 +155,7 @@ def scan(codes, reached, step: int):
         found.append(keys)
         starts.append(np.zeros(len(keys), np.uint8))
     for length in range(2, LONGEST + 1):
-        when = reached[_bucket(keys, reached)]
+        when = _when(keys, reached)
         # A phrase and the next one in the same piece, both of the length before.
         both = np.flatnonzero((np.diff(at) == 1) & (when[:-1] != NEVER) & (when[1:] != NEVER))
         last = at[both] + length - 1
@@ -206,9 +214,15 @@ def _scan_shard(codes: DataFrame, shipped, step: int) -> DataFrame:
 
 def _mark(counted: DataFrame, reached, step: int, least: int) -> int:
     """Note the buckets whose first phrase reached the threshold in this step; how many."""
-    bucket = F.expr(f"shiftrightunsigned(key, {64 - _bits(reached)})")
-    rows = counted.where(F.col("n") >= least).select(bucket.alias("bucket"))
-    rows = rows.select((F.col("bucket") / (1 << BLOCK_BITS)).cast("int").alias("block"), "bucket")
+    bits, blocks = _bits(reached), reached.shape[1] >> BLOCK_BITS
+    entries = F.array(
+        *(
+            F.expr(f"shiftrightunsigned(key, {64 - bits * (k + 1)}) & {(1 << bits) - 1}") + (k << bits)
+            for k in range(TABLES)
+        )
+    )
+    rows = counted.where(F.col("n") >= least).select(F.explode(entries).alias("bucket"))
+    rows = rows.select(F.shiftright("bucket", BLOCK_BITS).alias("block"), "bucket")
 
     def pack(group, table):
         import pyarrow as pa
@@ -219,19 +233,20 @@ def _mark(counted: DataFrame, reached, step: int, least: int) -> int:
 
     # At most a row per block comes back: a bit per bucket, whatever the corpus.
     new = 0
-    blocks = rows.distinct().groupBy("block").applyInArrow(pack, "block bigint, bits binary")
-    for row in blocks.collect():
-        bits = np.unpackbits(np.frombuffer(row.bits, np.uint8)).astype(bool)
-        part = reached[row.block << BLOCK_BITS : (row.block + 1) << BLOCK_BITS]
-        bits &= part == NEVER
-        part[bits] = step
-        new += int(bits.sum())
+    packed = rows.distinct().groupBy("block").applyInArrow(pack, "block bigint, bits binary")
+    for row in packed.collect():
+        found = np.unpackbits(np.frombuffer(row.bits, np.uint8)).astype(bool)
+        table, block = divmod(row.block, blocks)
+        part = reached[table, block << BLOCK_BITS : (block + 1) << BLOCK_BITS]
+        found &= part == NEVER
+        part[found] = step
+        new += int(found.sum())
     return new
 
 
 def count_phrases(spark: SparkSession, path: str, least: int, bucket_bits: int = BUCKET_BITS):
-    """The table of reached phrases after all scans, and the number of scans."""
-    reached = np.full(1 << max(bucket_bits, BLOCK_BITS), NEVER, np.uint8)
+    """The tables of reached phrases after all scans, and the number of scans."""
+    reached = np.full((TABLES, 1 << max(bucket_bits, BLOCK_BITS)), NEVER, np.uint8)
     step, last_new, before = 0, 0, None
     while step < SHARDS or step <= last_new + SHARDS:
         shipped = spark.sparkContext.broadcast(reached)
@@ -263,31 +278,29 @@ def _exact_counts(docs: DataFrame, reached, least: int) -> DataFrame:
         counted = {}
 
         def emit():
-            langs, sizes, phrases = zip(*counted) if counted else ((), (), ())
-            columns = [
-                pa.array(langs, pa.string()),
-                pa.array(sizes, pa.int32()),
-                pa.array(phrases, pa.binary()).cast(pa.string()),
-                pa.array(counted.values(), pa.int64()),
-            ]
-            return pa.RecordBatch.from_arrays(columns, ["lang", "words", "phrase", "n"])
+            for lang, found in counted.items():
+                phrases = pa.array(found.keys(), pa.binary()).cast(pa.string())
+                numbers = pa.array(found.values(), pa.int64())
+                langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(found), np.int64)))
+                yield pa.RecordBatch.from_arrays([langs, phrases, numbers], ["lang", "phrase", "n"])
 
         for part in whole_slices(batches, "text", SLICE_BYTES):
             for lang, texts in _by_lang(part).items():
-                for size, phrase, n in _slice_phrases(texts, lang, shipped.value):
-                    key = lang, size, phrase
-                    counted[key] = counted.get(key, 0) + n
-            if len(counted) > HELD // 2:
-                yield emit()
+                found = counted.setdefault(lang, {})
+                for phrase, n in _slice_phrases(texts, lang, shipped.value):
+                    found[phrase] = found.get(phrase, 0) + n
+            if sum(map(len, counted.values())) > PHRASES:
+                yield from emit()
                 counted.clear()
-        yield emit()
+        yield from emit()
 
-    rows = docs.mapInArrow(run, "lang string, words int, phrase string, n bigint")
-    return rows.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    rows = docs.mapInArrow(run, "lang string, phrase string, n bigint")
+    summed = rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return summed.withColumn("words", F.size(F.split("phrase", " ")))
 
 
 def _slice_phrases(texts: list[bytes], lang: str, reached):
-    """words, phrase, n: the phrases of some texts that may have reached the threshold.
+    """phrase, n: the phrases of some texts that may have reached the threshold.
 
     Within a slice a phrase has a number of its own, not a hash: that of the pair of the
     phrase without its last word and of that word.
@@ -302,7 +315,7 @@ def _slice_phrases(texts: list[bytes], lang: str, reached):
     at, number = np.arange(len(word)), word
     keys = mix(codes + np.uint64(0x632BE59BD9B4E019))
     for length in range(1, LONGEST + 1):
-        kept = np.flatnonzero(reached[_bucket(keys, reached)] != NEVER)
+        kept = np.flatnonzero(_when(keys, reached) != NEVER)
         at, number, keys = at[kept], number[kept], keys[kept]
         if not len(at):
             return
@@ -310,7 +323,7 @@ def _slice_phrases(texts: list[bytes], lang: str, reached):
             number, return_index=True, return_inverse=True, return_counts=True
         )
         for i, n in zip(at[first].tolist(), counts.tolist()):
-            yield length, b" ".join(names[w] for w in word[i : i + length].tolist()), n
+            yield b" ".join(names[w] for w in word[i : i + length].tolist()), n
         # The next word, if it lies in the piece; the phrase that begins one on is there too.
         following = np.flatnonzero(np.diff(at) == 1)
         last = at[following] + length
@@ -343,8 +356,8 @@ def collocations(
 
     A null language counts as ``und``, a null text as empty. Repeated rows count each time. No
     row for an empty table or for languages without such phrases. Other columns, whatever
-    their names, are not read. ``bucket_bits`` sets the size of the table of reached phrases,
-    2**bucket_bits bytes: in a fuller one more phrases are counted, the rows are the same.
+    their names, are not read. ``bucket_bits`` sets the size of the tables of reached phrases,
+    2**bucket_bits bytes: in fuller ones more phrases are counted, the rows are the same.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
