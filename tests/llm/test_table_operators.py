@@ -17,11 +17,14 @@ from verbaloom.llm import (
     pii,
     quality_rules,
     url_filters,
+    word_arrays,
 )
 from verbaloom.llm import queries as llm
 from verbaloom.llm.common import vocabulary_path
 from verbaloom.llm.components import components
 
+from test_text_operators import base_spans
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -181,6 +184,61 @@ def test_one_of_each_keeps_one_row_per_class(spark):
     assert found == [None, *sorted(want)]
 
 
+def morse(a, b, steps):
+    """A Thue-Morse word over two others, and its mirror: sums of powers cannot tell them apart."""
+    one, other = [a], [b]
+    for _ in range(steps):
+        one, other = one + other, other + one
+    return one, other
+
+
+def test_texts_that_rolling_hashes_confuse_stay_apart(spark):
+    letters = ["".join(x) for x in morse("a", "b", 10)]
+    texts = [" ".join(x) for x in morse("x", "y", 9)]
+    rows = list(enumerate([*letters, *texts, *texts]))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = [tuple(r) for r in jaccard_join.similar_documents(df).collect()]
+    assert sorted(found) == sorted(brute_similar(rows))
+    kept = sorted(r.doc_id for r in jaccard_join.one_of_each(df).collect())
+    assert kept == sorted({c for _, c, _, _ in brute_similar(rows)}) and {0, 1} <= set(kept)
+    hashed, _ = word_arrays.words(letters)
+    assert len(set(hashed.tolist())) == 2
+    item = [(1, letters[0] + " b c d e f g")]
+    benchmark = spark.createDataFrame(item, "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, letters[1] + " b c d"), (2, item[0][1])], "doc_id bigint, text string")
+    leaked = decontamination.leaking_pairs(docs, benchmark).collect()
+    assert [(r.doc_id, r.matched) for r in leaked] == [(2, 7)]
+
+
+def test_many_near_copies_in_many_partitions(spark):
+    """A group of near copies is one class, every pair of it a link."""
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(5000)}" for _ in range(150)]
+    rows = []
+    for i in range(1500):
+        words = list(base)
+        words[0] = f"e{i}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(50)
+    found = jaccard_join.similar_documents(df).collect()
+    assert len(found) == 1500
+    assert {(r.class_id, r.n_links, r.n_text_links) for r in found} == {(0, 1499, 1499)}
+
+
+def test_nothing_to_link_takes_few_jobs(spark):
+    rows = [(i, " ".join(f"t{i}x{k}" for k in range(30))) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(100)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("no-links", "no links")
+    try:
+        found = jaccard_join.similar_documents(df).collect()
+        jobs = len(tracker.getJobIdsForGroup("no-links"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {(r.class_id == r.doc_id, r.n_links) for r in found} == {(True, 0)}
+    assert jobs < 100
+
+
 def test_least_matches_lose_almost_no_pair_at_the_threshold():
     import math
 
@@ -425,13 +483,47 @@ def test_urls_by_rule(spark):
 # --- the pipeline ---------------------------------------------------------------------
 
 
+def statistics_row(text):
+    """The statistics of a text, counted plainly."""
+    words, chars, symbols, dup, repeated = brute_statistics(text)
+    text = text or ""
+    found = re.findall(r"[^\x20\x09-\x0D]+", text)
+    return {
+        "n_words": words, "word_chars": chars, "n_symbols": symbols, "n_dup_lines": dup, "n_repeat_words": repeated,
+        "n_upper": len(re.findall("[A-Z]", text)), "n_digits": len(re.findall("[0-9]", text)),
+        "n_stops": len(re.findall("[.!?]", text)), "n_shouts": text.count("!!"), "n_distinct_words": len(set(found)),
+    }
+
+
+def plainly_kept(text, rules):
+    row = statistics_row(text)
+    failed = row["n_words"] < 50 or 100 * row["n_repeat_words"] > 50 * row["n_words"]
+    return not failed and brute_rule(rules, row) is None
+
+
+def plainly_redacted(text):
+    """Base patterns as they are written, and the added spans, put in from the back."""
+    spans = [(a, b, k) for k, a, b in base_spans(text)]
+    spans += [(a, b, k) for k, a, b, is_base in pii.find_spans(text) if not is_base]
+    merged = []
+    for a, b, kind in sorted(spans):
+        if merged and a < merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], b)
+        else:
+            merged.append([a, b, kind])
+    for a, b, kind in reversed(merged):
+        text = text[:a] + f"<{kind.upper()}>" + text[b:]
+    return text
+
+
 def test_pipeline_is_its_stages_by_brute_force(spark):
     import sentencepiece
 
     library = sentencepiece.SentencePieceProcessor(model_file=vocabulary_path(llm.PIECE_MODEL))
     docs = {r.doc_id: r for r in table(spark, "documents").collect()}
-    judged = llm.q_op8_quality_rules(spark, SF).collect()
-    kept = {r.doc_id for r in judged if r.kept}
+    labelled = quality_rules.labelled_statistics(table(spark, "documents"), table(spark, "labels"))
+    rules = quality_rules.fit_rules(labelled)
+    kept = {d for d, r in docs.items() if plainly_kept(r.text, rules)}
     classes = brute_similar([(d, docs[d].text) for d in sorted(kept)])
     kept = {c for _, c, _, _ in classes}
     items = [decontamination_words(r.text) for r in table(spark, "benchmark").collect()]
@@ -439,10 +531,10 @@ def test_pipeline_is_its_stages_by_brute_force(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert sorted(r.doc_id for r in rows) == sorted(kept)
     for r in rows:
-        text = pii.redacted(docs[r.doc_id].text)
-        ids = library.encode(text)
+        ids = library.encode(plainly_redacted(docs[r.doc_id].text))
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
 
 
 def decontamination_words(text):
