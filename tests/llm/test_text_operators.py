@@ -233,7 +233,7 @@ def test_leaks_are_greedy_string_tilings(spark):
         found = decontamination.leaking_pairs(docs, bench, block_bytes=blocks)
         assert sorted((r.doc_id, r.item_id, r.matched, r.tiles) for r in found.collect()) == sorted(want)
     kept = decontamination.decontaminate(docs, bench)
-    assert kept.columns == ["doc_id", "text"]
+    assert kept.columns == ["doc_id", "text", "leaks"]
     assert {r.doc_id for r in kept.collect()} == set(range(len(texts))) - {w[0] for w in want}
     nothing = spark.createDataFrame([], "item_id bigint, text string")
     assert decontamination.leaking_pairs(docs, nothing).count() == 0

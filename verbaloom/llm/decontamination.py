@@ -82,15 +82,25 @@ def tile(matches: list[tuple[int, int, int]], width: int) -> tuple[int, int]:
     return marked, tiles
 
 
-def _leaks(texts: list[str], block: Block, width: int, coverage: float) -> list[list[dict]]:
+def _leaks(texts: list[str], blocks: list[Block], width: int, coverage: float) -> list[list[dict]]:
+    """The leaked items of each text: its seeds are made once for all blocks."""
+    hashed, ends = word_arrays.words([t.lower() for t in texts], word_arrays.PUNCTUATION)
+    seeds = word_arrays.shingles(hashed, ends, width)
+    found: list[list[dict]] = [[] for _ in texts]
+    for block in blocks:
+        _block_leaks(found, hashed, seeds, block, width, coverage)
+    for leaks in found:
+        leaks.sort(key=lambda x: (x["item_id"] is None, x["item_id"] or 0))
+    return found
+
+
+def _block_leaks(found: list, hashed, shingles, block: Block, width: int, coverage: float) -> None:
     import numpy as np
 
-    found: list[list[dict]] = [[] for _ in texts]
-    hashed, ends = word_arrays.words([t.lower() for t in texts], word_arrays.PUNCTUATION)
-    seeds, text_of, first = word_arrays.shingles(hashed, ends, width)
+    seeds, text_of, first = shingles
     mine, theirs = block.join(seeds)
     if not len(mine):
-        return found
+        return
     text, at = text_of[mine], first[mine]
     item, place = block.owner[theirs], block.place[theirs]
     # Equal hashes of seeds are only a hint: their words must be equal.
@@ -100,7 +110,7 @@ def _leaks(texts: list[str], block: Block, width: int, coverage: float) -> list[
         same &= hashed[at + i] == block.words[there + i]
     text, at, item, place = (x[same] for x in (text, at, item, place))
     if not len(at):
-        return found
+        return
     # Seeds one after another on a diagonal are one maximal match.
     order = np.lexsort((place, at - place, item, text))
     text, at, item, place = (x[order] for x in (text, at, item, place))
@@ -128,9 +138,6 @@ def _leaks(texts: list[str], block: Block, width: int, coverage: float) -> list[
             found[int(text[spans[0]])].append(
                 {"item_id": block.ids[i], "coverage": marked / n, "matched": marked, "tiles": tiles}
             )
-    for leaks in found:
-        leaks.sort(key=lambda x: (x["item_id"] is None, x["item_id"] or 0))
-    return found
 
 
 def with_leaks(
@@ -150,8 +157,8 @@ def with_leaks(
     an item that is null or shorter than ``width`` words. Repeated items are reported each,
     repeated documents too. An earlier column ``leaks`` is replaced.
 
-    Documents do not move. The benchmark is sent to them in blocks of about
-    ``block_bytes`` (one item at least), each gathered only when its turn comes, and a
+    Documents do not move, and their words are hashed once. The benchmark is sent to them in
+    blocks of about ``block_bytes`` (one item at least), all of which a worker holds, and a
     document's matches are tiled where they are found: no task gathers the documents that
     share a passage.
     """
@@ -159,23 +166,21 @@ def with_leaks(
     items = benchmark.where("text is not null").select("item_id", "text")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = -(-total // block_bytes)
-    found = docs.select(*quoted(without(docs, ["leaks"])))
-    names = []
+    fields = T.StructType([T.StructField("leaks", T._parse_datatype_string(LEAKS))])
+    if not n_blocks:
+        kept = docs.select(*quoted(without(docs, ["leaks"])))
+        return kept.withColumn("leaks", F.array().cast(LEAKS))
+    shipped = []
     for number in range(n_blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == number)
-        token = uuid.uuid4().hex
-        shipped = spark.sparkContext.broadcast([tuple(r) for r in part.collect()])
-        names.append(f"leaks_{number}_{token}")
-        fields = T.StructType([T.StructField(names[-1], T._parse_datatype_string(LEAKS))])
-
-        def make(texts, shipped=shipped, token=token):
-            block = worker_state(("benchmark", token), lambda: Block(shipped.value, width))
-            return [_leaks(texts, block, width, coverage)]
-
-        found = with_text_columns(found, text, fields, make)
-    empty = F.array().cast(LEAKS)
-    leaks = F.concat(*names) if len(names) > 1 else F.col(names[0]) if names else empty
-    return found.withColumn("leaks", leaks).drop(*names)
+        shipped.append(spark.sparkContext.broadcast([tuple(r) for r in part.collect()]))
+    token = uuid.uuid4().hex
+
+    def make(texts):
+        blocks = worker_state(("benchmark", token), lambda: [Block(s.value, width) for s in shipped])
+        return [_leaks(texts, blocks, width, coverage)]
+
+    return with_text_columns(docs, text, fields, make)
 
 
 def leaking_pairs(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **settings) -> DataFrame:
