@@ -39,7 +39,7 @@ HASHES = BANDS * ROWS
 STEP, TOLERANCE = 16, 1e-9
 # Classes in a block, and bytes, as far as one class has no more; a cell compares a block with
 # itself or with another.
-CELL, CELL_BYTES = 1024, 16 << 20
+CELL, CELL_BYTES = 512, 6 << 20
 # Classes of small components that share a cell.
 PACK = 256
 MISSING_KEY = -(1 << 63)
@@ -48,10 +48,10 @@ PIVOTS = 8
 # Components of at most this many classes have all their pairs compared.
 FEW = 24
 # Pairs compared at once.
-PAIRS = 1 << 18
+PAIRS = 1 << 16
 # A shingle of more classes of a cell than this is a column of a matrix product; the pairs of
 # classes of another are counted one by one. Columns of one product.
-DENSE, COLUMNS = 16, 2048
+DENSE, COLUMNS = 16, 1024
 SKETCH_BYTES = 2 * HASHES
 
 
@@ -285,18 +285,17 @@ def _common(sets: list, a, b):
     column = np.repeat(np.arange(len(first)), counts)
     found = np.zeros((n, width))
     rare = np.repeat((counts > 1) & (counts <= DENSE), counts)
-    some, some_columns, codes = owner[rare], column[rare], []
+    some, some_columns = owner[rare], column[rare]
     for step in range(1, min(DENSE, int(counts.max()) if len(counts) else 0)):
         near = some_columns[step:] == some_columns[:-step]
         x, y = some[:-step][near], some[step:][near]
         if same:
-            codes += [x * width + y, y * width + x]
+            np.add.at(found, (x, y), 1)
+            np.add.at(found, (y, x), 1)
         else:
             # Owners are in order, so a row of b is never before one of a.
             both = (x < n) & (y >= n)
-            codes.append(x[both] * width + y[both] - n)
-    if codes:
-        np.add.at(found.ravel(), np.concatenate(codes), 1)
+            np.add.at(found, (x[both], y[both] - n), 1)
     many = np.repeat(counts > DENSE, counts)
     number = np.cumsum(counts > DENSE) - 1
     own, place = owner[many], number[column[many]]
