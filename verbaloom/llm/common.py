@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 MAX_FILE_BYTES = 64 << 20
 # Texts are worked on in slices of about this many bytes, or one text if that is longer.
 SLICE_BYTES = 1 << 20
-# Strings a worker remembers that it met once, and in all: some 100 MB.
-ONCE_ENTRIES, MEMO_ENTRIES = 150_000, 400_000
+# Strings a worker remembers that it met once, and in all: some 60 MB.
+ONCE_ENTRIES, MEMO_ENTRIES = 80_000, 240_000
 
 # The object that this worker process keeps between tasks, under its key.
 _state: dict = {}
