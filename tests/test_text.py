@@ -116,3 +116,15 @@ def test_tokenized_words(spark):
         (6, "a_b", []),
         (9, "a\tb", [3]),
     ]
+
+
+def test_malformed_forms_go_and_a_form_is_parsed_once(spark):
+    forms = ["1_a_b", "+7_x", " 2_c \x01", "_a", "3_", "x4_d", "1 _a", "99999999999999999999_a", "5", None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(forms)], "i int, v string")
+    found = words.parsed(df, ["i"], tx.positioned_word(F.col("v")))
+    assert sorted(map(tuple, found.collect())) == [(0, 1, "a_b"), (1, 7, "x"), (2, 2, "c")]
+    # A filter over the parse would parse again, and a pattern over the word is slow.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert filters and not any("_" in line and "RLIKE" in line for line in filters)
+    assert "regexp_extract" not in plan and "regexp_replace" not in plan
