@@ -128,3 +128,13 @@ def test_malformed_forms_go_and_a_form_is_parsed_once(spark):
     filters = [line for line in plan.splitlines() if "Filter" in line]
     assert filters and not any("_" in line and "RLIKE" in line for line in filters)
     assert "regexp_extract" not in plan and "regexp_replace" not in plan
+
+
+def test_tokenized_word_with_a_very_long_list_of_ids(spark):
+    ids = list(range(40_000))
+    line = f"3_ab\t[{' '.join(map(str, ids))}]"
+    found = values(spark, tx.tokenized_word, line, line + "\t[]", line[:-1], "3_ab\t[1  2]", "3_ab\t[+1]")
+    assert found[0] == (3, "ab", ids)
+    # Ids are those after the last tab.
+    assert found[1] == (3, line[2:], [])
+    assert found[2:] == [None, None, None]
