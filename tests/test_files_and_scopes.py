@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from verbaloom.operators import shards
+from verbaloom.operators import ordinals, shards
 from verbaloom.plans import chains
 from verbaloom.sources import tables, text_files
 
@@ -190,3 +190,21 @@ def test_a_chain_goes_on_after_a_failure(spark, tmp_path, vocabulary, monkeypatc
     chains.write_token_vectors(docs, ["doc_id"], vocabulary, str(tmp_path / "vectors"))
     assert spark.read.parquet(str(tmp_path / "vectors")).columns == ["token_id", "embedding", "word"]
     assert sorted(os.listdir(tmp_path)) == ["nearest", "vectors"]
+
+
+def test_long_buckets_are_cut_into_files(spark, tmp_path):
+    for last in (0, 3, 10, 99, 100):
+        rows = [(p, f"w{p}") for p in range(last + 1)]
+        df = spark.createDataFrame(rows, "position bigint, word string").repartition(3)
+        plain = ordinals.position_buckets(df, 4)
+        cut = ordinals.position_buckets(df, 4, parts=3)
+        path = str(tmp_path / f"buckets-{last}")
+        text_files.write_buckets(cut, path, 4, "position", parts=3)
+        found = text_files.read_buckets(spark, path, 3).select("position", "word", "bucket").collect()
+        assert sorted(map(tuple, found)) == sorted(map(tuple, plain.collect()))
+        held = []
+        for name in sorted(n for n in os.listdir(path) if n.startswith("part-")):
+            held.append([r.position for r in spark.read.parquet(f"{path}/{name}").collect()])
+        # In the order of names the files hold all rows in order, and none holds a whole bucket.
+        assert sum(held, []) == list(range(last + 1))
+        assert last < 99 or max(map(len, held)) <= 10

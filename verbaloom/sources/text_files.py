@@ -230,25 +230,34 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_buckets(
-    df: DataFrame, path: str, buckets: int, order: str, bucket: str = "bucket"
+    df: DataFrame, path: str, buckets: int, order: str, bucket: str = "bucket", parts: int = 1
 ) -> None:
     """Write one file per bucket, its rows in order, named by the bucket: ``part-00003-...``.
 
     Rows go to the task with their bucket's number, so a bucket is one task and file, as
     a reducer's output is. A bucket without rows has no file. A number that is null or not
     below ``buckets`` fails. An earlier table at ``path`` is replaced.
+
+    A bucket too long for one task is written as ``parts`` files, told by the column ``part``
+    of ``ordinals.position_buckets``: file ``bucket * parts + part``. In the order of their
+    names they hold the bucket's rows in order.
     """
     number = F.col(bucket).cast("int")
     wrong = F.raise_error(F.concat(F.lit("no such bucket: "), F.coalesce(number.cast("string"), F.lit("null"))))
     known = F.when((number >= 0) & (number < buckets), number).otherwise(wrong.cast("int"))
-    laid_out = df.withColumn(bucket, known).repartitionById(buckets, F.col(bucket))
+    if parts == 1:
+        laid_out = df.withColumn(bucket, known).repartitionById(buckets, F.col(bucket))
+    else:
+        file = known * parts + F.col("part")
+        laid_out = df.withColumn(bucket, file).drop("part").repartitionById(buckets * parts, F.col(bucket))
     laid_out.sortWithinPartitions(order).drop(bucket).write.mode("overwrite").parquet(path)
 
 
-def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+def read_buckets(spark: SparkSession, path: str, parts: int = 1) -> DataFrame:
     """The rows of ``write_buckets`` with ``bucket``, by the names of their files."""
-    number = F.regexp_extract(F.col("_metadata.file_name"), r"^part-([0-9]+)-", 1)
-    return spark.read.parquet(path).select("*", number.cast("int").alias("bucket"))
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"^part-([0-9]+)-", 1).cast("int")
+    bucket = F.call_function("div", number, F.lit(parts)).cast("int")
+    return spark.read.parquet(path).select("*", bucket.alias("bucket"))
 
 
 def read_token_pieces(
