@@ -107,3 +107,35 @@ def test_positioned_words_agree_with_tokenized(corpus, vocabulary):
     encoded = encoding.encode_texts(df, ["doc_id"], vocabulary)
     tokenized = encoding.tokenized_words(encoded, ["doc_id"]).select("position", "word")
     assert plain.exceptAll(tokenized).count() == 0 == tokenized.exceptAll(plain).count()
+
+
+def test_encoder_holds_one_slice_of_a_batch_as_objects(monkeypatch, codec):
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(encoding, "SLICE_WORDS", 1 << 10, raising=False)
+    monkeypatch.setattr(encoding, "MEMO_WORDS", 1 << 10, raising=False)
+    texts = [[f"w{i * 7919 % 1000003}-{j}" for j in range(200)] for i in range(200)] + [[], None, ["a", ""]]
+    batch = pa.array(texts, pa.list_(pa.string()))
+    expected = [[codec.encode_ordinary(w) for w in text or []] for text in texts]
+    for flat in (False, True):
+        shipped = SimpleNamespace(value={"codec": codec, "memo": {}})
+        tracemalloc.start()
+        found = encoding._batch_encoder(shipped, flat)(batch)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert found.to_pylist() == ([sum(x, []) for x in expected] if flat else expected)
+        # 40,000 lists of ids take some 10 MB.
+        assert peak < 4 << 20
+
+
+def test_partitions_of_shards_grow_with_the_tokens(spark, monkeypatch):
+    rows = [(i, list(range(i % 50)), i % 50) for i in range(200)]
+    texts = spark.createDataFrame(rows, "doc_id bigint, tokens array<int>, n_tokens bigint")
+    plain = encoding.token_shards(texts.drop("n_tokens"), ["doc_id"], 64)
+    monkeypatch.setattr(encoding, "TASK_TOKENS", 100, raising=False)
+    cut = encoding.token_shards(texts, ["doc_id"], 64)
+    assert cut.rdd.getNumPartitions() == 49
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, plain.collect()))
