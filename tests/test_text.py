@@ -138,3 +138,19 @@ def test_tokenized_word_with_a_very_long_list_of_ids(spark):
     # Ids are those after the last tab.
     assert found[1] == (3, line[2:], [])
     assert found[2:] == [None, None, None]
+
+
+def test_tokenized_lines_are_the_parsed_forms_and_make_each_part_once(spark):
+    lines = ["5_[12]\t[7 8]", "6_a_b\t[]", "7_x\t[1 q]", "8_x [1]", "_x\t[1]", "9_a\tb\t[3]", None]
+    lines += [" \x01-3_c \t[007] ", "4_\t[1]", "x_y\t[1]", "2_z\t[9999999999]", "2_z\t[1  2]", "\t[1]", ""]
+    lines += ["99999999999999999999_a\t[1]", "+1_ \u00e9\t[1 2]", "1_w\t[1]]", "1_w\t[ ]"]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, line string")
+    found = words.tokenized_lines(df, ["i"])
+    forms = df.select("i", tx.tokenized_word(F.col("line")).alias("p")).where("p is not null").select("i", "p.*")
+    rows = sorted(map(tuple, found.collect()))
+    assert rows == sorted(map(tuple, forms.collect()))
+    assert [r[0] for r in rows] == [0, 1, 5, 7, 15]
+    # No lambda, and the trim of a line, its cut and the ids are in the plan once.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
+    assert plan.count("split(") == 1 and plan.count("substring_index(") == 2 and plan.count("btrim") <= 3
