@@ -117,6 +117,22 @@ def test_lines_that_are_no_ids_fail(spark, tmp_path):
         text_files.read_token_pieces(spark, str(tmp_path)).collect()
 
 
+def test_token_shards_are_written_and_read_without_a_row_for_each_id(spark, tmp_path):
+    rng = random.Random(5)
+    ids = {s: [rng.randrange(50_000) for _ in range(n)] for s, n in ((1, 25_000), (2, 3), (100_000, 1))}
+    df = spark.createDataFrame(list(ids.items()), "shard_id int, tokens array<int>")
+    path = str(tmp_path / "written")
+    text_files.write_token_shards(df, path)
+    lines = text_files.read_shards(spark, path).groupBy("shard_id").count().collect()
+    assert {int(r.shard_id): r["count"] for r in lines} == {s: len(x) for s, x in ids.items()}
+    folder = text_files.shard_folder(spark, path)
+    found = text_files.read_token_shards(spark, folder, glob="part-*")
+    assert {r.shard_id: r.tokens for r in found.collect()} == ids
+    # The table staged by the scan has a row for each run of lines in an Arrow batch.
+    staged = [t for t in found.inputFiles() if "token-lines" in t]
+    assert staged and spark.read.parquet(*staged).count() < 20
+
+
 # --- windows across pieces -----------------------------------------------------------
 
 

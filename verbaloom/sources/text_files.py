@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from verbaloom.functions import vectors as vx
-from verbaloom.functions.text import LINE_BREAK, trim_controls
+from verbaloom.functions.text import CONTROLS, LINE_BREAK, trim_controls
 from verbaloom.sources.tables import stage
 
 # The file that names the version of a folder's shards that counts.
@@ -223,6 +223,18 @@ def shard_folder(spark: SparkSession, path: str) -> str:
     return f"{path}/{name}"
 
 
+def write_token_shards(
+    df: DataFrame, path: str, tokens: str = "tokens", shard: str = "shard_id"
+) -> None:
+    """Write a table with one row per shard as text shards of one id per line, as
+    ``write_shards`` does: a shard's lines are one value, so no row is made for each id.
+
+    A shard without ids is a folder without ids.
+    """
+    lines = F.array_join(F.col(tokens).cast("array<string>"), "\n")
+    write_shards(df.select(shard, lines.alias("value")), path, shard, "value", shard)
+
+
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """shard_id, line of text shards; a filter on shard_id reads those shards only."""
     found = spark.read.text(shard_folder(spark, path))
@@ -275,43 +287,76 @@ def read_token_pieces(
     """
     if piece_size <= 0:
         raise ValueError("piece_size must be positive")
-    number = F.regexp_extract("file_path", SHARD_NUMBER, 1)
-    lines = _text(spark, path, True, glob).select(
+    # Lines of a block follow each other in one task, which packs them: nothing after this
+    # scan has a row for each id.
+    value = F.col("value")
+    # Most lines begin with a visible character, and need no trim to be told from empty ones.
+    lines = _text(spark, path, True, glob).where((value >= "!") | (F.btrim(value, F.lit(CONTROLS)) != ""))
+    lines = lines.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("_block"),
-        trim_controls(F.col("value")).alias("line"),
+        value.cast("int").alias("token_id"),
     )
-    # Ids of a block follow each other in one task, so their numbers have no gaps.
-    placed = stage(
-        lines.where("line <> ''").select(
-            number.cast("bigint").alias("shard_id"),
-            "file_path",
-            "_block",
-            F.monotonically_increasing_id().alias("_seq"),
-            F.col("line").cast("int").alias("token_id"),
-        ),
-        "token-lines",
-    )
-    blocks = placed.groupBy("shard_id", "file_path", "_block").agg(
-        F.min("_seq").alias("_start"), F.count("*").alias("_n")
+    packed = "file_path string, _block bigint, _no bigint, ids array<int>"
+    placed = stage(lines.mapInArrow(_id_packer(), packed), "token-lines")
+    counted = placed.select("file_path", "_block", "_no", F.size("ids").cast("bigint").alias("_n"))
+    blocks = counted.groupBy("file_path", "_block").agg(F.sum("_n").alias("_n"))
+    number = F.regexp_extract("file_path", SHARD_NUMBER, 1).cast("bigint")
+    blocks = blocks.withColumns({"shard_id": number, "_key": natural_order(F.col("file_path"))})
+    starts = _before(blocks, ["shard_id"], ["_key", "file_path", "_block"], "_first").drop("_n", "_key")
+    shifts = _before(counted, ["file_path", "_block"], ["_no"], "_in_block").join(
+        starts, ["file_path", "_block"]
     )
-    blocks = blocks.withColumn("_key", natural_order(F.col("file_path")))
-    shifts = _before(blocks, ["shard_id"], ["_key", "file_path", "_block"], "_first").select(
-        "shard_id", "file_path", "_block", (F.col("_first") - F.col("_start")).alias("_shift")
+    shifts = shifts.select(
+        "shard_id", "file_path", "_block", "_no", (F.col("_first") + F.col("_in_block")).alias("_start")
     )
-    position = F.col("_seq") + F.col("_shift")
-    size = F.lit(piece_size).cast("bigint")
-    # A task's ids of a piece lie together: they travel as one short array each.
-    found = placed.join(stage(shifts, "block-shifts"), ["shard_id", "file_path", "_block"]).select(
-        "shard_id",
-        F.call_function("div", position, size).alias("piece"),
-        F.struct(position.alias("at"), "token_id").alias("_id"),
+    laid_out = placed.join(stage(shifts, "pack-shifts"), ["file_path", "_block", "_no"])
+    start, size = F.col("_start"), F.lit(piece_size).cast("bigint")
+    end = start + F.size("ids")
+
+    def part(piece):
+        begin = F.greatest(piece * size, start)
+        stop = F.least((piece + 1) * size, end)
+        own = F.slice("ids", (begin - start + 1).cast("int"), (stop - begin).cast("int"))
+        return F.struct(piece.alias("piece"), begin.alias("at"), own.alias("ids"))
+
+    pieces = F.sequence(F.call_function("div", start, size), F.call_function("div", end - 1, size))
+    cut = laid_out.select("shard_id", F.explode_outer(F.transform(pieces, part)).alias("_part"))
+    found = cut.select(
+        "shard_id", F.col("_part.piece").alias("piece"), F.struct("_part.at", "_part.ids").alias("_ids")
     )
     return found.groupBy("shard_id", "piece").agg(
-        F.array_sort(F.collect_list("_id"))["token_id"].alias("tokens")
+        F.flatten(F.array_sort(F.collect_list("_ids"))["ids"]).alias("tokens")
     )
 
 
+def _id_packer():
+    """The function run on executors; it needs only pyarrow there. It gives the ids of lines
+    as arrays, one for each run of lines of a file block in a batch, with its number in the task."""
+
+    def pack(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        number = 0
+        for batch in batches:
+            files, blocks, ids = (batch.column(c) for c in ("file_path", "_block", "token_id"))
+            if not len(ids):
+                continue
+            other = pc.or_(pc.not_equal(files[1:], files[:-1]), pc.not_equal(blocks[1:], blocks[:-1]))
+            cuts = [0, *(i + 1 for i in pc.indices_nonzero(other).to_pylist()), len(ids)]
+            first = pa.array(cuts[:-1])
+            numbers = pa.array(range(number, number + len(first)), pa.int64())
+            number += len(first)
+            packed = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), ids)
+            yield pa.RecordBatch.from_arrays(
+                [files.take(first), blocks.take(first), numbers, packed],
+                ["file_path", "_block", "_no", "ids"],
+            )
+
+    return pack
+
+
 def read_token_shards(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
     """shard_id, tokens: the same with a row for each shard, for shards of bounded length.
 
