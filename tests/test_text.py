@@ -153,4 +153,15 @@ def test_tokenized_lines_are_the_parsed_forms_and_make_each_part_once(spark):
     # No lambda, and the trim of a line, its cut and the ids are in the plan once.
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "lambda" not in plan
-    assert plan.count("split(") == 1 and plan.count("substring_index(") == 2 and plan.count("btrim") <= 3
+    assert plan.count("split(") == 1 and plan.count("substring_index(") == 2
+
+
+def test_positioned_lines_are_the_positioned_words_and_make_each_part_once(spark):
+    lines = ["1_a_b", "+7_x", " 2_c \x01", "_a", "3_", "x4_d", "1 _a", "99999999999999999999_a", "5", "", None]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, line string")
+    found = words.positioned_lines(df, ["i"])
+    expected = {0: (1, "a_b"), 1: (7, "x"), 2: (2, "c")}
+    rows = {r.i: (r.position, r.word) for r in found.collect()}
+    assert rows == {i: expected.get(i, (None, None)) for i in range(len(lines))}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("trim(") == 1 and plan.count("substring_index(") == 1 and plan.count("RLIKE") == 1

@@ -161,7 +161,11 @@ def write_shards(
     spark = df.sparkSession
     _need_folder(spark, path)
     # Five digits for readers that go by path order; ours order numbers of any length.
-    padded = df.withColumn(shard, F.format_string("%05d", shard))
+    # A format is read again for every row, so it is left to numbers that no length tells.
+    plain = F.col(shard).cast("string")
+    digits = F.lpad(plain, F.greatest(F.length(plain), F.lit(5)), F.lit("0"))
+    named = F.when(F.col(shard) >= 0, digits).otherwise(F.format_string("%05d", shard))
+    padded = df.withColumn(shard, named)
     laid_out = padded.repartition(shard).sortWithinPartitions(shard, order)
     version = f"version-{uuid.uuid4().hex}"
     if value is None:
