@@ -81,3 +81,26 @@ def test_results_do_not_depend_on_partitions(spark, partitions):
     df = table(spark, *[[random.randrange(9) for _ in range(40)] for _ in range(9)])
     one = shards.pair_counts(df.coalesce(1)).collect()
     assert sorted(one) == sorted(shards.pair_counts(df.repartition(partitions)).collect())
+
+
+def test_shown_windows_write_each_id_once(spark):
+    import spark_queries
+
+    for query in (spark_queries.q_window_pairs, spark_queries.q_corpus_windows):
+        found = query(spark, "/root/testdata/sf0.001")
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "array_join(cast" not in plan
+        # Starts are laid out; windows are no lambda's.
+        laid_out = [x for x in plan.splitlines() if "Generate" in x and "_start#" in x]
+        assert laid_out and not any("lambda" in x or "slice" in x for x in laid_out)
+
+
+def test_windows_of_shards_longer_than_a_run(spark):
+    for stride, length in ((1, 520), (2, 1032), (2, 1033), (2, 1034), (3, 4000), (30, 40_000)):
+        tokens = list(range(length))
+        df = spark.createDataFrame([(1, tokens), (2, [1] * 8), (3, [])], "shard_id int, tokens array<int>")
+        found = shards.window_pairs(df, 8, stride).orderBy("sample_idx").collect()
+        starts = range(0, length - 8, stride)
+        assert [(r.shard_id, r.sample_idx, r.input, r.target) for r in found] == [
+            (1, i, tokens[s : s + 8], tokens[s + 1 : s + 9]) for i, s in enumerate(starts)
+        ]
