@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from verbaloom.functions import vectors as vx
 from verbaloom.functions.text import CONTROLS, LINE_BREAK, trim_controls
-from verbaloom.sources.tables import stage
+from verbaloom.sources.tables import drop_path, stage
 
 # The file that names the version of a folder's shards that counts.
 MANIFEST = "_manifest"
@@ -155,7 +155,9 @@ def write_shards(
     folder is touched.
 
     Parquet of all columns, or text lines of one column if ``value`` is named. A shard is
-    bounded by its record count, so one task can write it; tasks hold many shards.
+    bounded by its record count, so one task can write it; tasks hold many shards. In a local
+    or mounted folder tasks write text files themselves: Hadoop's local file system starts a
+    process for each folder, file and checksum that it makes, three a shard.
     Fails if ``path`` is a file. For millions of shards use ``write_shard_ranges``.
     """
     spark = df.sparkSession
@@ -172,7 +174,11 @@ def write_shards(
         laid_out.write.partitionBy(shard).parquet(f"{path}/{version}")
     else:
         lines = laid_out.select(shard, F.col(value).cast("string").alias("value"))
-        lines.write.partitionBy(shard).text(f"{path}/{version}")
+        local = _local_folder(spark, path)
+        if local is None:
+            lines.write.partitionBy(shard).text(f"{path}/{version}")
+        else:
+            _write_local(lines, path, version, local)
     _publish(spark, path, version)
 
 
@@ -194,6 +200,68 @@ def _need_folder(spark: SparkSession, path: str) -> None:
         raise ValueError(f"not a directory: {path}")
 
 
+def _local_folder(spark: SparkSession, path: str) -> str | None:
+    """The path as the machine's own file system has it; None for any other file system."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = system.makeQualified(target).toUri()
+    return found.getPath() if found.getScheme() == "file" else None
+
+
+def _write_local(lines: DataFrame, path: str, version: str, local: str) -> None:
+    """Write sorted rows of shard, value as ``shard_id=<number>/part-<number>.txt`` in a local
+    folder. Files come from a folder of drafts by a move, so that a task that is run again
+    replaces whole files."""
+    spark, drafts = lines.sparkSession, f"{path}/{version}/_drafts"
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(drafts)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hadoop_path)
+    try:
+        written = lines.mapInArrow(_file_writer(f"{local}/{version}", lines.columns[0]), "shard string")
+        written.write.format("noop").mode("overwrite").save()
+    except BaseException:
+        drop_path(spark, f"{path}/{version}")
+        raise
+    drop_path(spark, drafts)
+
+
+def _file_writer(folder: str, shard: str):
+    """The function run on executors: it writes a file for each run of rows of one shard."""
+    # As Spark names the folder of a partition.
+    name = re.sub(r"[\x01-\x1f\x7f\"#%'*/:=?\\{\[\]^]", lambda c: f"%{ord(c[0]):02X}", shard)
+
+    def write(batches):
+        import os
+        import uuid
+
+        import pyarrow.compute as pc
+
+        number, out, draft = None, None, f"{folder}/_drafts/{uuid.uuid4().hex}"
+
+        def finish():
+            out.close()
+            own = f"{folder}/{name}={number}"
+            os.makedirs(own, exist_ok=True)
+            os.replace(draft, f"{own}/part-{number}.txt")
+
+        for batch in batches:
+            numbers, values = batch.column(0), pc.fill_null(batch.column(1), "")
+            if not len(numbers):
+                continue
+            other = pc.indices_nonzero(pc.not_equal(numbers[1:], numbers[:-1]))
+            cuts = [0, *(i + 1 for i in other.to_pylist()), len(numbers)]
+            for start, end in zip(cuts, cuts[1:]):
+                if numbers[start].as_py() != number:
+                    if out:
+                        finish()
+                    number, out = numbers[start].as_py(), open(draft, "wb")
+                out.write(("\n".join(values[start:end].to_pylist()) + "\n").encode())
+        if out:
+            finish()
+        yield from ()
+
+    return write
+
+
 def _publish(spark: SparkSession, path: str, version: str) -> None:
     """Make a version the one that counts, in one move, then delete the others."""
     jvm = spark.sparkContext._jvm
