@@ -233,6 +233,7 @@ def _file_writer(folder: str, shard: str):
         import os
         import uuid
 
+        import pyarrow as pa
         import pyarrow.compute as pc
 
         number, out, draft = None, None, f"{folder}/_drafts/{uuid.uuid4().hex}"
@@ -249,12 +250,14 @@ def _file_writer(folder: str, shard: str):
                 continue
             other = pc.indices_nonzero(pc.not_equal(numbers[1:], numbers[:-1]))
             cuts = [0, *(i + 1 for i in other.to_pylist()), len(numbers)]
-            for start, end in zip(cuts, cuts[1:]):
+            runs = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), values), "\n")
+            for start, lines in zip(cuts, runs):
                 if numbers[start].as_py() != number:
                     if out:
                         finish()
                     number, out = numbers[start].as_py(), open(draft, "wb")
-                out.write(("\n".join(values[start:end].to_pylist()) + "\n").encode())
+                out.write(lines.as_buffer())
+                out.write(b"\n")
         if out:
             finish()
         yield from ()
