@@ -178,3 +178,18 @@ def test_each_phrase_is_counted_for_one_cycle():
         # 5 6 and 6 7 occur twice each; both begin after step 2.
         assert (Counter(pairs) == dict.fromkeys(pair, 2)) == (3 <= step < 3 + collocations.SHARDS)
         assert bool(len(pairs)) == (3 <= step < 3 + collocations.SHARDS)
+
+
+def test_collocations_count_in_few_tasks(spark, monkeypatch):
+    """Each task of the last pass gives a row for each phrase: small tasks are merged."""
+    tasks, counts = [], collocations._exact_counts
+    monkeypatch.setattr(
+        collocations,
+        "_exact_counts",
+        lambda docs, *rest: tasks.append(docs.rdd.getNumPartitions()) or counts(docs, *rest),
+    )
+    rows = [(i, "en", "a b c. d") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(64)
+    found = collocations.collocations(docs, bucket_bits=16)
+    assert [(r.phrase, r.a) for r in found.collect()] == [("a b c", 200)]
+    assert tasks[0] <= 2 * spark.sparkContext.defaultParallelism

@@ -39,6 +39,9 @@ BLOCK_BITS = 16
 # Counted phrases that a task holds before it passes them on.
 HELD = 1 << 18
 PHRASES = 400_000
+# Words that a task of the last pass reads at least, if all cores have two such tasks: each
+# task gives a row for each phrase it meets, so more text a task is fewer rows.
+TASK_WORDS = 1 << 24
 SLICE_BYTES = 2 << 20
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 # 0 in a word, 1 between words, 2 between pieces.
@@ -365,7 +368,9 @@ def collocations(
     _stage_codes(rows, path)
     totals = _read_codes(spark, path).groupBy("lang").agg(F.sum("n_words").alias("n"))
     reached, _ = count_phrases(spark, path, least, bucket_bits)
-    counted = stage(_exact_counts(rows, reached, least), "phrases")
+    n_words = totals.agg(F.sum("n")).first()[0] or 0
+    tasks = max(2 * spark.sparkContext.defaultParallelism, n_words // TASK_WORDS)
+    counted = stage(_exact_counts(rows.coalesce(tasks), reached, least), "phrases")
     return _ranked(counted, totals, top)
 
 
