@@ -168,6 +168,19 @@ def test_similar_documents_are_those_of_all_pairs(spark, monkeypatch, cell):
     assert sorted(found, key=order) == sorted(brute_similar(rows), key=order)
 
 
+def test_links_are_written_before_another_python_step(spark, monkeypatch):
+    plans, whole = [], jaccard_join.components
+
+    def seen(edges):
+        plans.append(edges._jdf.queryExecution().executedPlan().toString())
+        return whole(edges)
+
+    monkeypatch.setattr(jaccard_join, "components", seen)
+    df = spark.createDataFrame(similar_rows(), "doc_id bigint, text string")
+    assert jaccard_join.similar_documents(df).count() == df.count()
+    assert len(plans) == 3 and not any("InArrow" in p for p in plans[1:])
+
+
 def test_similar_documents_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert jaccard_join.similar_documents(df).count() == 0

@@ -429,7 +429,9 @@ def classes(signed: DataFrame, rows: DataFrame, threshold: float) -> DataFrame:
     members = worded.join(found, "node").select(
         "root", "node", "sketch", F.lit(SKETCH_BYTES).alias("bytes")
     )
-    found = components(_prune(members, threshold))
+    # Written first: Python functions one after another in a stage take a worker each, and all
+    # workers of an executor would stay and be used in turn by later jobs, with what they remember.
+    found = components(stage(_prune(members, threshold), "pruned"))
     if found.isEmpty():
         return alone
     found = stage(found, "survivors")
