@@ -37,6 +37,24 @@ def test_chunks_give_the_library_ids(name):
     assert len(encoder.encode(pa.array([], pa.string()))[0]) == 0
 
 
+def test_new_chunks_of_a_byte_vocabulary_go_to_the_library_together():
+    with open(vocabulary_path(llm.BYTE_VOCABULARY), "rb") as file:
+        encoder = ChunkEncoder(file.read(), "<u4")
+    library, asked = encoder.library, []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+
+    encoder.library = Counting()
+    words = [f"w{i}<|endoftext|>é{i}\n{i}'s" if i % 50 == 7 else f"wörd{i}x" for i in range(3000)]
+    words += ["\u0120", "a\u0120b", "<|endoftext|>"]
+    ids, _ = encoder.encode(pa.array([" ".join(words)]))
+    assert ids.tolist() == library.encode(" ".join(words), add_special_tokens=False).ids
+    assert len(asked) < 20
+
+
 def check_packing(rows, ids_of, length):
     """Every document whole, in pieces of the length; every sequence full without gaps."""
     pieces, bins = defaultdict(list), defaultdict(list)

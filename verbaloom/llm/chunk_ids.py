@@ -12,6 +12,8 @@ from verbaloom.llm.common import Memo
 # Signs that end many words. After a letter or digit they always begin a new pre-token. Lower
 # case may turn a letter into a letter and a mark, so only letters that stay one are named.
 TAIL = ".,;:!?"
+# How a byte-level vocabulary writes a space, and how many chunks make one text.
+SPACE, TOGETHER = "\u0120", 512
 ENDED = "(?s)^(?P<core>.*[0-9A-Za-z\u00df-\u00f6\u00f8-\u00ff])(?P<tail>[.,;:!?]+)$"
 
 
@@ -42,8 +44,9 @@ class Ragged:
 
     @classmethod
     def of(cls, runs: list, dtype) -> Ragged:
-        missing = np.fromiter((r is None for r in runs), bool, len(runs))
-        if missing.any():
+        missing = np.zeros(len(runs), bool)
+        if None in runs:
+            missing = np.fromiter((r is None for r in runs), bool, len(runs))
             runs = [r or b"" for r in runs]
         sizes = np.fromiter(map(len, runs), np.int64, len(runs))
         return cls(np.frombuffer(b"".join(runs), dtype), np.cumsum(sizes) // np.dtype(dtype).itemsize, missing)
@@ -82,8 +85,10 @@ class ChunkEncoder:
     between two other characters. A chunk is a word with the space before it; texts with a
     chunk that has other white space at its ends go in whole.
 
-    Signs at a chunk's end are encoded apart. Chunks are remembered (see ``Memo``). Strings
-    of added tokens inside texts are read as the library does by default.
+    Signs at a chunk's end are encoded apart. Chunks are remembered (see ``Memo``). New chunks
+    of the kind ``spaces`` go to the library as one text: its ids of a chunk begin with the
+    only token there that begins with a space. Strings of added tokens inside texts are read
+    as the library does by default.
     """
 
     def __init__(self, content: bytes, dtype: str, memo: tuple = ()):
@@ -97,6 +102,11 @@ class ChunkEncoder:
         before = " " if self.kind == "spaces" else ""
         self.rest = Memo(lambda words: self._chunks(words, before), *memo)
         self.tails = Memo(self._whole)
+        # Which ids begin with a space. With that sign in the vocabulary every chunk has such an id.
+        vocab, model = self.library.get_vocab(), json.loads(content)["model"]
+        self.opens = np.zeros(max(vocab.values(), default=-1) + 1, bool)
+        self.opens[[i for token, i in vocab.items() if token.startswith(SPACE)]] = True
+        self.joins = self.kind == "spaces" and model["type"] == "BPE" and SPACE in model["vocab"]
 
     @staticmethod
     def _kind(spec: dict) -> str:
@@ -124,13 +134,29 @@ class ChunkEncoder:
         """The ids of ``before + word``; None for a word that is no chunk of its own."""
         if self.kind == "words":
             return self._whole(words)
-        found = [None] * len(words)
-        clean = [
-            i for i, w in enumerate(words) if w and not w[0].isspace() and not w[-1].isspace()
-        ]
-        for i, ids in zip(clean, self._whole([before + words[i] for i in clean])):
-            found[i] = ids
-        return found
+        clean = [w for w in words if w and w.strip() == w]
+        made = self._in_one(clean) if before and self.joins else self._whole([before + w for w in clean])
+        if len(clean) == len(words):
+            return made
+        known = dict(zip(clean, made))
+        return [known.get(w) for w in words]
+
+    def _in_one(self, words: list[str]) -> list[bytes]:
+        """The ids of each word with a space before it, from texts of many such words."""
+        made = []
+        for low in range(0, len(words), TOGETHER):
+            part = words[low : low + TOGETHER]
+            listed = self.library.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids
+            ids = np.array(listed, np.int64)
+            starts = np.flatnonzero(self.opens[ids])
+            # More of them: a text holds the string of an added token that begins with that sign.
+            if len(starts) != len(part):
+                made += self._whole([" " + w for w in part])
+                continue
+            raw, size = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
+            cuts = [*(starts * size).tolist(), len(raw)]
+            made += [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        return made
 
     def _runs(self, words, memo) -> Ragged:
         """The ids of each of an Arrow array of chunks."""
