@@ -63,6 +63,19 @@ def test_ids_do_not_move(spark, corpus, vocabulary):
     assert not moved(encoding.tokenized_words(encoded, KEYS))[0] & {"words", "word_ids"}
 
 
+@pytest.mark.parametrize("stage, encode", [("encoded_corpus", "encode_texts"), ("corpus_tokens", "encode_tokens")])
+def test_texts_are_encoded_where_they_have_moved_to(corpus, vocabulary, monkeypatch, stage, encode):
+    docs, _ = corpus
+    plain, made = getattr(encoding, encode), []
+    monkeypatch.setattr(encoding, encode, lambda *a: made.append(plain(*a)) or made[-1])
+    staged = getattr(chains, stage)(docs, KEYS, vocabulary)
+    # The one exchange lies below the encoder: it carries texts, which are narrower than words and ids.
+    assert len(made) == 1 and moved(made[0])[0] == {"doc_id", "text"}
+    want = plain(docs, KEYS, vocabulary)
+    found = staged.select(*want.columns)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_staged_rows_lie_in_order(spark):
     rows = [(i * 7 % 50, i, f"t{i}") for i in range(200)]
     df = spark.createDataFrame(rows, "a int, b bigint, text string").repartition(3)

@@ -1,3 +1,6 @@
+import os
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,6 +135,43 @@ def test_write_lines(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "x")).first().value == "1"
 
 
+def test_lines_in_compressed_files_of_bounded_length(spark, tmp_path):
+    values = [f"{i}_wört\t[{i} {i + 1}]" for i in range(2500)]
+    df = spark.createDataFrame([(v,) for v in values], "v string").repartition(2)
+    plain, small = str(tmp_path / "plain"), str(tmp_path / "small")
+    text_files.write_lines(df, plain, "v")
+    text_files.write_lines(df, small, "v", compression="gzip", lines_per_file=500)
+    files = [n for n in os.listdir(small) if n.startswith("part-")]
+    assert all(n.endswith(".gz") for n in files) and len(files) >= 5
+    per_file = text_files.read_lines(spark, small, glob="part-*").groupBy("file_path").count()
+    assert max(r["count"] for r in per_file.collect()) <= 500
+    for path in (plain, small):
+        assert sorted(r.line for r in text_files.read_lines(spark, path, glob="part-*").collect()) == sorted(values)
+    size = {path: sum(os.path.getsize(f"{path}/{n}") for n in os.listdir(path)) for path in (plain, small)}
+    assert size[small] < size[plain] / 2
+
+
+def test_parsed_tokenized_lines_leave_compressed_files_and_nothing_else(spark, tmp_path):
+    import spark_queries
+
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["so", "weiter", "été", "a_b", "[7]"]) for _ in range(i)) for i in range(300)]
+    texts += ["", None, " x\n\ny\tz "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    folder = tables.staging_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.exists(folder) else set()
+    found = spark_queries.q_parse_tokenized(spark, str(tmp_path))
+    rows = sorted(map(tuple, found.collect()))
+    new = set(os.listdir(folder)) - before
+    # The encoded table is gone; the lines are compressed.
+    assert [n[:16] for n in new] == ["tokenized-lines-"]
+    files = [n for n in os.listdir(f"{folder}/{new.pop()}") if n.startswith("part-")]
+    assert files and all(n.endswith(".gz") for n in files)
+    assert rows == sorted(map(tuple, spark_queries.q_tokenized_words(spark, str(tmp_path)).collect()))
+    assert [r[1] for r in rows] == [w for t in texts for w in (t or "").split()]
+
+
 def test_staged_tables_lie_in_the_shared_folder(spark):
     staged = tables.stage(spark.range(5).withColumn("x", F.array("id")), "try")
     assert staged.count() == 5

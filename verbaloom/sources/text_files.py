@@ -136,10 +136,27 @@ def find_file(spark: SparkSession, folder: str, name: str) -> str | None:
     return listing.agg(F.min("path")).first()[0]
 
 
-def write_lines(df: DataFrame, path: str, value: str, key: str | None = None) -> None:
-    """One text line per row: ``key<TAB>value``, or the value alone without a key."""
+def write_lines(
+    df: DataFrame,
+    path: str,
+    value: str,
+    key: str | None = None,
+    compression: str | None = None,
+    lines_per_file: int | None = None,
+) -> None:
+    """One text line per row: ``key<TAB>value``, or the value alone without a key.
+
+    ``compression`` is Spark's name of a text codec, such as ``gzip``, which is told to be fast;
+    readers know it by the files' names. One task reads a compressed file, so ``lines_per_file``
+    bounds its length.
+    """
     columns = [F.col(c).cast("string") for c in ([key] if key else []) + [value]]
-    df.select(F.concat_ws("\t", *columns).alias("value")).write.mode("overwrite").text(path)
+    writer = df.select(F.concat_ws("\t", *columns).alias("value")).write.mode("overwrite")
+    if compression:
+        writer = writer.option("compression", compression).option("zlib.compress.level", "BEST_SPEED")
+    if lines_per_file:
+        writer = writer.option("maxRecordsPerFile", lines_per_file)
+    writer.text(path)
 
 
 def write_shards(
