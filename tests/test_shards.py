@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 
-from verbaloom.operators import shards
+from verbaloom.operators import encoding, shards
 
 
 def table(spark, *tokens):
@@ -95,6 +95,35 @@ def test_shown_windows_write_each_id_once(spark):
         assert laid_out and not any("lambda" in x or "slice" in x for x in laid_out)
 
 
+def test_pieces_of_a_corpus_move_once(spark, tmp_path):
+    import spark_queries
+
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["so", "weiter", "etwas"]) for _ in range(i * 3)) for i in range(80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    found = spark_queries.q_corpus_windows(spark, str(tmp_path))
+    rows = found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # Ids move to their pieces, for both sides of the join at once, and then only halos do.
+    lines = plan.splitlines()
+    assert ["ReusedExchange" in x for x in lines if "REPARTITION_BY_NUM" in x] == [False, True]
+    join = next(i for i, x in enumerate(lines) if "Join [piece#" in x)
+    assert "ShuffledHashJoin" in lines[join] and all("ObjectHashAggregate" in x for x in lines[join + 1 : join + 3])
+    assert plan.count("Exchange hashpartitioning(piece#") == 1
+    one = spark_queries.tokens(spark, str(tmp_path)).orderBy("doc_id").collect()
+    ids = [str(i) for r in one for i in r.tokens]
+    want = [(s // 2, " ".join(ids[s : s + 8]), " ".join(ids[s + 1 : s + 9])) for s in range(0, len(ids) - 8, 2)]
+    assert len(ids) > 5000 and sorted(map(tuple, rows)) == want
+
+
+@pytest.mark.parametrize("first", [0, 1, 7])
+def test_shards_are_numbered_from_the_first(spark, first):
+    texts = spark.createDataFrame([(1, [1, 2, 3]), (2, []), (3, [4, 5])], "doc_id bigint, tokens array<int>")
+    found = encoding.token_shards(texts, ["doc_id"], 2, first_shard=first).collect()
+    assert sorted(map(tuple, found)) == [(first, [1, 2]), (first + 1, [3, 4]), (first + 2, [5])]
+
+
 def test_windows_of_shards_longer_than_a_run(spark):
     for stride, length in ((1, 520), (2, 1032), (2, 1033), (2, 1034), (3, 4000), (30, 40_000)):
         tokens = list(range(length))
